@@ -1,0 +1,405 @@
+"""The ten operators against brute force, on small tables with nulls, empty and long texts, ties and repeated rows."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import public_tokenizers as P
+import pytest
+import xxhash
+
+from ledgerloom.llm import chat, mixing, quality, queries, sentencepieces, sharding, simhash, token_counts, token_store, topk, url_filters
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ODD = [
+    None, "", " ", "\n\n", "one", "a b", "Two  words\n\n\nand lines.\n", "don't we're they'll 'r 've", "x<|endoftext|>y  <|endoftext|>", "<|startoftext|>A",
+    "日本語 テスト ½ ²   z", "tab\t\tx\r\n\r\ny", "é" * 50, "😀😀 👩‍👩‍👧", "'", "abc<|endof", "ﬁne ① Ａ e\u0301 Σας ΣΑΣ İ", "a\x1cb\x85c\xa0d\u2003e", "▁▁ x ▁", "a\x00b", "  x  ", "word " * 40000,
+]
+
+
+def documents(spark, n=300, seed=5):
+    """Odd texts, texts of some words, exact and near copies; one source has a third of the rows; extra clashing columns."""
+    rnd = random.Random(seed)
+    vocab = ["".join(rnd.choice("abcdefghijé") for _ in range(rnd.randint(1, 8))) for _ in range(400)]
+    texts = list(ODD)
+    for _ in range(n):
+        t = " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 150)))
+        texts.append(t)
+        if rnd.random() < 0.15:
+            texts += [t] * rnd.randint(1, 4)
+        if rnd.random() < 0.3 and len(t) > 300:
+            words = t.split(" ")
+            words[rnd.randrange(len(words))] = "changed"
+            texts.append(" ".join(words))
+    rows = [(i * 3 + 1, t, None if i % 11 == 0 else "big" if i % 3 == 0 else f"s{i % 5}", None if t is None else len(t), i, "x") for i, t in enumerate(texts)]
+    rows += [(None, "no key here", "s1", 11, 0, "x"), (None, None, None, None, None, None), rows[-1], rows[-1], rows[-2]]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, size int, kept string"), rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tmp_path_factory):
+    df, rows = documents(spark)
+    path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
+    df.repartition(3).write.parquet(path)
+    return spark.read.parquet(path), rows
+
+
+def multiset(rows):
+    return collections.Counter(tuple(r) for r in rows)
+
+
+def folder(docs):
+    return docs.inputFiles()[0].rsplit("/documents.parquet", 1)[0]
+
+
+def test_sharding(spark, docs):
+    df, rows = docs
+    out = queries.op1_sharding(spark, folder(df)).collect()
+    want = collections.Counter((r[0], len((r[1] or "").encode()) + 16, zlib.crc32((r[1] or "").encode())) for r in rows)
+    assert collections.Counter((r.doc_id, r["size"], r.text_crc32) for r in out) == want
+    slots = collections.defaultdict(list)
+    for r in out:
+        slots[r.shard].append(r.slot)
+        assert r.law == "key" and 0 <= r.shard < 40 and r.grown_shard in (r.shard, 40)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) > 30
+    full = sharding.shard(df, 3, bucket_bytes=20_000)
+    got = full.collect()
+    assert multiset((r.doc_id, r.text, r.source, r.n_chars, r["size"], r.kept) for r in got) == multiset(rows)
+    assert full.select("bucket").distinct().count() > 3
+    again = sharding.shard(df.repartition(7), 3, bucket_bytes=20_000).collect()
+    assert multiset((r.doc_id, r.text, r.shard, r.slot) for r in got) == multiset((r.doc_id, r.text, r.shard, r.slot) for r in again)
+    one = sorted((r.slot, r.doc_id) for r in got if r.shard == 1 and r.doc_id is not None)
+    assert [d for _, d in one] != sorted(d for _, d in one)
+    assert sharding.shard(df.limit(0), 4).count() == 0
+    small = {r[0]: r[1] for r in df.limit(40).select("doc_id", sharding.shard_of(df.doc_id, 40)).collect()}
+    assert all(r.shard == small[r.doc_id] for r in out if r.doc_id in small)
+
+
+def test_topk(spark):
+    rnd = random.Random(3)
+    vec = lambda d=6: [rnd.choice([-0.9, 0.25, rnd.uniform(-2, 2)]) for _ in range(d)]
+    rows = [(i, vec()) for i in range(400)] + [(500, [0.5] * 6)] * 3 + [(501, [0.5] * 6), (550, [0.5] * 3), (600, None), (650, [None] * 6), (700, [float("nan")] * 6), (None, vec()), (750, [float("inf")] * 6), (800, []), (850, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for at, (qi, q) in enumerate(ok):
+        if qi % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), i) for other, (i, v) in enumerate(ok) if other != at)
+            want += [(qi, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])]
+    for blocks in (8192, 40):
+        out = topk.top_k(df, block_rows=blocks, query_rows=3).collect()
+        assert multiset(out) == multiset(want)
+    assert topk.top_k(df.limit(0)).count() == 0
+    assert topk.top_k(df.filter("vec_id in (0, 1, 2)")).count() == 2
+
+
+def repeat_words(words):
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    count = collections.Counter(windows)
+    return len({i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(3)})
+
+
+def test_quality(spark, docs):
+    df, rows = docs
+    out = queries.op3_quality(spark, folder(df)).collect()
+    want = []
+    for r in rows:
+        words, lines, seen, dup = WORD.findall(r[1] or ""), (r[1] or "").split("\n"), set(), 0
+        for x in lines:
+            dup += bool(WORD.search(x)) and x in seen
+            seen.add(x)
+        n, rep = len(words), repeat_words(words)
+        want.append((r[0], n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", r[1] or "")), dup, rep, n < 50 or 100 * rep > 50 * n))
+    assert multiset(tuple(r)[:7] for r in out) == multiset(want)
+    assert not any(r.kept and r.base_failed for r in out)
+    prose = "\n".join(" ".join(f"word{i}x{k}" for k in range(12)) + " end." for i in range(6))
+    menu = "Home | About | Contact | Login"
+    cases = [(1, prose), (2, prose + "\n" + menu), (3, prose + "\n" + "\n".join([menu + f" {i}" for i in range(20)])), (4, prose.replace(".", "")), (5, "Of### the*** " * 40 + "."), (6, prose + "\nPlease accept our cookie policy.")]
+    found = {r.doc_id: r for r in quality.quality(spark.createDataFrame(cases, "doc_id long, text string")).collect()}
+    assert [found[i].kept for i in range(1, 7)] == [True, True, False, False, False, True]
+    assert found[2].clean_text == prose and found[6].clean_text == prose and found[1].clean_text == prose
+    kept = quality.keep_quality(df)
+    assert kept.columns == df.columns and kept.count() < df.count()
+    assert quality.quality(df.limit(0)).count() == 0
+
+
+def test_quality_keeps_good_documents(spark):
+    docs, labels = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet"), spark.read.parquet(f"{SF.replace('0.001', '0.01')}/labels.parquet")
+    got = quality.quality(docs.select("doc_id", "text")).join(labels, "doc_id").filter("not base_failed").groupBy("quality").agg({"kept": "count"}).collect()
+    kept = quality.quality(docs.select("doc_id", "text")).join(labels, "doc_id").filter("kept").groupBy("quality").count().collect()
+    all_of, kept_of = {r[0]: r[1] for r in got}, {r[0]: r[1] for r in kept}
+    assert kept_of[1] >= 0.99 * all_of[1] and kept_of.get(0, 0) <= 0.2 * all_of.get(0, 1)
+
+
+def test_sentencepiece(spark, docs):
+    import sentencepiece
+
+    df, rows = docs
+    library = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    out = sentencepieces.encode_pieces(df, P.path("piece_bpe_32k.model")).collect()
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want, codes = collections.Counter(), {}
+    for r in rows:
+        codes[r[1]] = codes.get(r[1]) or library.encode(r[1] or "", add_bos=True, add_eos=True)
+        ids = codes[r[1]]
+        want[r[0], len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha(library.decode(ids).encode())] += 1
+    assert multiset(queries.op4_sentencepiece(spark, folder(df)).collect()) == want
+    for r in out:
+        spans, data = memoryview(r.spans).cast("I").tolist(), (r.text or "").encode()
+        starts, ends = spans[0::2], spans[1::2]
+        assert starts[0] == ends[0] == 0 and ends[-1] == starts[-1] == len(data)
+        assert all(a == b for a, b in zip(starts[1:], ends[:-1])) and b"".join(data[a:b] for a, b in zip(starts, ends)) == data
+        for i, a, b in list(zip(memoryview(r.ids).cast("I").tolist(), starts, ends))[1:300]:
+            piece = library.id_to_piece(i)
+            if not library.is_byte(i) and not library.is_control(i):
+                assert data[a:b].decode() in (piece.replace("▁", " "), piece, piece.replace("▁", " ").removeprefix(" ")) or "▁" in data[a:b].decode()
+    assert sentencepieces.encode_pieces(df.limit(0), P.path("piece_bpe_32k.model")).count() == 0
+
+
+@pytest.mark.parametrize("rule", ["nfkc", "nmt_nfkc", "nmt_nfkc_cf"])
+def test_character_map(rule):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+    own = sentencepieces.Normaliser.of(library.serialized_model_proto())
+    for text in [t for t in ODD if t and len(t) < 1000] + ["  ㌔ ｱﾞ e\u0301  Ａ① "]:
+        data, places = own(text.encode())
+        assert data.decode() == library.normalize(text)
+        assert len(places) == len(data) + 1 and (places[1:] >= places[:-1]).all() and places[-1] <= len(text.encode())
+
+
+def test_token_counts(spark, docs):
+    from tokenizers import Tokenizer
+
+    df, rows = docs
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    n = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    known = {t: n(t or "") for t in {r[1] for r in rows}}
+    want = collections.Counter((r[0], len((r[1] or "").encode()), known[r[1]], known[r[1]] > 512) for r in rows)
+    assert multiset(queries.op5_token_counts(spark, folder(df)).collect()) == want
+    counter = token_counts.prefix_counter(open(P.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    for text in [t for t in ODD if t is not None and len(t) < 1000] + ["a\n \n  b c\n", "it'll  'll  x've"] + [r[1] for r in rows[40:60]]:
+        stored = counter.growth(text).astype("<i2").tobytes()
+        counts = [n(text[:i]) for i in range(len(text) + 1)]
+        assert token_counts.prefix_counts(stored).tolist() == counts, text
+        for budget in (0, 3, 20):
+            assert token_counts.longest_prefix(stored, budget) == max(i for i, c in enumerate(counts) if c <= budget)
+    assert token_counts.count_tokens(df.limit(0), P.path("byte_bpe_50k.json")).count() == 0
+
+
+def test_url_filters(spark, tmp_path):
+    urls = [None, "", "no scheme", "http://", "http://EXAMPLE.org/es/x", "https://a.example.org/en/12?x", "https://example.org/en/2", "http://x.com/fr/1", "http://com/de/", "http://fr.com/de/a/b#c", "ftp://spam-farm.net", "http://www.cheap-pills.example.com/fr/1",
+            "http://www.cheap-pills.example.com/it/1", "http://notcheap-pills.net/", "http://b.io/a/casino/c", "x://y://z/?q=://", "http://h.org?x/es/", "http://com", "http://a.com/fr/\nq"]
+    rows = [(i, u) for i, u in enumerate(urls)] + [(None, urls[4]), (3, urls[4]), (3, urls[4])]
+    df = spark.createDataFrame(rows, "page_id long, url string").withColumns({"host": __import__("pyspark.sql.functions", fromlist=["lit"]).lit("own")})
+    df.write.parquet(str(tmp_path / "pages.parquet"))
+
+    def judge(url):
+        rest = url.partition("://")[2] if url and "://" in url else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+        fits = [r for r in url_filters.LIST if (lambda h, p: (host == h or host.endswith("." + h)) and path.startswith("/" + p))(*r.name.split("/", 1))]
+        if fits:
+            best = max(fits, key=lambda r: len(r.name))
+            return host, path, best.name, best.verdict
+        blocked = any(re.search(r.regex(), host + path) for r in url_filters.PATTERNS)
+        return host, path, None, "block" if blocked else "allow"
+
+    out = queries.op6_url_filters(spark, str(tmp_path))
+    assert multiset(out.collect()) == collections.Counter((i, *judge(u)) for i, u in rows)
+    assert "_host" in url_filters.filter_urls(df).columns
+    assert url_filters.filter_urls(df.limit(0)).count() == 0
+    bare = [url_filters.UrlRule("any", "block", "*pills*"), url_filters.UrlRule("a", "block", "||b.io^")]
+    got = {r.page_id: r.verdict for r in url_filters.filter_urls(df.filter("page_id is not null"), rules=bare).collect()}
+    assert got[11] == got[12] == got[13] == got[14] == "block" and got[7] == "allow"
+
+
+def brute_components(prints, keys):
+    nodes = sorted(set(prints))
+    root = {p: p for p in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            if (a ^ b).bit_count() <= 3:
+                root[find(a)] = find(b)
+    least = {}
+    for p, k in zip(prints, keys):
+        r = find(p)
+        least[r] = min((x for x in (least.get(r), k) if x is not None), default=None)
+    return [least[find(p)] for p in prints]
+
+
+def brute_print(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
+
+
+def test_simhash(spark, docs, monkeypatch):
+    df, rows = docs
+    cache = {}
+    prints = [cache.setdefault(r[1], None) or cache.__setitem__(r[1], brute_print(r[1])) or cache[r[1]] for r in rows]
+    want = collections.Counter((r[0], f"{p:016x}", c) for r, p, c in zip(rows, prints, brute_components(prints, [r[0] for r in rows])))
+    out = queries.op7_simhash(spark, folder(df))
+    assert multiset(out.collect()) == want
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    comps = {(r[0], r[1]): c for r, c in zip(rows, brute_components(prints, [r[0] for r in rows]))}
+    groups = collections.Counter(comps[r.doc_id, r.text] for r in kept.collect())
+    assert groups == collections.Counter(set(comps.values()))
+
+
+@pytest.mark.parametrize("parts,tile", [(1, 50), (2, 2048), (2, 7), (4, 2048)])
+def test_near_links_on_dense_groups(spark, monkeypatch, parts, tile, tmp_path):
+    rnd = random.Random(parts * 100 + tile)
+    prints = {rnd.getrandbits(64) for _ in range(150)} | {0, 2**64 - 1}
+    for _ in range(4):
+        centre = rnd.getrandbits(64)
+        chain = centre
+        for _ in range(30):
+            prints.add(centre ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)))
+            chain ^= 1 << rnd.randrange(64) ^ 1 << rnd.randrange(64)
+            prints.add(chain)
+    prints = sorted(prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    monkeypatch.setattr(simhash, "parts_for", lambda n: parts)
+    spark.createDataFrame([(s,) for s in signed], "fp long").write.parquet(str(tmp_path / "p"))
+    roots = {r.node: r.root for r in simhash.components(simhash.near_links(spark.read.parquet(str(tmp_path / "p")), tile=tile)).collect()}
+    got, want = collections.defaultdict(set), collections.defaultdict(set)
+    for s, c in zip(signed, brute_components(prints, signed)):
+        got[roots.get(s, s)].add(s)
+        want[c].add(s)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def fill(sizes, weights=(5, 2, 1)):
+    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    w = {s: weights[i % 3] for i, s in enumerate(order)}
+    target, free, left = {}, set(sizes), float(sum(sizes.values()))
+    while free:
+        total = sum(w[s] for s in free)
+        over = [s for s in free if left * w[s] / total > 3 * sizes[s]]
+        if not over:
+            target |= {s: left * w[s] / total for s in free}
+            break
+        for s in over:
+            target[s] = 3.0 * sizes[s]
+        free -= set(over)
+        left -= sum(target[s] for s in over)
+    return target
+
+
+def test_mixing(spark, docs):
+    df, rows = docs
+    out = queries.op8_mixing(spark, folder(df)).collect()
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r[2]] += len(WORD.findall(r[1] or ""))
+    source = {(r[0], len(WORD.findall(r[1] or ""))): r[2] for r in rows}
+    want, taken = fill(sizes), collections.Counter()
+    for r in out:
+        s = source[r.doc_id, r["size"]] if r.doc_id is not None else None
+        if r.doc_id is not None:
+            assert r.source_size == sizes[s] and r.target == pytest.approx(want[s])
+        assert 0 <= r.taken <= 3 * r["size"]
+    assert len(out) == len(rows)
+    mixed = mixing.mix(df)
+    for r in mixed.collect():
+        taken[r.source] += r.copies * r["size"]
+    most = {s: max(len(WORD.findall(r[1] or "")) for r in rows if r[2] == s) for s in sizes}
+    assert all(abs(taken[s] - want[s]) <= 2 * most[s] for s in sizes)
+    again = mixing.mix(df.repartition(5), weights=(5, 2, 1)).collect()
+    assert multiset((r.doc_id, r.copies) for r in again) == multiset((r.doc_id, r.copies) for r in mixed.collect())
+    took = mixing.take(df)
+    assert took.columns == df.columns
+    assert took.count() == sum(r.copies for r in again)
+    assert mixing.mix(df.limit(0)).count() == 0 and mixing.mix(df.filter("text is null")).count() > 0
+
+
+def test_chat(spark):
+    rows = [
+        (1, 0, "user", "How do I bake bread?\nI have flour and water."),
+        (1, 1, "assistant", "On Monday A wrote:\n> How do I bake bread?\n\nMix and wait for an hour."),
+        (1, 2, "user", "> Mix and   WAIT for\n> an hour.\n>> How do I bake bread?\nWhy an hour?"),
+        (1, 3, "user", "> I have flour and water.\nSo have I."),
+        (1, 4, None, "> never said by anyone here\nHm."),
+        (2, 0, "user", "> How do I bake bread?\nAnother talk."),
+        (2, 5, "user", "Later."), (2, 5, "user", "Later."), (None, 1, "user", "> x y z\nloose"), (3, None, "user", None), (4, 0, None, None), (4, 1, "user", ""),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.link_quotes(df).collect()
+    assert len(out) == len(rows)
+    got = {(r.conv_id, r.turn): r for r in out}
+    reply = {k: (r.reply_to, r.linked, r.thread, r.depth) for k, r in got.items()}
+    assert reply[1, 0] == (None, False, 0, 0) and reply[1, 1] == (0, True, 0, 1) and reply[1, 2] == (1, True, 0, 2)
+    assert reply[1, 3] == (0, True, 0, 1) and reply[1, 4] == (3, False, 0, 2)
+    assert reply[2, 0] == (None, False, 0, 0) and reply[2, 5] == (None, False, 5, 0) and reply[None, 1] == (None, False, None, None)
+    assert got[1, 1].own_text == "Mix and wait for an hour." and got[1, 2].own_text == "Why an hour?" and got[None, 1].own_text == "loose"
+    assert got[1, 4].formatted == "<|user|>\nHm.\n" and got[4, 0].own_text is None
+    assert chat.parse(">> a\n> b\nc")[1] == sorted([(2, chat.passage_hash("a")), (1, chat.passage_hash("b"))])
+    assert chat.link_quotes(df.limit(0)).count() == 0
+    long = spark.createDataFrame([(9, i, "user", f"> message number {i - 1} says so\nmessage number {i} says so") for i in range(70)], df.schema)
+    assert {r.turn: (r.depth, r.thread) for r in chat.link_quotes(long).collect()} == {i: (i, 0) for i in range(70)}
+    whole = spark.read.parquet(f"{SF}/conversations.parquet")
+    assert queries.op9_chat(spark, SF).count() == whole.count()
+
+
+def test_token_store(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    df, rows = docs
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    ids = {t: library.encode(t or "", add_special_tokens=False).ids + [1] for t in {r[1] for r in rows}}
+    crc = {t: zlib.crc32(b"".join(i.to_bytes(4, "little") for i in x)) for t, x in ids.items()}
+    out = queries.op10_token_store(spark, folder(df)).collect()
+    assert multiset((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == collections.Counter((r[0], len(ids[r[1]]), crc[r[1]]) for r in rows)
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0, r.start)
+    at = 0
+    for r in sorted(out, key=key):
+        assert r.start == at
+        at += r.n_tokens
+    path = str(tmp_path / "store")
+    token_store.write_store(df, path, P.path("word_bpe_49k.json"))
+    back = token_store.read_documents(spark, path, P.path("word_bpe_49k.json")).collect()
+    assert multiset((r.doc, tuple(r.ids)) for r in back) == collections.Counter((r[0], tuple(ids[r[1]])) for r in rows)
+    chunks = token_store.stored_chunks(spark, path)
+    assert chunks.count() == chunks.select("key").distinct().count()
+    total = sum(len(x) for x in map(ids.get, (r[1] for r in rows)))
+    assert sum(len(r.payload) // 2 for r in chunks.collect()) < total
+    bad = str(tmp_path / "bad")
+    files = spark.read.parquet(f"{path}/store")
+    from pyspark.sql import functions as F
+
+    files.withColumn("payload", F.when(F.length("payload") > 8, F.overlay("payload", F.lit(b"\x07"), F.lit(3))).otherwise(F.col("payload"))).write.partitionBy("kind").parquet(f"{bad}/store")
+    spark.read.parquet(f"{path}/index").write.partitionBy("kind").parquet(f"{bad}/index")
+    with pytest.raises(Exception, match="doesn't match its hash"):
+        token_store.read_digests(spark, bad, P.path("word_bpe_49k.json")).collect()
+    token_store.write_store(df.limit(0), str(tmp_path / "none"), P.path("word_bpe_49k.json"))
+    assert token_store.read_digests(spark, str(tmp_path / "none"), P.path("word_bpe_49k.json")).count() == 0
+
+
+def test_chunks_follow_content():
+    rnd = random.Random(2)
+    import numpy as np
+
+    passage = np.array([rnd.randrange(49000) for _ in range(20000)])
+    a, b = np.concatenate([[5] * 37, passage]), np.concatenate([passage, [9] * 100])
+    table = token_store.gear()
+    pieces = []
+    for x in (a, b):
+        ends = token_store.cuts(x, np.array([0, len(x)]), table)[0]
+        assert ends[-1] == len(x) and all(token_store.LEAST <= e - s <= token_store.MOST for s, e in zip([0, *ends[:-2]], ends[:-1]))
+        pieces.append({tuple(x[s:e]) for s, e in zip([0, *ends], ends)})
+    assert len(pieces[0] & pieces[1]) > 0.8 * len(pieces[0])
