@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: A batch of texts is worked on in slices of about this many characters, so that memory in a task is bounded.
@@ -50,7 +51,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
     """Slices of the batches with their texts, each of about `limit` characters; a longer text is alone in its slice."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = [x or 0 for x in pa.compute.binary_length(texts).to_pylist()]
+        sizes = [x or 0 for x in pc.binary_length(texts).to_pylist()]
         begin, total = 0, 0
         for i, n in enumerate(sizes):
             if i > begin and total + n > limit:
