@@ -1,0 +1 @@
+"""Spark-native operators for customer and lead data."""
