@@ -213,7 +213,7 @@ def parsed_date(c: ColumnLike, layouts: Iterable[tuple[str, str | None]] = tuple
     text = F.trim(as_col(c).cast("string"))
     found = [F.when(text.rlike(p), F.try_to_timestamp(text) if f is None else F.try_to_timestamp(text, F.lit(f))) for p, f in layouts]
     compact = F.when(text.rlike(r"^\d{8}$"), F.coalesce(F.try_to_timestamp(text, F.lit("ddMMyyyy")), F.try_to_timestamp(text, F.lit("yyyyMMdd"))))
-    epoch = F.when(text.rlike(r"^\d{13}$"), F.timestamp_millis(text.try_cast("long"))).when(text.rlike(r"^\d{9,10}$"), F.timestamp_seconds(text.try_cast("long")))
+    epoch = F.when(text.rlike(r"^\d{12,13}$"), F.timestamp_millis(text.try_cast("long"))).when(text.rlike(r"^\d{9,10}$"), F.timestamp_seconds(text.try_cast("long")))
     return F.coalesce(*found, compact, epoch)
 
 

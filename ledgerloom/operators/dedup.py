@@ -124,7 +124,7 @@ def dedup_hash(df: DataFrame, cols: list[str], order: list[str], fold: bool = Tr
 
 def dedup_ignore_dates(df: DataFrame, date: str, tie: list[str] | None = None) -> DataFrame:
     """Of rows alike but for dates and times, the newest."""
-    same = [c for c, t in df.dtypes if t not in ("date", "timestamp", "timestamp_ntz") and not any(p in c.lower() for p in ("date", "data", "hora", "time")) and c not in (tie or [])]
+    same = [c for c, t in df.dtypes if t not in ("date", "timestamp", "timestamp_ntz") and not any(p in c.lower() for p in ("date", "data", "hora", "time")) and c != date and c not in (tie or [])]
     order = [as_time(df, date).desc_nulls_last(), *(F.col(f"`{t}`") for t in tie or [])]
     key = F.xxhash64(*[F.col(f"`{c}`") for c in same])
     return df.withColumn("_n", F.row_number().over(W.partitionBy(key, *[F.col(f"`{c}`") for c in same]).orderBy(*order))).filter("_n = 1").drop("_n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 METRICS = ["records_processed", "processing_time_seconds", "memory_usage_mb", "cpu_usage_percent", "error_count", "success_rate", "latency_ms", "throughput_records_per_sec", "data_quality_score"]
 CHECKED = ["processing_time_seconds", "memory_usage_mb", "cpu_usage_percent", "error_count", "success_rate", "latency_ms", "data_quality_score"]
@@ -51,13 +51,12 @@ def alerts(metrics: DataFrame, anomalies: DataFrame | None = None, pipeline: str
     return out.unionByName(anomalies.filter(F.col("severity").isin("high", "critical")).select(pipeline, timestamp, F.lit("anomaly_detected").alias("alert_type"), "severity", "value"))
 
 
-def run_metrics(df: DataFrame, name: str, bad: str = "false") -> tuple[DataFrame, Observation]:
-    """The table, observed as it is written: rows and error rows, with no second pass. Read .get after the action."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("records_processed"), F.count_if(F.expr(bad)).alias("error_count")), seen
+def run_metrics(df: DataFrame, name: str, started: float, ended: float, bad: str = "false") -> DataFrame:
+    """One row of a job's output: rows, error rows, seconds, success rate and throughput.
 
-
-def run_summary(observed: dict, name: str, started: float, ended: float) -> dict:
-    """Seconds, success rate and throughput from what was observed."""
-    n, bad, seconds = observed["records_processed"], observed["error_count"], max(ended - started, 1e-9)
-    return {"pipeline_name": name, "records_processed": n, "error_count": bad, "processing_time_seconds": seconds, "success_rate": (n - bad) / n if n else 1.0, "throughput_records_per_sec": n / seconds}
+    One aggregate over the written table; an Observation would spare it, but in Spark 4.1 a session that has used one can
+    no longer send fitted forests to its executors.
+    """
+    seconds = max(ended - started, 1e-9)
+    n, errors = F.count("*"), F.count_if(F.expr(bad))
+    return df.agg(F.lit(name).alias("pipeline_name"), n.alias("records_processed"), errors.alias("error_count"), F.lit(seconds).alias("processing_time_seconds"), F.when(n > 0, (n - errors) / n).otherwise(1.0).alias("success_rate"), (n / F.lit(seconds)).alias("throughput_records_per_sec"))

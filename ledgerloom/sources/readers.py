@@ -7,7 +7,11 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SEPARATORS = (",", ";", "|", "\t")
-ENCODINGS = ("UTF-8", "ISO-8859-1", "windows-1252")
+ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
+#: Lines in which a wrong encoding is looked for.
+PROBED = 1000
+#: What Latin-1 has as control characters and Windows 1252 as letters and marks.
+LATIN, WINDOWS = zip(*((chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")), strict=True)
 CORRUPT = "_corrupt_record"
 
 
@@ -17,25 +21,35 @@ def identifier_schema(columns: Iterable[str], types: dict[str, str] | None = Non
     return T.StructType([T.StructField(c, T._parse_datatype_string(fixed.get(c, "string"))) for c in columns])
 
 
+def charset(encoding: str) -> str:
+    """Windows 1252 is read as Latin-1, and its own characters are put in after that."""
+    return "ISO-8859-1" if encoding == "windows-1252" else encoding
+
+
 def header_of(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
     """Column names of the first line, quotes minded; only that line is read."""
-    first = spark.read.option("encoding", encoding).option("sep", sep).option("header", False).csv(path).limit(1).first()
+    first = spark.read.option("encoding", charset(encoding)).option("sep", sep).option("header", False).csv(path).limit(1).first()
     return [str(c if c is not None else f"column{i}").lstrip("﻿").strip() for i, c in enumerate(first)] if first else []
 
 
-def sound(names: list[str]) -> bool:
-    """No replacement characters from a wrong encoding."""
-    return not any("�" in n for n in names)
+def may_be(spark: SparkSession, path: str, encoding: str) -> bool:
+    """UTF-8 only if the first lines decode."""
+    return encoding.upper() != "UTF-8" or spark.read.text(path).limit(PROBED).filter(F.col("value").contains("\ufffd")).isEmpty()
 
 
 def read_delimited(spark: SparkSession, path: str, seps: Iterable[str] = SEPARATORS, encodings: Iterable[str] = ENCODINGS, types: dict[str, str] | None = None) -> DataFrame:
     """The first separator and encoding that give more than one column; else an error. Everything is text unless
     a type is given. Only header lines are probed; the data is read once, when used."""
     for encoding in encodings:
+        if not may_be(spark, path, encoding):
+            continue
         for sep in seps:
             names = header_of(spark, path, sep, encoding)
-            if len(names) > 1 and sound(names):
-                return spark.read.csv(path, sep=sep, encoding=encoding, header=True, schema=identifier_schema(names, types), enforceSchema=True, multiLine=False)
+            if len(names) > 1:
+                df = spark.read.csv(path, sep=sep, encoding=charset(encoding), header=True, schema=identifier_schema(names, types), enforceSchema=True, multiLine=False)
+                if encoding == "windows-1252":
+                    df = df.withColumns({c: F.translate(F.col(f"`{c}`"), "".join(LATIN), "".join(WINDOWS)) for c, t in df.dtypes if t == "string"})
+                return df
     raise ValueError(f"no separator gives more than one column: {path}")
 
 
@@ -49,10 +63,12 @@ def read_many(spark: SparkSession, paths: Iterable[str], seps: Iterable[str] = S
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the schema, and the lines that don't."""
+    """Rows that fit the schema, and those that don't, with their line."""
     full = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
     rows = spark.read.csv(path, sep=sep, header=True, schema=full, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    # Spark reads the line only beside other columns, so the filter has all of them
+    read = F.xxhash64(*schema.names) >= F.lit(-(1 << 63))
+    return rows.filter(F.col(CORRUPT).isNull() & read).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull() & read)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
