@@ -40,15 +40,16 @@ class QualityRules:
     menu_separators: int = 2
     furniture_words: int = 20
     symbols_per_word: float = 0.1
-    max_lost: float = 0.3
+    fragment_words: int = 12
+    max_lost: float = 0.4
 
 
 RULES = QualityRules()
 
 
 def line_fails(line: str, rules: QualityRules = RULES) -> str:
-    """The rule by which a line fails, or nothing: punctuation (symbols in place of words, or no mark at its end),
-    navigation (entries with separators), boilerplate (a short line with a phrase of page furniture). Blank lines pass."""
+    """The rule by which a line fails, or nothing: punctuation (symbols in place of words, or a fragment without a mark at
+    its end), navigation (entries with separators), boilerplate (a short line with a phrase of page furniture). Blank lines pass."""
     bare = line.strip(WHITE)
     if not bare:
         return ""
@@ -59,7 +60,7 @@ def line_fails(line: str, rules: QualityRules = RULES) -> str:
         return "boilerplate"
     if sum(map(bare.count, SYMBOLS)) > rules.symbols_per_word * len(words):
         return "punctuation"
-    return "" if bare[-1] in TERMINAL else "punctuation"
+    return "" if bare[-1] in TERMINAL or len(words) > rules.fragment_words else "punctuation"
 
 
 def clean_lines(text: str, rules: QualityRules = RULES) -> tuple[str, float]:

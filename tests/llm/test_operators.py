@@ -118,7 +118,7 @@ def test_quality(spark, docs):
     assert not any(r.kept and r.base_failed for r in out)
     prose = "\n".join(" ".join(f"word{i}x{k}" for k in range(12)) + " end." for i in range(6))
     menu = "Home | About | Contact | Login"
-    cases = [(1, prose), (2, prose + "\n" + menu), (3, prose + "\n" + "\n".join([menu + f" {i}" for i in range(20)])), (4, prose.replace(".", "")), (5, "Of### the*** " * 40 + "."), (6, prose + "\nPlease accept our cookie policy.")]
+    cases = [(1, prose), (2, prose + "\n" + menu), (3, prose + "\n" + "\n".join([menu + f" {i}" for i in range(20)])), (4, prose.replace(" end.", "").replace("x0", "x0\n")), (5, "Of### the*** " * 40 + "."), (6, prose + "\nPlease accept our cookie policy.")]
     found = {r.doc_id: r for r in quality.quality(spark.createDataFrame(cases, "doc_id long, text string")).collect()}
     assert [found[i].kept for i in range(1, 7)] == [True, True, False, False, False, True]
     assert found[2].clean_text == prose and found[6].clean_text == prose and found[1].clean_text == prose
