@@ -71,7 +71,7 @@ def phone_features(spark, sf_dir):
 
 
 @query(f"""
-    select id, length(nome) as nome_length, cast(coalesce(contains(email, '@'), false) as integer) as has_email, cast(coalesce(contains(telefone, '55'), false) as integer) as has_whatsapp,
+    select id, cast(length(nome) as integer) as nome_length, cast(coalesce(contains(email, '@'), false) as integer) as has_email, cast(coalesce(contains(telefone, '55'), false) as integer) as has_whatsapp,
            cast(coalesce(contains(email, '@'), false) as integer) + cast(length(nome) > 5 as integer) as data_quality_score
     from {LEADS_SQL}
 """)
@@ -121,7 +121,7 @@ def proper_names(spark, sf_dir):
     return s.proper_names(leads(spark, sf_dir), ["nome"], strip_titles=True).select("id", "nome")
 
 
-@query(f"select doc_id, md5(lower(translate(text, '{LETTERS}', '{PLAIN}'))) as folded_md5, length(regexp_replace(lower(translate(text, '{LETTERS}', '{PLAIN}')), '[^a-z0-9]', '', 'g')) as key_length from documents")
+@query(f"select doc_id, md5(lower(translate(text, '{LETTERS}', '{PLAIN}'))) as folded_md5, cast(length(regexp_replace(lower(translate(text, '{LETTERS}', '{PLAIN}')), '[^a-z0-9]', '', 'g')) as integer) as key_length from documents")
 def fold_text(spark, sf_dir):
     df = table(spark, sf_dir, "documents").select("doc_id", "text")
     return df.select("doc_id", F.md5(s.folded("text")).alias("folded_md5"), F.length(s.match_key("text")).alias("key_length"))
@@ -133,10 +133,10 @@ def clean_text(spark, sf_dir):
     return df.select("doc_id", F.md5("text").alias("clean_md5"))
 
 
-@query("select o_orderkey, cast(o_totalprice as decimal(15, 2)) as amount, concat('R$ ', translate(format('{:,.2f}', cast(o_totalprice as decimal(15,2))), ',.', '.,')) as amount_text from orders")
+@query("select o_orderkey, cast(cast(o_totalprice as decimal(15, 2)) as double) as amount, concat('R$ ', translate(format('{:,.2f}', cast(o_totalprice as decimal(15,2))), ',.', '.,')) as amount_text from orders")
 def money_round_trip(spark, sf_dir):
     df = table(spark, sf_dir, "orders").select("o_orderkey", s.money_text("o_totalprice").alias("amount_text"))
-    return s.parse_money(df.withColumn("amount", F.col("amount_text")), ["amount"]).select("o_orderkey", "amount", "amount_text")
+    return s.parse_money(df.withColumn("amount", F.col("amount_text")), ["amount"]).select("o_orderkey", F.col("amount").cast("double").alias("amount"), "amount_text")
 
 
 @query("""
@@ -228,7 +228,7 @@ def privacy(spark, sf_dir):
     return s.mask_email(df, "email").select("id", "id_unico", "id_anonimo", "cpf_anonimizado", "email")
 
 
-@query("select o_orderkey, datediff('minute', timestamp '1990-01-01', o_orderdate) * 1.0 as minutes from orders")
+@query("select o_orderkey, datediff('minute', timestamp '1990-01-01', o_orderdate) * 1.0::double as minutes from orders")
 def minutes_between(spark, sf_dir):
     df = table(spark, sf_dir, "orders").withColumn("start", F.lit("1990-01-01").cast("timestamp"))
     return s.minutes_between(df, "start", "o_orderdate").select("o_orderkey", F.col("minutes").cast("double").alias("minutes"))

@@ -209,7 +209,7 @@ def project_tables(spark, sf_dir):
 @query("""
     with k as (select distinct event_type as file, 'k' as "column" from events union select distinct event_type, concat('Col ', upper(substr(event_type, 1, 1))) from events where event_type in ('error', 'view', 'click')
                union select distinct 'error', 'col_e' from events)
-    select "column", count(distinct file) as files, count(distinct file) = (select count(distinct file) from k) as in_all, case when "column" in ('Col E', 'col_e') then 2 else 1 end as n_variants from k group by "column"
+    select "column", count(distinct file) as files, count(distinct file) = (select count(distinct file) from k) as in_all, case when "column" in ('Col E', 'col_e') then 2::bigint else 1::bigint end as n_variants from k group by "column"
 """)
 def column_presence(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_type", F.explode(F.json_object_keys("props")).alias("column")).select(F.col("event_type").alias("file"), "column")

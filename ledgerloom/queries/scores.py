@@ -36,8 +36,8 @@ def qualified(spark, sf_dir):
 
 
 @query(f"""
-    select id, least(case when contains(lower(coalesce(cargo, '')), 'ceo') then 15.0 else 0 end + case when telefone is not null then 10.0 else 0 end + case when segmento in ('BUILDING', 'MACHINERY') then 10.0 else 0 end, 20.0) as score_prof,
-           least(case when faixa_faturamento = 'Acima de 100 milhões' then 20.0 else 0 end + case when length(coalesce(nome, '')) > 20 then 10.0 else 0 end, 40.0) as score_pot from {LEADS_SQL}
+    select id, cast(least(case when contains(lower(coalesce(cargo, '')), 'ceo') then 15.0 else 0 end + case when telefone is not null then 10.0 else 0 end + case when segmento in ('BUILDING', 'MACHINERY') then 10.0 else 0 end, 20.0) as double) as score_prof,
+           cast(least(case when faixa_faturamento = 'Acima de 100 milhões' then 20.0 else 0 end + case when length(coalesce(nome, '')) > 20 then 10.0 else 0 end, 40.0) as double) as score_pot from {LEADS_SQL}
 """)
 def score_groups(spark, sf_dir):
     spec = {
