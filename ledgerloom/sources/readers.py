@@ -62,10 +62,10 @@ def read_many(spark: SparkSession, paths: Iterable[str], seps: Iterable[str] = S
     return out
 
 
-def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the schema, and those that don't, with their line."""
     full = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.csv(path, sep=sep, header=True, schema=full, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    rows = spark.read.csv(path, sep=sep, header=header, schema=full, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
     # Spark reads the line only beside other columns, so the filter has all of them
     read = F.xxhash64(*schema.names) >= F.lit(-(1 << 63))
     return rows.filter(F.col(CORRUPT).isNull() & read).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull() & read)
