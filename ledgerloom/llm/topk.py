@@ -185,10 +185,12 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
                     "vec_id": np.concatenate([x[1] for x in found]), "copies": np.concatenate([x[2] for x in found]), "score": np.concatenate([x[3] for x in found]),
                 })
 
-    # every block of rows meets every block of queries; the pairs are dealt by both numbers
+    # every block of rows meets every block of queries; the pairs are dealt by both numbers, to so many tasks that work
+    # and not bytes decides
+    slots = min(4096, n_blocks * n_query_blocks)
     left = index.withColumn("queries", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))))
     right = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    pairs = left.join(right, ["block", "queries"]).repartition(min(4096, max(1, n_blocks * n_query_blocks)), "block", "queries").select("queries", "data", "asked")
+    pairs = left.repartition(slots, "block", "queries").join(right.repartition(slots, "block", "queries"), ["block", "queries"]).select("queries", "data", "asked")
     found = pairs.mapInPandas(search, "queries int, query int, query_id long, times long, vec_id long, copies long, score long")
     order = W.partitionBy("queries", "query").orderBy(F.desc("score"), "vec_id")
     kept = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k).drop("n")
