@@ -26,9 +26,9 @@ from pyspark.sql import Window as W
 from .shared import drop_staged, text_slices
 
 #: Least, usual and most ids of a chunk; ids under the rolling hash; chunk hashes that a task keeps to send each once.
-LEAST, USUAL, MOST, WINDOW, MEMORY = 128, 512, 4096, 16, 500_000
+LEAST, USUAL, MOST, WINDOW, MEMORY = 128, 512, 4096, 16, 200_000
 #: Words that a worker keeps the ids of, before it starts anew.
-WORDS = 600_000
+WORDS = 500_000
 #: Separators that str.split() takes as blanks and the vocabulary's pattern doesn't.
 CONTROLS = re.compile("[\x1c-\x1f]")
 
@@ -56,21 +56,50 @@ class Encoder:
         self.library, self.by_word = Tokenizer.from_str(file), by_word
         self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.marks = {m: self.alone(m) for m in ".,!?;:"} if by_word else {}
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)  # ids that end a word
+        for token, i in self.library.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+
+    def alone(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word or CONTROLS.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        words, known = text.split(), self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = list(set(words).difference(known))
-            if len(known) + len(new) > WORDS:
-                known.clear()
-                new = list(set(words))
-            for w, x in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(x.ids, self.kind).tobytes()
-            return b"".join(map(known.__getitem__, words))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return [self.alone(t) for t in texts]
+        split = [None if CONTROLS.search(t) else t.split() for t in texts]
+        new = set().union(*(x for x in split if x)).difference(self.known)
+        if new:
+            if len(self.known) + len(new) > WORDS:
+                self.known.clear()
+                new = set().union(*(x for x in split if x))
+            self.learn(new)
+        get = self.known.__getitem__
+        return [self.alone(t) if x is None else b"".join(map(get, x)) for t, x in zip(texts, split, strict=True)]
+
+    def learn(self, new: set[str]) -> None:
+        """Words of letters alone, but for a mark at the end, are encoded in one text with blanks between; others one by one."""
+        known = self.known
+        stems = {w: w[:-1] if w[-1] in self.marks and w[:-1].isalpha() else w for w in new}
+        stems = {w: s.lower() if s.isascii() else s for w, s in stems.items() if s.isalpha()}
+        fresh = list(set(stems.values()).difference(known))
+        ids = np.array(self.library.encode_batch_fast([" ".join(fresh)], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == len(fresh):
+            data, width, at = ids.tobytes(), ids.itemsize, 0
+            for s, e in zip(fresh, (ends * width).tolist(), strict=True):
+                known[s] = data[at:e]
+                at = e
+        else:  # a letter became something else in the vocabulary's normal form
+            stems = {}
+        for w, s in stems.items():
+            known[w] = known[s] + (self.marks[w[-1]] if len(w) > len(s) else b"")
+        rest = [w for w in new if w not in stems]
+        for w, x in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            known[w] = np.array(x.ids, self.kind).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -157,7 +186,7 @@ def write_store(docs: DataFrame, path: str, vocabulary_path: str, end_id: int =
         coder, table, sent = encoder(file.value), gear(), set()
         tail = np.array([end_id], coder.kind).tobytes()
         for batch, texts in text_slices(batches, "text", 800_000):
-            streams = [coder.encode(t or "") + tail for t in texts]
+            streams = [x + tail for x in coder.encode_all([t or "" for t in texts])]
             width = np.dtype(coder.kind).itemsize
             starts = np.cumsum([0] + [len(s) // width for s in streams])
             data = b"".join(streams)
