@@ -43,3 +43,17 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_without_the_training_data_operators(monkeypatch):
+    import importlib
+    import importlib.util
+
+    real = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name == "ledgerloom.llm" else real(name, *a))
+    try:
+        bare = importlib.reload(entry)
+        assert set(bare.queries()) == set(queries.QUERIES) and set(bare.oracle_sql()) == set(queries.ORACLES)
+    finally:
+        monkeypatch.undo()
+        importlib.reload(entry)
