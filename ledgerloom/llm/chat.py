@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
@@ -103,15 +104,22 @@ def link_quotes(messages: DataFrame, conversation: str = "conv_id", turn: str =
     places = keyed.select("c", "t").distinct()
     before = places.select("c", (F.col("t") + 1).alias("t"), F.col("t").alias("previous"))
     parents = places.join(links, ["c", "t"], "left").join(before, ["c", "t"], "left")
-    # jump: an ancestor on the way to the thread's beginning; depth: replies passed on the way there
-    chain = staged(parents.select("c", "t", F.coalesce("origin", "previous").alias("reply_to"), F.col("origin").isNotNull().alias("linked")).withColumn("jump", F.coalesce("reply_to", "t")).withColumn("depth", F.when(F.col("reply_to").isNull(), 0).otherwise(1)), "chain")
-    for _ in range(rounds):
-        up = chain.select("c", F.col("t").alias("jump"), F.col("jump").alias("further"), F.col("depth").alias("more"))
-        new = chain.join(up, ["c", "jump"]).select("c", "t", "reply_to", "linked", F.col("further").alias("to"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("further") != F.col("jump")).alias("moved"))
-        new = staged(new, "chain")
-        chain = new.select("c", "t", "reply_to", "linked", F.col("to").alias("jump"), "depth")
-        if new.filter("moved").isEmpty():
+    # jump: an ancestor on the way to the thread's beginning; depth: replies passed on the way there; done: it is the beginning
+    chain = parents.select("c", "t", F.coalesce("origin", "previous").alias("reply_to"), F.col("origin").isNotNull().alias("linked"))
+    chain = chain.withColumns({"jump": F.coalesce("reply_to", "t"), "depth": F.when(F.col("reply_to").isNull(), 0).otherwise(1), "done": F.col("reply_to").isNull()})
+    current, settled = staged(chain, "chain"), []
+    for _ in range(rounds):  # only places that have not arrived go on
+        settled.append(current.filter("done"))
+        active = current.filter("not done")
+        if active.isEmpty():
             break
+        everyone = reduce(DataFrame.unionByName, [*settled, active])
+        up = everyone.select("c", F.col("t").alias("jump"), F.col("jump").alias("further"), F.col("depth").alias("more"), F.col("done").alias("far"))
+        arrived = F.col("far") | (F.col("further") == F.col("jump"))
+        current = staged(active.join(up, ["c", "jump"]).select("c", "t", "reply_to", "linked", F.col("further").alias("jump"), (F.col("depth") + F.col("more")).alias("depth"), arrived.alias("done")), "chain")
+    else:
+        raise RuntimeError(f"threads did not settle in {rounds} rounds")
+    chain = reduce(DataFrame.unionByName, settled).drop("done")
     out = rows.join(chain.withColumnRenamed("jump", "thread"), ["c", "t"], "left").drop("c", "t", "quoted", "said")
     who = F.coalesce(F.col(f"`{role}`"), F.lit("user"))
     return out.withColumn("linked", F.coalesce("linked", F.lit(False))).withColumn("formatted", F.concat(F.lit("<|"), who, F.lit("|>\n"), F.col("own_text"), F.lit("\n")))
