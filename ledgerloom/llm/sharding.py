@@ -13,10 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql import Window as W
 
-from .shared import free_name, new_folder, unclash
+from .shared import free_name, new_folder, staged, unclash
 
 #: Bytes of text that one bucket holds on average; a bucket is shuffled in the memory of one task.
 BUCKET_BYTES = 8 << 20
+#: A table of bucket counts up to this number of rows (24 bytes each) is broadcast; a larger one is joined by shuffle.
+BROADCAST_BUCKETS = 500_000
 SEED = 20240229
 OWN = ("shard", "bucket", "pos", "slot", "_before")
 
@@ -69,7 +71,9 @@ def read_shards(spark, path: str, schema: T.StructType) -> DataFrame:
     rows = spark.read.schema(schema).parquet(path)
     counts = rows.groupBy("shard", "bucket").count()
     before = counts.select("shard", "bucket", (F.sum("count").over(W.partitionBy("shard").orderBy("bucket")) - F.col("count")).alias("_before"))
-    return rows.join(before, ["shard", "bucket"]).withColumn("slot", F.col("_before") + F.col("pos")).drop("_before")
+    before = staged(before, "offsets")
+    hint = F.broadcast if before.count() <= BROADCAST_BUCKETS else (lambda x: x)
+    return rows.join(hint(before), ["shard", "bucket"]).withColumn("slot", F.col("_before") + F.col("pos")).drop("_before")
 
 
 def shard(docs: DataFrame, n_shards: int = 40, key: str = "doc_id", text: str = "text", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, path: str | None = None) -> DataFrame:
