@@ -34,7 +34,7 @@ def header_of(spark: SparkSession, path: str, sep: str, encoding: str) -> list[s
 
 def may_be(spark: SparkSession, path: str, encoding: str) -> bool:
     """UTF-8 only if the first lines decode."""
-    return encoding.upper() != "UTF-8" or spark.read.text(path).limit(PROBED).filter(F.col("value").contains("\ufffd")).isEmpty()
+    return encoding.upper() != "UTF-8" or spark.read.text(path).limit(PROBED).filter(~F.is_valid_utf8("value")).isEmpty()
 
 
 def read_delimited(spark: SparkSession, path: str, seps: Iterable[str] = SEPARATORS, encodings: Iterable[str] = ENCODINGS, types: dict[str, str] | None = None) -> DataFrame:
