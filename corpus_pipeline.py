@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import mixing, quality, queries, sentencepieces, simhash
+from ledgerloom.llm import mixing, near_copies, quality, queries, sentencepieces
 from ledgerloom.llm.shared import new_folder
 
 
@@ -15,8 +15,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies (five words, similarity 0.8 or more) stays."""
+    return near_copies.keep_one(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,8 +73,13 @@ def spanning(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.
         rows.append(i + at)
         cols.append(j)
     i, j = np.concatenate(rows), np.concatenate(cols)
-    apart = a[i] != b[j]
-    nodes, ends = np.unique(np.concatenate([a[i[apart]], b[j[apart]]]).view(np.int64), return_inverse=True)
+    return thinned(a[i].view(np.int64), b[j].view(np.int64))
+
+
+def thinned(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of links between longs, those of each node to the least node of its group."""
+    apart = a != b
+    nodes, ends = np.unique(np.concatenate([a[apart], b[apart]]), return_inverse=True)
     left, right = ends[: apart.sum()], ends[apart.sum() :]
     label = np.arange(len(nodes))
     while True:
@@ -193,7 +198,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: i
     """The columns of `docs` for one document of each group: the one with the smallest key. Of rows that repeat that key
     one stays, and of a group without any key one row."""
     narrow = docs.select(F.col(f"`{key}`").alias("own_key"), F.xxhash64(F.col(f"`{text}`")).alias("own_hash"), F.col(f"`{text}`").alias("own_text"))
-    found = staged(grouped(narrow, "own_key", "own_text", radius, words), "groups")
+    return keep_first(docs, staged(grouped(narrow, "own_key", "own_text", radius, words), "groups"), key, text)
+
+
+def keep_first(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """keep_one() by a stored table of groups: own_key, own_hash (of the text), root and component_id of each row."""
     columns, text_hash = [F.col(f"`{c}`") for c in docs.columns], F.xxhash64(F.col(f"`{text}`"))
     wins = found.filter("own_key = component_id").groupBy("own_key").agg(F.min("own_hash").alias("own_hash"))
     stay = docs.join(wins, F.col(f"`{key}`") == F.col("own_key")).filter(text_hash == F.col("own_hash")).select(*columns).dropDuplicates([key])
