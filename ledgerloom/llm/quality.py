@@ -38,6 +38,7 @@ class QualityRules:
     min_words: int = 50
     max_repeat_percent: int = 50
     menu_separators: int = 2
+    entry_words: int = 6
     furniture_words: int = 20
     symbols_per_word: float = 0.1
     fragment_words: int = 12
@@ -49,12 +50,13 @@ RULES = QualityRules()
 
 def line_fails(line: str, rules: QualityRules = RULES) -> str:
     """The rule by which a line fails, or nothing: punctuation (symbols in place of words, or a fragment without a mark at
-    its end), navigation (entries with separators), boilerplate (a short line with a phrase of page furniture). Blank lines pass."""
+    its end), navigation (separators between entries of few words in the mean), boilerplate (a short line with a phrase of page furniture). Blank lines pass."""
     bare = line.strip(WHITE)
     if not bare:
         return ""
     words = bare.split()
-    if len(SEPARATORS.findall(bare)) >= rules.menu_separators:
+    separators = len(SEPARATORS.findall(bare))
+    if separators >= rules.menu_separators and len(words) - separators <= rules.entry_words * (separators + 1):
         return "navigation"
     if len(words) <= rules.furniture_words and FURNITURE.search(bare):
         return "boilerplate"
