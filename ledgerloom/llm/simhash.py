@@ -195,8 +195,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 3, words: int = 3) -> DataFrame:
-    """The columns of `docs` for one document of each group: the one with the smallest key. Of rows that repeat that key
-    one stays, and of a group without any key one row."""
+    """The columns of `docs` for one document of each group: the one with the smallest key. Of a group's rows that repeat
+    that key one stays, as does one of a group without any key. Groups that share a key have one row each."""
     narrow = docs.select(F.col(f"`{key}`").alias("own_key"), F.xxhash64(F.col(f"`{text}`")).alias("own_hash"), F.col(f"`{text}`").alias("own_text"))
     return keep_first(docs, staged(grouped(narrow, "own_key", "own_text", radius, words), "groups"), key, text)
 
@@ -204,8 +204,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: i
 def keep_first(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
     """keep_one() by a stored table of groups: own_key, own_hash (of the text), root and component_id of each row."""
     columns, text_hash = [F.col(f"`{c}`") for c in docs.columns], F.xxhash64(F.col(f"`{text}`"))
-    wins = found.filter("own_key = component_id").groupBy("own_key").agg(F.min("own_hash").alias("own_hash"))
-    stay = docs.join(wins, F.col(f"`{key}`") == F.col("own_key")).filter(text_hash == F.col("own_hash")).select(*columns).dropDuplicates([key])
+    # a text has one root, so that no two roots share a key and a hash
+    wins = found.filter("own_key = component_id").groupBy("root", "own_key").agg(F.min("own_hash").alias("own_hash")).drop("root")
+    stay = docs.join(wins, (F.col(f"`{key}`") == F.col("own_key")) & (text_hash == F.col("own_hash"))).dropDuplicates(["own_key", "own_hash"]).select(*columns)
     lone = found.filter("component_id is null").groupBy("root").agg(F.min("own_hash").alias("own_hash")).select("own_hash").distinct()
     bare = docs.filter(F.col(f"`{key}`").isNull()).join(lone, text_hash == F.col("own_hash"), "left_semi").dropDuplicates([text])
     return stay.unionByName(bare.select(*columns))
