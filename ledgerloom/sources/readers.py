@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SEPARATORS = (",", ";", "|", "\t")
 ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
-#: Lines in which a wrong encoding is looked for.
-PROBED = 1000
 #: What Latin-1 has as control characters and Windows 1252 as letters and marks.
 LATIN, WINDOWS = zip(*((chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")), strict=True)
 CORRUPT = "_corrupt_record"
@@ -33,13 +31,13 @@ def header_of(spark: SparkSession, path: str, sep: str, encoding: str) -> list[s
 
 
 def may_be(spark: SparkSession, path: str, encoding: str) -> bool:
-    """UTF-8 only if the first lines decode."""
-    return encoding.upper() != "UTF-8" or spark.read.text(path).limit(PROBED).filter(~F.is_valid_utf8("value")).isEmpty()
+    """UTF-8 only if all lines decode; the first that doesn't ends the scan."""
+    return encoding.upper() != "UTF-8" or spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty()
 
 
 def read_delimited(spark: SparkSession, path: str, seps: Iterable[str] = SEPARATORS, encodings: Iterable[str] = ENCODINGS, types: dict[str, str] | None = None) -> DataFrame:
     """The first separator and encoding that give more than one column; else an error. Everything is text unless
-    a type is given. Only header lines are probed; the data is read once, when used."""
+    a type is given. For separators only header lines are probed; for UTF-8 all lines are read, once before the data is used."""
     for encoding in encodings:
         if not may_be(spark, path, encoding):
             continue
