@@ -87,16 +87,21 @@ def modelled_imputation(spark, sf_dir):
 
 
 def drained(stream, name: str):
-    """The rows that a stream over what is there gives, kept in the session under a name."""
-    run = stream.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return stream.sparkSession.table(name)
+    """The rows that a stream over what is there gives, written to the folder that the cluster shares and read back."""
+    path = stream_folder(stream.sparkSession, name)
+    stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/out")
+
+
+def stream_folder(spark, name: str) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ledgerloom-")
+    return f"{base.rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
 @query("select event_id, user_id, event_type from events")
 def event_stream(spark, sf_dir):
     stream = streams.event_stream(spark, f"{sf_dir}/events.parquet*", events_schema(spark, sf_dir))
-    return drained(stream.select("event_id", "user_id", "event_type"), "ledgerloom_events")
+    return drained(stream.select("event_id", "user_id", "event_type"), "events")
 
 
 def events_schema(spark, sf_dir):
@@ -123,8 +128,7 @@ def monitor_stream(spark, sf_dir):
 
 @query("select event_id, user_id from (select event_id, user_id, row_number() over (partition by user_id order by ts desc, event_id) as n from events where user_id is not null) where n = 1")
 def latest_stream(spark, sf_dir):
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ledgerloom-")
-    folder = f"{base.rstrip('/')}/ledgerloom/latest-{uuid.uuid4().hex}"
+    folder = stream_folder(spark, "latest")
     schema = events_schema(spark, sf_dir)
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
     streams.latest_stream(stream, "user_id", "ts", ["event_id"], f"{folder}/out", f"{folder}/checkpoint").awaitTermination()

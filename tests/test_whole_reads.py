@@ -1,5 +1,6 @@
 """Encodings of whole files, streams that don't pass through the driver, documents of bounded size."""
 
+from ledgerloom.queries import modelling
 from ledgerloom.sources import readers
 
 
@@ -9,3 +10,11 @@ def test_accents_after_thousands_of_lines(spark, tmp_path):
         path = tmp_path / f"{encoding}.csv"
         path.write_bytes("\n".join(lines).encode(encoding))
         assert readers.read_delimited(spark, str(path)).filter("id = '5000'").first().nome == "José Ção"
+
+
+def test_streamed_events_are_files(spark):
+    sf = "/root/testdata/sf0.001"
+    got = modelling.event_stream(spark, sf)
+    assert got.inputFiles() and got.columns == ["event_id", "user_id", "event_type"]
+    want = spark.read.parquet(f"{sf}/events.parquet").select(*got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
