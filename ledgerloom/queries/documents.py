@@ -12,13 +12,25 @@ from .quality import METRICS_SQL, day_metrics
 from .scores import PREPARED_SQL, prepared
 
 
+#: Orders of a document, about.
+DOC_ORDERS = 1000
+
+
+def payment_documents(orders, pairs, most: int = DOC_ORDERS):
+    """(o_custkey, doc): the orders of a customer as one document, or as several of about `most` orders each."""
+    parts = orders.groupBy("o_custkey").agg(F.ceil(F.count("*") / most).alias("parts"))
+    wide = parts.filter("parts > 1")  # at most one in `most` orders
+    dealt = orders.join(wide, orders["o_custkey"].eqNullSafe(wide["o_custkey"]), "left").select(orders["*"], F.pmod(F.xxhash64("o_orderkey"), F.coalesce("parts", F.lit(1))).alias("part"))
+    return dealt.groupBy("o_custkey", "part").agg(F.to_json(F.map_from_entries(F.flatten(F.collect_list(pairs)))).alias("doc")).drop("part")
+
+
 @query("""
     select concat('payment_', cast(o_orderkey as varchar)) as payment_id, concat('c', cast(o_custkey as varchar), '@x.com') as customer_email, cast(o_orderdate as date) as paid_on, cast(cast(o_totalprice as decimal(15, 2)) as double) as amount, o_orderstatus = 'F' as payment_status from orders
 """)
 def payments(spark, sf_dir):
     name = lambda f: F.concat(F.lit("valuations."), F.col("o_orderkey").cast("string"), F.lit(f))
     pairs = F.array(F.struct(name(".date"), F.date_format("o_orderdate", "dd/MM/yyyy")), F.struct(name(".amount"), s.money_text("o_totalprice")), F.struct(name(".paid"), (F.col("o_orderstatus") == "F").cast("string")))
-    docs = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.map_from_entries(F.flatten(F.collect_list(pairs)))).alias("doc"))
+    docs = payment_documents(table(spark, sf_dir, "orders"), pairs)
     docs = docs.select(F.col("o_custkey").cast("string").alias("id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@x.com")).alias("email"), "doc")
     out = restructure.project_payments(docs)
     return out.select("payment_id", "customer_email", F.to_date("payment_date").alias("paid_on"), F.col("payment_amount").cast("double").alias("amount"), "payment_status")
