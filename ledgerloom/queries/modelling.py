@@ -27,7 +27,7 @@ def customers(spark, sf_dir):
 @query()
 def lead_model(spark, sf_dir):
     df = leads(spark, sf_dir).withColumn("qualidade_lead", F.when(F.col("valor") > 4000, "Alta").otherwise("Baixa"))
-    model, facts = ml.train_lead_model(df.select("id", "valor", "segmento", "cargo", "qualidade_lead"), "qualidade_lead", "id", trees=20)
+    model, facts = ml.train_lead_model(df.select("id", "valor", "segmento", "cargo", "qualidade_lead"), "qualidade_lead", "id")
     return ml.predict(df, model, facts["numbers"], facts["texts"]).select("id", "qualidade_predita", F.round("confianca_predicao", 4).alias("confianca_predicao"))
 
 
@@ -42,7 +42,7 @@ def conversion_model(spark, sf_dir):
 @query()
 def ltv_model(spark, sf_dir):
     df = customers(spark, sf_dir)
-    model, _ = ml.train_ltv(df, "spent", "c_custkey", ["c_acctbal", "n_orders", "days_since"], trees=20)
+    model, _ = ml.train_ltv(df, "spent", "c_custkey", ["c_acctbal", "n_orders", "days_since"], trees=100)
     return model.transform(ml.prepared(df, ["c_acctbal", "n_orders", "days_since"], [])).select("c_custkey", F.round("prediction", 2).alias("ltv"))
 
 
@@ -69,7 +69,7 @@ def model_comparison(spark, sf_dir):
 @query()
 def tuned_model(spark, sf_dir):
     df = customers(spark, sf_dir)
-    model, _ = ml.tune(df, "label", ["c_acctbal", "n_orders", "days_since"], {"numTrees": [10, 20], "maxDepth": [3]}, 2)
+    model, _ = ml.tune(df, "label", ["c_acctbal", "n_orders", "days_since"])
     return model.transform(ml.prepared(df, ["c_acctbal", "n_orders", "days_since"], [])).select("c_custkey", "prediction")
 
 
