@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -50,7 +50,9 @@ def drop_staged(spark: SparkSession, path: str) -> None:
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Slices of the batches with their texts, each of about `limit` characters; a longer text is alone in its slice."""
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column))
+        if (at := batch.schema.get_field_index(column)) < 0:
+            raise KeyError(f"no column {column}, or more than one, in {batch.schema.names}")
+        texts = batch.column(at)
         sizes = [x or 0 for x in pc.binary_length(texts).to_pylist()]
         begin, total = 0, 0
         for i, n in enumerate(sizes):
@@ -80,3 +82,39 @@ def unclash(df: DataFrame, names) -> tuple[DataFrame, dict[str, str]]:
                 to = "_" + to
             moved[to] = c
     return df.withColumnsRenamed({old: new for new, old in moved.items()}), moved
+
+
+class WordMemory:
+    """What a worker has worked out for words, bounded by bytes, in two generations: a word found in the old one goes to
+    the new one, and when that is full it becomes the old one. So frequent words stay, and rare ones go. Words of more
+    than `longest` characters are not kept. No result depends on what is kept."""
+
+    def __init__(self, limit: int = 128 << 20, longest: int = 64):
+        self.limit, self.longest, self.size = limit // 2, longest, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def lookup(self, words: list[str], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Of each of some distinct words its bytes; `make` works them out for a list of words."""
+        out = list(map(self.new.get, words))
+        gaps = [i for i, x in enumerate(out) if x is None]
+        if not gaps:
+            return out
+        asked = [words[i] for i in gaps]
+        found = list(map(self.old.get, asked))
+        missing = [k for k, x in enumerate(found) if x is None]
+        for k, value in zip(missing, make([asked[k] for k in missing]) if missing else [], strict=True):
+            found[k] = value
+        for i, value in zip(gaps, found, strict=True):
+            out[i] = value
+        kept = {w: x for w, x in zip(asked, found, strict=True) if len(w) <= self.longest}
+        self.new.update(kept)
+        self.size += sum(map(len, kept)) + sum(map(len, kept.values())) + 250 * len(kept)  # two objects, wide letters and their place in the table
+        if self.size > self.limit:
+            self.old, self.new, self.size = self.new, {}, 0
+        return out
+
+
+def column_after(moved: dict[str, str], name: str) -> str:
+    """The name that a column of the caller's table has after unclash() gave `moved`."""
+    return next((new for new, old in moved.items() if old.lower() == name.lower()), name)

@@ -12,105 +12,156 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql import Window as W
 
-from .shared import drop_staged, text_slices
+from .shared import WordMemory, drop_staged, text_slices
+from .token_counts import byte_letters
 
 #: Least, usual and most ids of a chunk; ids under the rolling hash; chunk hashes that a task keeps to send each once.
 LEAST, USUAL, MOST, WINDOW, MEMORY = 128, 512, 4096, 16, 200_000
-#: Words that a worker keeps the ids of, before it starts anew.
-WORDS = 500_000
-#: Separators that str.split() takes as blanks and the vocabulary's pattern doesn't.
-CONTROLS = re.compile("[\x1c-\x1f]")
 
 
 def digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+class Merkle:
+    """The root over hashes that come one by one: neighbours are hashed in pairs, level by level; a last odd one goes up
+    as it is. Only one hash a level is held."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[int, bytes]] = []  # levels, falling, and the hashes of whole subtrees
+
+    def add(self, leaf: bytes) -> None:
+        level, own = 0, hashlib.blake2b(b"\0" + leaf, digest_size=32).digest()
+        while self.stack and self.stack[-1][0] == level:
+            level, own = level + 1, hashlib.blake2b(b"\1" + self.stack.pop()[1] + own, digest_size=32).digest()
+        self.stack.append((level, own))
+
+    def root(self) -> bytes:
+        if not self.stack:
+            return b"\0" * 32
+        *rest, (_, own) = self.stack
+        for _, left in reversed(rest):
+            own = hashlib.blake2b(b"\1" + left + own, digest_size=32).digest()
+        return own
+
+
 def merkle(leaves: list[bytes]) -> bytes:
-    """The root over hashes: neighbours are hashed in pairs, level by level; a last odd one goes up as it is."""
-    level = [hashlib.blake2b(b"\0" + x, digest_size=32).digest() for x in leaves] or [b"\0" * 32]
-    while len(level) > 1:
-        level = [hashlib.blake2b(b"\1" + b"".join(level[i : i + 2]), digest_size=32).digest() if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
-    return level[0]
+    tree = Merkle()
+    for x in leaves:
+        tree.add(x)
+    return tree.root()
+
+
+#: Settings of a vocabulary file under which words between ASCII blanks don't act on each other.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+#: A run of Latin letters that no normal form changes and that have one lower-case letter each, between ASCII marks: under
+#: SPLIT the three are words of their own. (Not İ; not the apostrophe, which SPLIT may take with the letters behind it.)
+PLAIN = re.compile(r"""([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+)([!-&(-/:-@\[-`{-~]*)""")
+#: Words that the library encodes at a time; characters of a slice of texts.
+AT_ONCE, SLICE = 2000, 3_000_000
+
+
+def separates_words(spec: dict) -> bool:
+    """Whether the settings in a vocabulary file are those under which each word between ASCII blanks can be encoded alone."""
+    split = spec.get("pre_tokenizer") or {}
+    steps = split.get("pretokenizers") or []
+    model, added = spec["model"], spec.get("added_tokens") or []
+    return (
+        spec.get("normalizer") == NORMALIZER and split.get("type") == "Sequence" and len(steps) == 2 and steps[0] == SPLIT
+        and {k: v for k, v in steps[1].items() if k != "trim_offsets"} == BYTE_LEVEL
+        and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        and not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or len(t["content"].split()) != 1 for t in added)
+        and not spec.get("truncation") and not spec.get("padding")
+    )
 
 
 class Encoder:
-    """Ids of whole texts as the tokenizers library gives them. White space separates words in the vocabularies that
-    `by_word` is for, so that each word is encoded once and looked up after that."""
+    """Ids of whole texts as the tokenizers library gives them. Where the vocabulary's settings keep words between blanks
+    apart, distinct words of a slice are encoded once each and remembered."""
 
-    def __init__(self, file: str, by_word: bool = True):
+    def __init__(self, file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library, self.by_word = Tokenizer.from_str(file), by_word
-        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
-        self.marks = {m: self.alone(m) for m in ".,!?;:"} if by_word else {}
-        self.ends = np.zeros(self.library.get_vocab_size(), bool)  # ids that end a word
-        for token, i in self.library.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
+        spec = json.loads(file)
+        self.library, self.by_word, self.memory = Tokenizer.from_str(file), separates_words(spec), WordMemory()
+        self.kind = "<u4" if self.library.get_vocab_size() > 1 << 16 else "<u2"
+        self.runs = functools.lru_cache(maxsize=4096)(self.alone)
+        self.packs = [struct.Struct(f"<{n}{'I' if self.kind == '<u4' else 'H'}") for n in range(24)]
+        self.letters = {b: c for c, b in byte_letters().items()}
+        added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.special, self.lettered = re.compile("|".join(map(re.escape, added)) or "(?!)"), any(t.isalpha() for t in added)
+        self.case_counts = "|".join([r"\p{M}", *("(?i:" + re.sub(r"([^A-Za-z0-9])", r"\\\1", t) + ")" for t in added)])
 
     def alone(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts end to end, and where each text begins, and the end."""
         if not self.by_word:
-            return [self.alone(t) for t in texts]
-        split = [None if CONTROLS.search(t) else t.split() for t in texts]
-        new = set().union(*(x for x in split if x)).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > WORDS:
-                self.known.clear()
-                new = set().union(*(x for x in split if x))
-            self.learn(new)
-        get = self.known.__getitem__
-        return [self.alone(t) if x is None else b"".join(map(get, x)) for t, x in zip(texts, split, strict=True)]
-
-    def learn(self, new: set[str]) -> None:
-        """Words of letters alone, but for a mark at the end, are encoded in one text with blanks between; others one by one."""
-        known = self.known
-        stems = {w: w[:-1] if w[-1] in self.marks and w[:-1].isalpha() else w for w in new}
-        stems = {w: s.lower() if s.isascii() else s for w, s in stems.items() if s.isalpha()}
-        fresh = list(set(stems.values()).difference(known))
-        ids = np.array(self.library.encode_batch_fast([" ".join(fresh)], add_special_tokens=False)[0].ids, self.kind)
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) == len(fresh):
-            data, width, at = ids.tobytes(), ids.itemsize, 0
-            for s, e in zip(fresh, (ends * width).tolist(), strict=True):
-                known[s] = data[at:e]
-                at = e
-        else:  # a letter became something else in the vocabulary's normal form
-            stems = {}
-        for w, s in stems.items():
-            known[w] = known[s] + (self.marks[w[-1]] if len(w) > len(s) else b"")
-        rest = [w for w in new if w not in stems]
-        for w, x in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[w] = np.array(x.ids, self.kind).tobytes()
+            own = [np.array(x.ids, self.kind) for t in texts for x in self.library.encode_batch_fast([t], add_special_tokens=False)]
+            return np.concatenate(own or [np.zeros(0, self.kind)]), np.cumsum([0, *map(len, own)])
+        whole = pa.array(texts, pa.large_string())
+        # A-Z go to lower case before the normal form, but where a combining mark or a special token stands in the text
+        whole = pc.if_else(pc.match_substring_regex(whole, self.case_counts), whole, pc.ascii_lower(whole))
+        words = pc.ascii_split_whitespace(whole)
+        coded = words.values.dictionary_encode()
+        known = self.memory.lookup(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.learn)
+        flat, sizes = np.frombuffer(b"".join(known), self.kind), np.fromiter(map(len, known), np.int64, len(known)) // np.dtype(self.kind).itemsize
+        which = coded.indices.to_numpy()
+        times = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(times)])
+        first = (np.cumsum(sizes) - sizes)[which]
+        return flat[np.repeat(first - ends[:-1], times) + np.arange(ends[-1])], ends[words.offsets.to_numpy()]
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        """A run of letters goes to the library's model at once, in lower case; marks around it are kept apart; all other
+        words go through the library as they are."""
+        out: list[bytes] = [b""] * len(words)
+        rest, tokenize, packs, peek = [], self.library.model.tokenize, self.packs, self.memory.new.get
+        for i, w in enumerate(words):
+            before = after = ""
+            if not (w.isascii() and w.isalpha()) or self.lettered:
+                if (parts := PLAIN.fullmatch(w)) is None or self.special.search(w):
+                    rest.append(i)
+                    continue
+                before, w, after = parts.groups()
+            w = w.lower()
+            if not (before or after) or (own := peek(w)) is None:
+                ids = [t.id for t in tokenize(w if w.isascii() else "".join(map(self.letters.__getitem__, w.encode())))]
+                own = packs[len(ids)].pack(*ids) if len(ids) < len(packs) else np.array(ids, self.kind).tobytes()
+            out[i] = self.runs(before) + own + self.runs(after) if before or after else own
+        for at in range(0, len(rest), AT_ONCE):
+            some = rest[at : at + AT_ONCE]
+            for i, x in zip(some, self.library.encode_batch_fast([words[i] for i in some], add_special_tokens=False), strict=True):
+                out[i] = np.array(x.ids, self.kind).tobytes()
+        return out
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(key: str, file: str, by_word: bool) -> Encoder:
-    return Encoder(file, by_word)
+def _encoder(key: str, file: str) -> Encoder:
+    return Encoder(file)
 
 
 def encoder(file: str) -> Encoder:
-    """The encoder of a vocabulary; a worker makes it once. Words are looked up where the file drops white space."""
-    by_word = '"behavior":"Removed"' in re.sub(r"\s", "", file) and r"[^\\s\\p{L}\\p{N}]+" in file
-    return _encoder(hashlib.sha256(file.encode()).hexdigest(), file, by_word)
+    """The encoder of a vocabulary; a worker makes it once."""
+    return _encoder(hashlib.sha256(file.encode()).hexdigest(), file)
 
 
 def gear() -> np.ndarray:
@@ -184,13 +235,11 @@ def write_store(docs: DataFrame, path: str, vocabulary_path: str, end_id: int =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, table, sent = encoder(file.value), gear(), set()
-        tail = np.array([end_id], coder.kind).tobytes()
-        for batch, texts in text_slices(batches, "text", 800_000):
-            streams = [x + tail for x in coder.encode_all([t or "" for t in texts])]
-            width = np.dtype(coder.kind).itemsize
-            starts = np.cumsum([0] + [len(s) // width for s in streams])
-            data = b"".join(streams)
-            ends = cuts(np.frombuffer(data, coder.kind).astype(np.int64), starts, table)
+        for batch, texts in text_slices(batches, "text", SLICE):
+            bare, bounds = coder.encode_all([t or "" for t in texts])
+            ids = np.insert(bare, bounds[1:], end_id)
+            starts, width, data = bounds + np.arange(len(bounds)), ids.itemsize, ids.tobytes()
+            ends = cuts(ids.astype(np.int64), starts, table)
             recipes, fresh = [], []
             for begin, own_ends in zip(starts[:-1].tolist(), ends, strict=True):
                 at, names, sizes = begin, [], []
@@ -230,17 +279,18 @@ def write_store(docs: DataFrame, path: str, vocabulary_path: str, end_id: int =
     indexed = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string("kind string, part int, row long, local_start long, n long, root binary, chunks binary, sizes binary")])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, row, start, roots, last = TaskContext.get().partitionId(), 0, 0, [], None
+        part, row, start, tree, last = TaskContext.get().partitionId(), 0, 0, Merkle(), None
         for batch in batches:
             n = batch.num_rows
             counts = np.array(batch.column(1).to_pylist(), np.int64)
             starts = start + np.cumsum(counts) - counts
-            roots += batch.column(2).to_pylist()
+            for root in batch.column(2).to_pylist():
+                tree.add(root)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["doc"] * n), pa.array([part] * n, pa.int32()), pa.array(range(row, row + n), pa.int64()), pa.array(starts, pa.int64()), *batch.columns[1:]], [f.name for f in indexed])
             row, start, last = row + n, start + int(counts.sum()), batch
         if last is not None:
             one = lambda v, k: pa.array([v], k)
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, last.column(0).type), pa.array(["part"]), one(part, pa.int32()), one(row, pa.int64()), one(0, pa.int64()), one(start, pa.int64()), one(merkle(roots), pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())], [f.name for f in indexed])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, last.column(0).type), pa.array(["part"]), one(part, pa.int32()), one(row, pa.int64()), one(0, pa.int64()), one(start, pa.int64()), one(tree.root(), pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())], [f.name for f in indexed])
 
     order = [F.col("doc").asc_nulls_first(), F.col("root")]
     recipes.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).mapInArrow(index, indexed).write.partitionBy("kind").parquet(f"{path}/index")
