@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .shared import text_slices, unclash
+from .shared import column_after, text_slices, unclash
 
 #: Characters that count as symbols, and that may end a sentence.
 SYMBOLS = "#*$%&|<>"
@@ -130,10 +130,11 @@ def quality(docs: DataFrame, text: str = "text", rules: QualityRules = RULES) ->
     """`docs` with its measures, the cleaned text and the verdict `kept`, row by row.
 
     A null text has no words, fails the base rules and has a null clean_text. Columns of `docs` with the names of the
-    measures get an underscore before them. Repeated rows are judged alike; texts of any length are judged whole.
+    measures get an underscore before them; if `text` is one of those, it is still the one that is read. Repeated rows are judged alike; texts of any length are judged whole.
     """
     names = [n for n, _ in MEASURES]
-    docs, _ = unclash(docs, names)
+    docs, moved = unclash(docs, names)
+    text = column_after(moved, text)
     schema = T.StructType([*docs.schema, *T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in MEASURES))])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +149,8 @@ def quality(docs: DataFrame, text: str = "text", rules: QualityRules = RULES) ->
 def keep_quality(docs: DataFrame, text: str = "text", rules: QualityRules = RULES) -> DataFrame:
     """The documents that are kept, without their failing lines and with the columns of `docs`; n_chars follows the text."""
     safe, moved = unclash(docs, [n for n, _ in MEASURES])
-    out = quality(safe, text, rules).filter("kept").withColumn(text, F.col("clean_text")).drop(*[n for n, _ in MEASURES]).withColumnsRenamed(moved)
+    own = column_after(moved, text)
+    out = quality(safe, own, rules).filter("kept").withColumn(own, F.col("clean_text")).drop(*[n for n, _ in MEASURES]).withColumnsRenamed(moved)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.length(F.col(f"`{text}`")).cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -41,8 +41,9 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pieces_digest(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the hashes of ids and decoded text."""
-    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+    """doc_id, n_tokens, the hashes of ids and decoded text, and the hash of the spans (two unsigned 32-bit integers an id)."""
+    hashes = [F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), F.sha2("spans", 256).alias("spans_sha256")]
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), *hashes)
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

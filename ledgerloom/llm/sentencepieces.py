@@ -1,8 +1,9 @@
 """SentencePiece encoding that keeps offsets, and decoding.
 
 The normaliser of the model is run here: at each place the longest prefix that the compiled character map knows is
-replaced, and every normalised byte keeps the place in the source that it came from. The library cuts the text into
-pieces; the lengths of the pieces in normalised bytes, laid over that alignment, give each piece its source bytes.
+replaced, and every normalised byte keeps the place in the source that it came from. What comes out is given to the
+library's processor of the same model, whose own normaliser is switched off, and which cuts it into pieces; their
+lengths in normalised bytes, laid over the alignment, give each piece its source bytes.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from .shared import text_slices, unclash
+from .shared import WordMemory, column_after, text_slices, unclash
 
 MARK = "▁".encode()
-#: A word with the marks before it. Words that a worker keeps the ids of, before it starts anew.
+#: A word with the marks before it.
 WORD = re.compile("▁+[^▁]*")
-MEMORY = 400_000
+#: Fixed value: a normaliser that changes nothing, as it stands in a model (field 3: name, no map, no prefix, no squeezing, no escaping).
+#: Behind the model's own it takes the place of each of its fields.
+SWITCHED_OFF = b"\x1a\x12" + b"\x0a\x08identity" + b"\x12\x00" + b"\x18\x00" + b"\x20\x00" + b"\x28\x00"
 
 
 def fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
@@ -163,57 +166,51 @@ class Normaliser:
 
 
 class Codec:
-    """The library's processor of a model with its normaliser and the bytes of each piece."""
+    """A model's normaliser, the library's encoder of normalised text, its decoder, and the bytes of each piece."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.normaliser = Normaliser.of(model)
-        n = self.library.get_piece_size()
-        self.bytes_of = np.array([0 if self.library.is_control(i) else 1 if self.library.is_byte(i) else len(self.library.id_to_piece(i).encode()) for i in range(n)], np.int64)
+        self.encoder = sentencepiece.SentencePieceProcessor(model_proto=model + SWITCHED_OFF)
+        self.normaliser, self.memory = Normaliser.of(model), WordMemory()
+        kinds = [dict(fields(value)).get(3, 1) for field, value in fields(model) if field == 1]
+        if 4 in kinds:
+            raise ValueError("models with symbols of the user are not supported: their normaliser leaves those as they are")
+        pieces = [self.library.id_to_piece(i) for i in range(len(kinds))]
+        self.bytes_of = np.array([0 if k == 3 else 1 if k == 6 else len(p.encode()) for k, p in zip(kinds, pieces, strict=True)], np.int64)
         self.unknown = self.library.unk_id()
-
-        pieces = [self.library.id_to_piece(i) for i in range(n)]
         spec = dict(fields(dict(fields(model)).get(2, b"")))
-        plain = self.normaliser.charmap is None and not self.normaliser.squeeze and self.normaliser.dummy_prefix and self.normaliser.escape and not self.normaliser.suffix
         # no piece has a mark behind another character, so merges never cross a word's start and words can be encoded one by one
-        self.by_word = plain and spec.get(3) == 2 and not any(re.search("[^▁]▁", p) for p in pieces) and self.library.piece_to_id("▁") != self.unknown
-        self.known: dict[str, bytes] = {"▁": np.array([self.library.piece_to_id("▁")], "<u4").tobytes()}
-        self.edges = np.array([self.library.bos_id()], "<u4").tobytes(), np.array([self.library.eos_id()], "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids with begin and end ids, as the library gives them."""
+        self.by_word = spec.get(3) == 2 and self.normaliser.escape and not self.normaliser.suffix and not any(re.search("[^▁]▁", p) for p in pieces) and self.library.piece_to_id("▁") != self.unknown
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Of each text the ids with begin and end ids, and their spans: first and last (exclusive) source byte of each id."""
+        normal = [self.normaliser(t.encode()) for t in texts]
+        words = [self.words(data.decode()) for data, _ in normal]
+        distinct = list(set().union(*words))
+        known = dict(zip(distinct, self.memory.lookup(distinct, self.learn), strict=True))
+        edges = (np.array([x], "<u4").tobytes() for x in (self.library.bos_id(), self.library.eos_id()))
+        first, last = edges
+        ids = [np.frombuffer(first + b"".join(map(known.__getitem__, own)) + last, "<u4") for own in words]
+        return ids, [self.spans(x, own, places) for x, own, (_, places) in zip(ids, words, normal, strict=True)]
+
+    def words(self, normal: str) -> list[str]:
+        """The parts of a normalised text that are encoded one by one: what stands before the first mark, and words with their marks."""
         if not self.by_word:
-            return [np.array(x, np.int64) for x in self.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)]
-        out, known = [], self.known
-        for text in texts:
-            words = WORD.findall("▁" + text.replace(" ", "▁")) if text else []
-            try:
-                ids = b"".join(map(known.__getitem__, words))
-            except KeyError:
-                self.learn(words)
-                ids = b"".join(map(known.__getitem__, words))
-            out.append(np.frombuffer(self.edges[0] + ids + self.edges[1], "<u4").astype(np.int64))
-        return out
+            return [normal] if normal else []
+        own = WORD.findall(normal)
+        return own if not normal or normal.startswith("▁") else [normal[: len(normal) - sum(map(len, own))], *own]
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        return [np.array(ids, "<u4").tobytes() for ids in self.encoder.encode(words, num_threads=1)]
 
-    def learn(self, words: list[str]) -> None:
-        """Has the library encode new words; it puts the first mark before each itself."""
-        new = list(set(words).difference(self.known))
-        if len(self.known) + len(new) > MEMORY:
-            blank = self.known["▁"]
-            self.known.clear()
-            self.known["▁"] = blank
-            new = [w for w in set(words) if w != "▁"]
-        for w, ids in zip(new, self.library.encode([w[1:].replace("▁", " ") for w in new], num_threads=1), strict=True):
-            self.known[w] = np.array(ids, "<u4").tobytes()
-
-    def spans(self, text: str, ids: np.ndarray) -> np.ndarray:
-        """First and last (exclusive) source byte of each id, as rows; of begin and end ids an empty span."""
-        _, places = self.normaliser(text.encode())
+    def spans(self, ids: np.ndarray, words: list[str], places: np.ndarray) -> np.ndarray:
+        """The pieces' lengths in normalised bytes, laid over the places in the source that those bytes came from."""
         sizes = self.bytes_of[ids]
-        if self.unknown in ids:
-            sizes[1:-1] = [1 if self.bytes_of[i] == 1 and p.startswith("<0x") else len(p.encode()) for i, p in zip(ids[1:-1].tolist(), self.library.encode(text, out_type=str), strict=True)]
+        if (ids[1:-1] == self.unknown).any():  # an unknown piece is as long as what it stands for
+            pieces = [p for w in words for p in self.encoder.encode(w, out_type=str)]
+            sizes[1:-1] = [self.bytes_of[i] if i != self.unknown else len(p.encode()) for i, p in zip(ids[1:-1].tolist(), pieces, strict=True)]
         ends = np.cumsum(sizes)
         if ends[-1] != len(places) - 1:
             raise ValueError(f"pieces have {ends[-1]} normalised bytes, the text has {len(places) - 1}")
@@ -238,21 +235,20 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataF
     an id: source bytes) and decoded (the library's decoding of the ids), row by row.
 
     A null or empty text has the two outer ids alone. Columns of `docs` named like the new ones get an underscore
-    before them. The model's bytes go to the executors with the job, so they need not hold the file.
+    before them; if `text` is one of those, it is still the one that is read. The model's bytes go to the executors with the job, so they need not hold the file.
     """
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())  # the file of one vocabulary: well under 10 MB
-    docs, _ = unclash(docs, OUT)
+    docs, moved = unclash(docs, OUT)
+    text = column_after(moved, text)
     schema = T.StructType([*docs.schema, *T._parse_datatype_string("ids binary, spans binary, decoded string")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = piece_codec(model.value)
         for batch, texts in text_slices(batches, text):
-            whole = [t or "" for t in texts]
-            ids = own.encode(whole)
-            spans = [own.spans(t, x).astype("<u4").tobytes() for t, x in zip(whole, ids, strict=True)]
+            ids, spans = own.encode([t or "" for t in texts])
             decoded = own.library.decode([x.tolist() for x in ids], num_threads=1)
-            columns = [pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array(spans, pa.binary()), pa.array(decoded, pa.string())]
+            columns = [pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([x.astype("<u4").tobytes() for x in spans], pa.binary()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *OUT])
 
     return docs.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .shared import drop_staged, new_folder, staged, text_slices, unclash
+from .shared import column_after, drop_staged, free_name, new_folder, staged, text_slices, unclash
 
 #: Fingerprints of a tile.
 TILE = 2048
@@ -188,9 +188,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 
     Texts without words have fingerprint zero and link like any other; so do null texts. Rows with a null key take part;
     only where no row of a component has a key is its component_id null. Repeated rows share one fingerprint. Columns of
-    `docs` named like the new ones get an underscore before them. No rows give no rows.
+    `docs` named like the new ones get an underscore before them; if the key or the text is one of those, it is still the
+    one that is read. No rows give no rows.
     """
-    docs, _ = unclash(docs, OUT)
+    docs, moved = unclash(docs, [*OUT, "least"])
+    key, text = column_after(moved, key), column_after(moved, text)
     return grouped(docs, key, text, radius, words).withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).drop("fp", "root")
 
 
@@ -203,10 +205,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: i
 
 def keep_first(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
     """keep_one() by a stored table of groups: own_key, own_hash (of the text), root and component_id of each row."""
-    columns, text_hash = [F.col(f"`{c}`") for c in docs.columns], F.xxhash64(F.col(f"`{text}`"))
+    mark = free_name(docs, "_hash")
+    columns, hashed = [F.col(f"`{c}`") for c in docs.columns], docs.withColumn(mark, F.xxhash64(F.col(f"`{text}`")))
+    k, h, wk, wh = free_name(hashed, "_k"), free_name(hashed, "_h"), free_name(hashed, "_wk"), free_name(hashed, "_wh")
     # a text has one root, so that no two roots share a key and a hash
-    wins = found.filter("own_key = component_id").groupBy("root", "own_key").agg(F.min("own_hash").alias("own_hash")).drop("root")
-    stay = docs.join(wins, (F.col(f"`{key}`") == F.col("own_key")) & (text_hash == F.col("own_hash"))).dropDuplicates(["own_key", "own_hash"]).select(*columns)
-    lone = found.filter("component_id is null").groupBy("root").agg(F.min("own_hash").alias("own_hash")).select("own_hash").distinct()
-    bare = docs.filter(F.col(f"`{key}`").isNull()).join(lone, text_hash == F.col("own_hash"), "left_semi").dropDuplicates([text])
-    return stay.unionByName(bare.select(*columns))
+    wins = found.filter("own_key = component_id").groupBy("root", "own_key").agg(F.min("own_hash").alias(wh)).select(F.col("own_key").alias(wk), wh)
+    stay = hashed.join(wins, (F.col(f"`{key}`") == F.col(wk)) & (F.col(mark) == F.col(wh))).withColumns({k: F.col(wk), h: F.col(wh)}).dropDuplicates([k, h]).select(*columns)
+    lone = found.filter("component_id is null").groupBy("root").agg(F.min("own_hash").alias(wh)).select(wh).distinct()
+    bare = hashed.filter(F.col(f"`{key}`").isNull()).join(lone, F.col(mark) == F.col(wh), "left_semi").dropDuplicates([text]).select(*columns)
+    return stay.unionByName(bare)

@@ -21,15 +21,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from .shared import text_slices, unclash
+from .shared import WordMemory, column_after, text_slices, unclash
 
 #: Fixed value: the pattern that splits text before the merges of byte-level vocabularies.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Blanks of two or more characters before something else: the last one leaves them when the next character comes.
 GAP = regex.compile(r"\s{2,}(?=\S)")
 BLANKS = regex.compile(r"\s\s")
-#: Words that a worker keeps the tables of, before it starts anew.
-MEMORY = 400_000
+#: Pairs of tokens that a worker keeps the fit of, before it starts anew.
+PAIRS = 400_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -64,8 +64,7 @@ class PrefixCounter:
         self.finder.make_automaton()
         self.words = regex.compile(WORDS)
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.tables: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.tables, self.pieces = WordMemory(64 << 20), WordMemory(64 << 20)  # of words, and of what stands between blanks
 
     def spine(self, token: bytes, left: bool) -> tuple[list[bytes], list[int]]:
         """The pieces at one end of a token as it grows from a byte to the whole, and the rank that ends each but the last."""
@@ -104,7 +103,7 @@ class PrefixCounter:
         """Whether the two tokens stay as they are when encoded together."""
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) > 2 * MEMORY:
+            if len(self.fits) > PAIRS:
                 self.fits.clear()
             known = self.fits[a, b] = (a, b) not in self.rank and not self.crosses(a, b)
         return known
@@ -141,19 +140,10 @@ class PrefixCounter:
         """Growth of the count with each character of a text without special tokens."""
         if not BLANKS.search(text):  # each single blank begins a word, so what stands between blanks is looked up as one
             first, *rest = text.split(" ")
-            pieces = self.pieces
-            try:
-                grown = b"".join(map(pieces.__getitem__, rest))
-            except KeyError:
-                new = set(rest).difference(pieces)
-                if len(pieces) + len(new) > MEMORY:
-                    pieces.clear()
-                    new = set(rest)
-                for p in new:
-                    pieces[p] = self.by_words(" " + p)
-                grown = b"".join(map(pieces.__getitem__, rest))
-            return np.frombuffer(self.by_words(first) + grown, "<i2")
-        out = np.frombuffer(self.by_words(text), "<i2").copy()
+            distinct = list(set(rest))
+            known = dict(zip(distinct, self.pieces.lookup(distinct, lambda new: self.by_words([" " + p for p in new])), strict=True))
+            return np.frombuffer(self.by_words([first])[0] + b"".join(map(known.__getitem__, rest)), "<i2")
+        out = np.frombuffer(self.by_words([text])[0], "<i2").copy()
         for gap in GAP.finditer(text):
             # a prefix that ends in the blanks has them as one word; its last blank is taken back after that
             counts = self.counts(gap[0].encode())
@@ -162,16 +152,12 @@ class PrefixCounter:
             out[gap.end()] -= more
         return out
 
-    def by_words(self, text: str) -> bytes:
-        """The tables of a text's words, end to end."""
-        words, tables = self.words.findall(text), self.tables
-        new = set(words).difference(tables)
-        if len(tables) + len(new) > MEMORY:
-            tables.clear()
-            new = set(words)
-        for w in new:
-            tables[w] = self.table(w)
-        return b"".join(map(tables.__getitem__, words))
+    def by_words(self, texts: list[str]) -> list[bytes]:
+        """Of each text the tables of its words, end to end."""
+        words = list(map(self.words.findall, texts))
+        distinct = list(set().union(*words))
+        known = dict(zip(distinct, self.tables.lookup(distinct, lambda new: list(map(self.table, new))), strict=True))
+        return [b"".join(map(known.__getitem__, own)) for own in words]
 
     def growth(self, text: str) -> np.ndarray:
         """Growth of the count with each character: cumulative sums are the counts of the prefixes."""
@@ -217,11 +203,13 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, budget: int = 512, text:
     prefix_growth (the table: growth of the count with each character, 16-bit little-endian).
 
     A null text counts as empty. Special strings inside a text count as the library's default has it, one token each.
-    Columns of `docs` named like the new ones get an underscore before them. Texts of any length are counted whole.
+    Columns of `docs` named like the new ones get an underscore before them; if `text` is one of those, it is still the
+    one that is read. Texts of any length are counted whole.
     """
     with open(vocabulary_path, encoding="utf-8") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())  # the file of one vocabulary: well under 10 MB
-    docs, _ = unclash(docs, OUT)
+    docs, moved = unclash(docs, OUT)
+    text = column_after(moved, text)
     schema = T.StructType([*docs.schema, *T._parse_datatype_string("n_bytes long, n_tokens long, fits long, prefix_growth binary")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
