@@ -4,7 +4,8 @@ Vectors are quantised to integers and cut into blocks. A block keeps, for each c
 of (value - least value in the block). A query adds the bitmaps with weights: each set digit of a query component adds
 the component's slices at that place, by carry-save adders over bitmaps. What comes out are the slices of all scores of
 the block. The best rows are found from the most significant slice down; rows that tie at the boundary are taken in
-order of their ids. Queries meet rows block by block, and each pair of blocks sends on k rows a query.
+order of their ids. Groups of blocks meet groups of queries, so that blocks and queries travel a bounded number of times,
+and each pair of a block and a group of queries sends on k rows a query.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from .shared import staged
 
 #: Rows of one block of the index, and queries that meet a block at a time.
 BLOCK_ROWS, QUERY_ROWS = 8192, 512
-#: Components at or beyond this value after quantisation are out of range, so that scores fit in a long.
-RANGE = 1 << 27
+#: Most tasks that pairs of groups of blocks and groups of queries are dealt to.
+MOST_TASKS = 4096
 
 
 def pack(bits: np.ndarray) -> np.ndarray:
@@ -35,8 +36,8 @@ def pack(bits: np.ndarray) -> np.ndarray:
 
 def slice_block(ids: np.ndarray, copies: np.ndarray, values: np.ndarray) -> dict:
     """The index of one block: rows in order of id, least values, widths in digits and the slices."""
-    low = values.min(axis=0)
-    shifted = (values - low).astype(np.uint64)
+    low = values.min(axis=0) if len(values) else np.zeros(values.shape[1], np.int64)
+    shifted = values.view(np.uint64) - low.view(np.uint64)  # right for any two longs, since it wraps
     widths = [int(x).bit_length() for x in shifted.max(axis=0)]
     slices = [pack((shifted[:, d][None, :] >> np.arange(w, dtype=np.uint64)[:, None]) & np.uint64(1) != 0) if w else np.zeros((0, -(-len(ids) // 64)), np.uint64) for d, w in enumerate(widths)]
     return {"ids": ids, "copies": copies, "low": low, "widths": widths, "slices": np.concatenate(slices) if slices else np.zeros((0, -(-len(ids) // 64)), np.uint64), "rows": hashes(values)}
@@ -118,10 +119,12 @@ def search_block(block: dict, query_id: int, query: np.ndarray, k: int) -> tuple
     own = own[block["rows"][own] == hashes(query[None, : len(block["low"])] if len(query) >= len(block["low"]) else np.pad(query, (0, len(block["low"]) - len(query)))[None])[0]] if len(own) else own
     copies[own[:1]] -= 1
     at = best(slices, pack(copies > 0), k)
-    scores = np.zeros(len(at), np.int64)
-    for w, s in enumerate(slices):
-        scores += ((s[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << w
-    return block["ids"][at], copies[at], scores + constant
+    digits = (slices.astype(np.uint64, copy=False)[:, at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)
+    if len(slices) < 62 and abs(constant) < 1 << 62:
+        scores = (digits.astype(np.int64) << np.arange(len(slices))[:, None]).sum(axis=0) + constant
+    else:  # whole numbers of any size; a score that no long holds is an error
+        scores = np.array([constant + sum(int(b) << w for w, b in enumerate(column)) for column in digits.T], np.int64)
+    return block["ids"][at], copies[at], scores
 
 
 def matrix(vectors: list[np.ndarray]) -> np.ndarray:
@@ -133,11 +136,13 @@ def matrix(vectors: list[np.ndarray]) -> np.ndarray:
 
 
 def quantised(vectors: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
-    """Distinct rows (id, q, copies) of valid vectors: none of id, vector and components null, non-finite or out of range."""
-    x = F.transform(F.col(f"`{vector}`"), lambda v: F.floor(v.cast("double") * F.lit(float(scale))))
-    ok = F.forall(F.col(f"`{vector}`"), lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) * F.lit(float(scale)) < F.lit(float(RANGE))))
-    valid = vectors.filter(F.col(f"`{key}`").isNotNull() & F.col(f"`{vector}`").isNotNull() & F.coalesce(ok, F.lit(False)))
-    return valid.select(F.col(f"`{key}`").cast("long").alias("id"), x.cast("array<int>").alias("q")).groupBy("id", "q").agg(F.count("*").alias("copies"))
+    """Distinct rows (id, q, copies) of valid vectors: none of id, vector and components null or non-finite. A component
+    that no long holds after scaling is an error."""
+    scaled = lambda v: v.cast("double") * F.lit(float(scale))
+    whole = lambda v: F.when(F.abs(scaled(v)) < F.lit(float(1 << 62)), F.floor(scaled(v))).otherwise(F.raise_error(F.lit("a scaled component is beyond 2 to the 62nd")).cast("long"))
+    finite = F.forall(F.col(f"`{vector}`"), lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf"))))
+    valid = vectors.filter(F.col(f"`{key}`").isNotNull() & F.col(f"`{vector}`").isNotNull() & F.coalesce(finite, F.lit(False)))
+    return valid.select(F.col(f"`{key}`").cast("long").alias("id"), F.transform(F.col(f"`{vector}`"), whole).alias("q")).groupBy("id", "q").agg(F.count("*").alias("copies"))
 
 
 def build_index(rows: DataFrame, n_blocks: int) -> DataFrame:
@@ -156,7 +161,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
     """For each row whose id is divisible by `every`: its k best other rows by inner product of floor(scale * x).
 
     Gives query_id, rank (from 1), vec_id and score, ties to the smaller id. Rows whose id or vector is null, or with
-    null, non-finite or out-of-range components, take no part. Shorter vectors count as ending in zeros. A repeated row
+    null or non-finite components, take no part; components beyond 2**62 after scaling, and best scores that no long
+    holds, are errors. Shorter vectors count as ending in zeros. A repeated row
     is a candidate as often as it is there, and its query is answered as often; a query's own row is one of its copies.
     Empty tables give no rows.
     """
@@ -167,6 +173,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
     index = staged(build_index(rows, n_blocks), "index")
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.iloc[sorted(range(len(pdf)), key=lambda i: (pdf["id"].iloc[i], tuple(pdf["q"].iloc[i])))]  # a lost task numbers them alike
         data = (pdf["id"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), [np.asarray(q, np.int64) for q in pdf["q"]])
         return pd.DataFrame({"queries": [int(pdf["queries"].iloc[0])], "asked": [pickle.dumps(data, 5)]})
 
@@ -185,12 +192,15 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
                     "vec_id": np.concatenate([x[1] for x in found]), "copies": np.concatenate([x[2] for x in found]), "score": np.concatenate([x[3] for x in found]),
                 })
 
-    # every block of rows meets every block of queries; the pairs are dealt by both numbers, to so many tasks that work
-    # and not bytes decides
-    slots = min(4096, n_blocks * n_query_blocks)
-    left = index.withColumn("queries", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))))
-    right = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    pairs = left.repartition(slots, "block", "queries").join(right.repartition(slots, "block", "queries"), ["block", "queries"]).select("queries", "data", "asked")
+    # every block of rows meets every block of queries: groups of blocks by groups of queries, so many of each that what
+    # travels is least (blocks are sent `bands` times, queries `strips` times)
+    tasks = min(MOST_TASKS, n_blocks * n_query_blocks, max(4 * vectors.sparkSession.sparkContext.defaultParallelism, n_blocks))
+    bands = min(n_query_blocks, max(1, round((tasks / every) ** 0.5), -(-tasks // n_blocks)))
+    strips = min(n_blocks, -(-tasks // bands))
+    left = index.withColumn("strip", F.col("block") % strips).withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))))
+    right = asked.withColumn("band", F.col("queries") % bands).withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
+    slots = strips * bands
+    pairs = left.repartition(slots, "strip", "band").join(right.repartition(slots, "strip", "band"), ["strip", "band"]).select("queries", "data", "asked")
     found = pairs.mapInPandas(search, "queries int, query int, query_id long, times long, vec_id long, copies long, score long")
     order = W.partitionBy("queries", "query").orderBy(F.desc("score"), "vec_id")
     kept = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k).drop("n")

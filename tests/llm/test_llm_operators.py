@@ -75,6 +75,13 @@ def test_sharding(spark, docs):
     one = sorted((r.slot, r.doc_id) for r in got if r.shard == 1 and r.doc_id is not None)
     assert [d for _, d in one] != sorted(d for _, d in one)
     assert sharding.shard(df.limit(0), 4).count() == 0
+    many = spark.createDataFrame([(7, "one and the same row", 1)] * 10_000 + [(i, f"row {i}", 2) for i in range(500)] + [(7, "other", 1)] * 3, "doc_id long, text string, _times int")
+    spread = sharding.shard(many, 2, bucket_bytes=10_000).collect()
+    where = collections.Counter(r.bucket for r in spread if r.text == "one and the same row")
+    assert sum(where.values()) == 10_000 and len(spread) == 10_503 and max(where.values()) < 1000
+    assert len(where) >= len({r.bucket for r in spread}) / 2 and len(where) > 30
+    rerun = sharding.shard(many.repartition(9), 2, bucket_bytes=10_000).collect()
+    assert multiset((r.doc_id, r.text, r._times, r.shard, r.slot) for r in spread) == multiset((r.doc_id, r.text, r._times, r.shard, r.slot) for r in rerun)
     small = {r[0]: r[1] for r in df.limit(40).select("doc_id", sharding.shard_of(df.doc_id, 40)).collect()}
     assert all(r.shard == small[r.doc_id] for r in out if r.doc_id in small)
 
@@ -83,6 +90,7 @@ def test_topk(spark):
     rnd = random.Random(3)
     vec = lambda d=6: [rnd.choice([-0.9, 0.25, rnd.uniform(-2, 2)]) for _ in range(d)]
     rows = [(i, vec()) for i in range(400)] + [(500, [0.5] * 6)] * 3 + [(501, [0.5] * 6), (550, [0.5] * 3), (600, None), (650, [None] * 6), (700, [float("nan")] * 6), (None, vec()), (750, [float("inf")] * 6), (800, []), (850, [0.0] * 6)]
+    rows += [(900, [600000.0, 1.0]), (901, [2.0**21, -(2.0**20)]), (902, [-3.0e7] * 6), (903, [0.0, 0.0, 1.0e9])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
@@ -93,6 +101,10 @@ def test_topk(spark):
     for blocks in (8192, 40):
         out = topk.top_k(df, block_rows=blocks, query_rows=3).collect()
         assert multiset(out) == multiset(want)
+    wide = spark.createDataFrame([(0, [2.0**52, 1.0]), (1, [2.0**-8, -(2.0**40)]), (2, [-(2.0**-8), 2.0**-8]), (3, [0.0, 2.0**44])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(wide).collect())) == [(0, 1, 3, 2**60), (0, 2, 1, 2**60 - 2**56), (0, 3, 2, 256 - 2**60)]
+    with pytest.raises(Exception, match="2 to the 62nd"):
+        topk.top_k(spark.createDataFrame([(0, [1e300])], wide.schema)).collect()
     assert topk.top_k(df.limit(0)).count() == 0
     assert topk.top_k(df.filter("vec_id in (0, 1, 2)")).count() == 2
 
