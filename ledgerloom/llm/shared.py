@@ -89,7 +89,7 @@ class WordMemory:
     the new one, and when that is full it becomes the old one. So frequent words stay, and rare ones go. Words of more
     than `longest` characters are not kept. No result depends on what is kept."""
 
-    def __init__(self, limit: int = 128 << 20, longest: int = 64):
+    def __init__(self, limit: int = 64 << 20, longest: int = 64):
         self.limit, self.longest, self.size = limit // 2, longest, 0
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
