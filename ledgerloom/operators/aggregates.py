@@ -14,6 +14,50 @@ def numeric(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal")]
 
 
+#: Quantile summaries of this accuracy bracket a percentile; what lies inside the bracket is counted exactly.
+ACCURACY = 10_000
+
+
+def percentiles(df: DataFrame, values: dict[str, Column], probabilities: list[float]) -> DataFrame:
+    """Exact percentiles (linear between neighbours) of whole columns: a row for each name in `values`, with `q`, an array
+    in the order of `probabilities`; columns without values have no row.
+
+    A mergeable summary brackets each percentile; one pass counts what lies below the bracket, and only the distinct
+    values inside it, a thousandth of the rows or so, are put in order. So no task holds a column.
+    """
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), x.cast("double").alias("value")) for n, x in values.items()]))).filter("value is not null")
+    margin = 4.0 / ACCURACY
+    ends = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-margin, margin)]
+    marks = long.groupBy("column").agg(F.count("*").alias("n"), F.percentile_approx("value", F.array(*map(F.lit, ends)), ACCURACY).alias("marks"))  # one row a column
+
+    def bracket(i: int, p: float) -> Column:
+        few = F.col("n") <= ACCURACY
+        low = F.when(few | F.lit(p <= margin), F.lit(float("-inf"))).otherwise(F.col("marks")[2 * i])
+        high = F.when(few | F.lit(p >= 1 - margin), F.lit(float("nan"))).otherwise(F.col("marks")[2 * i + 1])  # nan is above all
+        return F.struct(F.lit(i).alias("i"), ((F.col("n") - 1) * p).alias("rank"), low.alias("low"), high.alias("high"))
+
+    brackets = marks.select("column", F.array(*[bracket(i, p) for i, p in enumerate(probabilities)]).alias("brackets"))
+    placed = long.join(F.broadcast(brackets), "column")
+    below = placed.groupBy("column").agg(F.array(*[F.count_if(F.col("value") < F.col("brackets")[i]["low"]) for i in range(len(probabilities))]).alias("below"))
+    inside = placed.select("column", "value", F.explode(F.filter("brackets", lambda b: (b["low"] <= F.col("value")) & (F.col("value") <= b["high"]))).alias("b"))
+    counted = inside.groupBy("column", "b.i", "b.rank", "value").agg(F.count("*").alias("times"))
+    upto = F.sum("times").over(W.partitionBy("column", "i").orderBy("value")) + F.col("below")[F.col("i")]
+    ordered = counted.join(F.broadcast(below), "column").withColumn("upto", upto)
+    at = lambda r: F.min(F.when(F.col("upto") > r, F.col("value")))
+    found = ordered.groupBy("column", "i", "rank").agg(at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b"), F.min(F.col("upto") - F.col("times")).alias("before"))
+    sure = F.when((F.col("before") <= F.floor("rank")) & F.col("b").isNotNull(), F.lit(True)).otherwise(F.raise_error(F.lit("a percentile is outside its bracket")).cast("boolean"))
+    mixed = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((F.ceil("rank") - F.col("rank")) * F.col("a") + (F.col("rank") - F.floor("rank")) * F.col("b"))
+    return found.groupBy("column").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.when(sure, mixed).alias("v")))), lambda s: s["v"]).alias("q"))
+
+
+def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, n_distinct) by hashes of 8 bytes: cells are cut down to distinct hashes before they are shuffled."""
+    own = lambda c, t: F.col(f"`{c}`") if "<" not in t and t != "variant" else F.to_json(F.struct(F.col(f"`{c}`")))
+    kinds = dict(df.dtypes)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.when(F.col(f"`{c}`").isNotNull(), F.xxhash64(own(c, kinds[c]))).alias("h")) for c in cols])
+    return df.select(F.inline(cells)).filter("h is not null").distinct().groupBy("column").agg(F.count("*").alias("n_distinct"))
+
+
 def value_counts(df: DataFrame, col: str, k: int | None = None) -> DataFrame:
     """G1: value, n and percent of all rows, most frequent first, ties by value; null is a value."""
     counts = df.groupBy(F.col(f"`{col}`").alias("value")).agg(F.count("*").alias("n"))
@@ -50,14 +94,15 @@ def funnel(df: DataFrame, stage: str, order: list[str]) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """A row for each column: n, mean, std, min, q25, median, q75, max; one pass."""
+    """A row for each column: n, mean, std, min, q25, median, q75, max, all exact."""
     cols = cols or numeric(df)
     own = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        own.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"), q[1].alias("median"), q[2].alias("q75"), F.max(x).alias("max")).alias(f"s{i}"))
-    return df.agg(*own).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cols))])))
+        own.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(f"s{i}"))
+    facts = df.agg(*own).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cols))])))
+    q = percentiles(df, {c: F.col(f"`{c}`") for c in cols}, [0.25, 0.5, 0.75])
+    return facts.join(F.broadcast(q), "column", "left").select("column", "n", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"), "max")
 
 
 def describe_categorical(df: DataFrame, cols: list[str], max_card: int = 50) -> DataFrame:
@@ -70,8 +115,10 @@ def describe_categorical(df: DataFrame, cols: list[str], max_card: int = 50) ->
 
 def money_report(df: DataFrame, cols: list[str]) -> DataFrame:
     """A row for each money column: valid, min, max, mean, median, total."""
-    own = [F.struct(F.lit(c).alias("column"), F.count(F.col(c)).alias("valid"), F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max"), F.avg(F.col(c).cast("double")).alias("mean"), F.median(F.col(c).cast("double")).alias("median"), F.sum(F.col(c).cast("double")).alias("total")).alias(f"s{i}") for i, c in enumerate(cols)]
-    return df.agg(*own).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cols))])))
+    own = [F.struct(F.lit(c).alias("column"), F.count(F.col(c)).alias("valid"), F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max"), F.avg(F.col(c).cast("double")).alias("mean"), F.sum(F.col(c).cast("double")).alias("total")).alias(f"s{i}") for i, c in enumerate(cols)]
+    facts = df.agg(*own).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cols))])))
+    q = percentiles(df, {c: F.col(c) for c in cols}, [0.5])
+    return facts.join(F.broadcast(q), "column", "left").select("column", "valid", "min", "max", "mean", F.col("q")[0].alias("median"), "total")
 
 
 def by_year(df: DataFrame, date: str) -> DataFrame:
@@ -117,21 +164,25 @@ def payment_totals(payments: DataFrame, key: str = "id", paid: str = "paid", amo
 
 
 def impute(df: DataFrame, skip_above: float = 0.8, median_below: float = 0.3) -> DataFrame:
-    """Nulls of text become the mode, of numbers the median when under 30 % are null; above 80 % nothing. One pass."""
+    """Nulls of text become the mode (the least of equally frequent values), of numbers the median when under 30 %
+    are null; above 80 % nothing. Only the few filled-in values come to the driver."""
     numbers, texts = numeric(df), [c for c, t in df.dtypes if t == "string"]
-    facts = df.agg(F.count("*").alias("_n"), *[F.count(F.col(f"`{c}`")).alias(f"n_{c}") for c in numbers + texts], *[F.median(F.col(f"`{c}`").cast("double")).alias(f"v_{c}") for c in numbers], *[F.mode(F.col(f"`{c}`"), True).alias(f"v_{c}") for c in texts]).first()
-    fill, n = {}, facts["_n"]
-    for c in numbers + texts:
-        missing = 1 - facts[f"n_{c}"] / n if n else 0.0
-        if 0 < missing <= skip_above and facts[f"v_{c}"] is not None and (c in texts or missing < median_below):
-            fill[c] = facts[f"v_{c}"]
+    facts = df.agg(F.count("*").alias("_n"), *[F.count(F.col(f"`{c}`")).alias(f"n_{c}") for c in numbers + texts]).first()
+    missing = {c: 1 - facts[f"n_{c}"] / facts["_n"] if facts["_n"] else 0.0 for c in numbers + texts}
+    wanted = [c for c, share in missing.items() if 0 < share <= skip_above and (c in texts or share < median_below)]
+    fill: dict = {}
+    if own := [c for c in wanted if c in numbers]:
+        fill |= {r["column"]: r["q"][0] for r in percentiles(df, {c: F.col(f"`{c}`") for c in own}, [0.5]).collect()}  # a row a column
+    if own := [c for c in wanted if c in texts]:
+        counts = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in own]))).filter("value is not null").groupBy("column", "value").agg(F.count("*").alias("n"))
+        fill |= {r["column"]: r["m"]["value"] for r in counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("m")).collect()}  # a row a column
     kinds = dict(df.dtypes)
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(v).cast(kinds[c])) for c, v in fill.items()})
 
 
 def flag_above_percentile(df: DataFrame, col: str, p: float, name: str = "flag") -> DataFrame:
     """1 where the value is above the exact percentile (linear between neighbours)."""
-    limit = df.agg(F.percentile(F.col(col).cast("double"), F.lit(p)).alias("_limit"))  # one row
+    limit = percentiles(df, {col: F.col(col)}, [p]).agg(F.max(F.col("q")[0]).alias("_limit"))  # one row
     return df.crossJoin(F.broadcast(limit)).withColumn(name, (F.col(col) > F.col("_limit")).cast("int")).drop("_limit")
 
 
@@ -153,14 +204,20 @@ def assert_load(df: DataFrame, key: str, date: str, day) -> DataFrame:
     return df
 
 
-def data_dictionary(df: DataFrame, descriptions: dict[str, str] | None = None) -> DataFrame:
-    """A row for each column: type, rows, non_null, nulls, completeness, distinct values and three least examples. One pass."""
+def data_dictionary(df: DataFrame, descriptions: dict[str, str] | None = None, exact: bool = False) -> DataFrame:
+    """A row for each column: type, rows, non_null, nulls, completeness, distinct values (approximate in one pass, or
+    exact) and the least and greatest as examples."""
     own = []
     for i, (c, t) in enumerate(df.dtypes):
         x = F.col(f"`{c}`")
         text = x.cast("string")
-        own.append(F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.count("*").alias("rows"), F.count(x).alias("non_null"), (F.count("*") - F.count(x)).alias("nulls"), (F.count(x) * 100.0 / F.count("*")).alias("completeness"), F.countDistinct(text).alias("n_distinct"), F.array_compact(F.array(F.min(text), F.max(text))).alias("examples"), F.lit((descriptions or {}).get(c)).cast("string").alias("description")).alias(f"s{i}"))
-    return df.agg(*own).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(own))])))
+        distinct = F.lit(0).cast("long") if exact else F.approx_count_distinct(text)
+        own.append(F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.count("*").alias("rows"), F.count(x).alias("non_null"), (F.count("*") - F.count(x)).alias("nulls"), (F.count(x) * 100.0 / F.count("*")).alias("completeness"), distinct.alias("n_distinct"), F.array_compact(F.array(F.min(text), F.max(text))).alias("examples"), F.lit((descriptions or {}).get(c)).cast("string").alias("description")).alias(f"s{i}"))
+    out = df.agg(*own).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(own))])))
+    if not exact:
+        return out
+    counts = distinct_counts(df, df.columns)  # a row a column
+    return out.drop("n_distinct").join(F.broadcast(counts), "column", "left").fillna(0, ["n_distinct"]).select(*out.columns)
 
 
 def change_counts(before: DataFrame, after: DataFrame, key: str, cols: list[str] | None = None) -> DataFrame:

@@ -40,12 +40,18 @@ def as_time(df: DataFrame, col: str) -> Column:
 
 
 def dedup_latest(df: DataFrame, key: str | None = None, date: str | None = None, tie: list[str] | None = None, keep_null: bool = False) -> DataFrame:
-    """The newest row of each identifier; dates that can't be read last. Without an identifier all rows stay."""
+    """The newest row of each identifier; dates that can't be read last. Without an identifier all rows stay. Where
+    nothing else tells rows apart, a hash of the row does, so that reruns agree."""
     key, date = key or identifier_column(df), date or date_column(df)
     if key is None:
         return df
     order = ([as_time(df, date).desc_nulls_last()] if date else []) + [F.col(f"`{t}`") for t in tie or []]
-    return first_per(df, [key], order or [F.lit(0)], keep_null)
+    return first_per(df, [key], order if tie else [*order, row_hash(df)], keep_null)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row; maps and variants count by their JSON text."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in t or t == "variant" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def filled(cols: list[str]) -> Column:

@@ -6,13 +6,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, StandardScaler, UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
-from .aggregates import numeric
+from .aggregates import numeric, percentiles
 
 #: Texts that mean a good lead.
 POSITIVE = ("alta", "sim", "1", "high")
@@ -35,19 +35,15 @@ def encode(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.nullif(F.upper(F.trim(F.col(f"`{c}`").cast("string"))), F.lit("")), F.lit("DESCONHECIDO")) for c in cols})
 
 
-def feature_stages(df: DataFrame, numbers: list[str], texts: list[str], max_card: int = 50) -> list:
-    """Scaled numbers, one-hot texts of at most max_card values, hashed others, all in `features`."""
-    cards = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in texts]).first() if texts else {}
-    few, many = [c for c in texts if cards[c] <= max_card], [c for c in texts if cards[c] > max_card]
+def feature_stages(df: DataFrame, numbers: list[str], texts: list[str]) -> list:
+    """Scaled numbers and texts, all in `features`. Texts are hashed to 256 places, of any number of values alike, so that
+    no size of a table changes how they are encoded."""
     stages, parts = [], []
     if numbers:
         stages += [VectorAssembler(inputCols=numbers, outputCol="_numbers", handleInvalid="keep"), StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=False)]
         parts.append("_scaled")
-    if few:
-        stages += [StringIndexer(inputCols=few, outputCols=[f"_i_{c}" for c in few], handleInvalid="keep"), OneHotEncoder(inputCols=[f"_i_{c}" for c in few], outputCols=[f"_o_{c}" for c in few])]
-        parts += [f"_o_{c}" for c in few]
-    if many:
-        stages.append(FeatureHasher(inputCols=many, outputCol="_hashed", numFeatures=256))
+    if texts:
+        stages.append(FeatureHasher(inputCols=texts, outputCol="_hashed", numFeatures=256))
         parts.append("_hashed")
     return [*stages, VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep")]
 
@@ -170,7 +166,7 @@ def flag_outliers(df: DataFrame, cols: list[str], share: float = 0.1, name: str
     facts = df.agg(*[f(F.col(c).cast("double")).alias(f"_{n}{i}") for i, c in enumerate(cols) for n, f in (("m", F.avg), ("s", F.stddev_pop))])  # one row
     parts = [F.coalesce(F.when(F.col(f"_s{i}") > 0, F.pow((F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}"), F.lit(2))), F.lit(0.0)) for i, c in enumerate(cols)]
     out = df.crossJoin(F.broadcast(facts)).withColumn(distance, F.sqrt(sum(parts, F.lit(0.0)))).drop(*facts.columns)
-    limit = out.agg(F.percentile(distance, F.lit(1 - share)).alias("_limit"))  # one row
+    limit = percentiles(out, {"d": F.col(distance)}, [1 - share]).agg(F.max(F.col("q")[0]).alias("_limit"))  # one row
     return out.crossJoin(F.broadcast(limit)).withColumn(name, (F.col(distance) > F.col("_limit")).cast("int")).drop("_limit")
 
 
@@ -179,7 +175,7 @@ def impute_model(df: DataFrame, target: str, numbers: list[str], least: int = 10
     data = prepared(df, numbers, [])
     known = df.filter(F.col(target).isNotNull())
     if known.limit(least).count() < least:
-        one = df.agg(F.median(F.col(target).cast("double")).alias("_v"))  # one row
+        one = percentiles(df, {"v": F.col(target)}, [0.5]).agg(F.max(F.col("q")[0]).alias("_v"))  # one row
         return df.crossJoin(F.broadcast(one)).withColumn(target, F.coalesce(F.col(target).cast("double"), "_v")).drop("_v")
     stages = [VectorAssembler(inputCols=numbers, outputCol="features"), RandomForestRegressor(labelCol=target, numTrees=10, maxDepth=3, seed=42)]
     model = Pipeline(stages=stages).fit(data.filter(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double")))

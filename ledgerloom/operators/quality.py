@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import Window as W
 
 from ..functions.validate import is_blank, is_email, is_phone
-from .aggregates import completeness, describe_numeric, numeric
+from .aggregates import completeness, describe_numeric, distinct_counts, numeric
 
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,20 +94,22 @@ def detect_patterns(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.struct(F.lit(c).alias("column"), pattern_of(F.col(f"`{c}`").cast("string")).alias("pattern")).alias(f"s{i}") for i, c in enumerate(cols)]).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cols))])))
 
 
-def profile(df: DataFrame, source: str, run_ts, approximate: bool = False) -> DataFrame:
+def profile(df: DataFrame, source: str, run_ts, approximate: bool = True) -> DataFrame:
     """A row for each column: type, nullable, rows, nulls, distinct, least and greatest value, mean length, pattern;
-    with the schema's hash and the table's quality score. One pass; approximate distinct counts if asked."""
-    count = F.approx_count_distinct if approximate else F.countDistinct
+    with the schema's hash and the table's quality score. One pass with approximate distinct counts, or exact ones."""
     own, numbers = [], set(numeric(df))
     for i, (c, t) in enumerate(df.dtypes):
         x = F.col(f"`{c}`")
         text = x.cast("string")
         own.append(F.struct(
-            F.lit(c).alias("column"), F.lit(t).alias("dtype"), (F.count(x) < F.count("*")).alias("nullable"), F.count("*").alias("rows"), (F.count("*") - F.count(x)).alias("nulls"), count(text).alias("n_distinct"),
+            F.lit(c).alias("column"), F.lit(t).alias("dtype"), (F.count(x) < F.count("*")).alias("nullable"), F.count("*").alias("rows"), (F.count("*") - F.count(x)).alias("nulls"), (F.approx_count_distinct(text) if approximate else F.lit(0).cast("long")).alias("n_distinct"),
             (F.min(x.cast("double")) if c in numbers else F.lit(None).cast("double")).alias("min_value"), (F.max(x.cast("double")) if c in numbers else F.lit(None).cast("double")).alias("max_value"),
             (F.avg(F.length(x)) if t == "string" else F.lit(None).cast("double")).alias("mean_length"), (pattern_of(x) if t == "string" else F.lit(None).cast("string")).alias("pattern"),
         ).alias(f"s{i}"))
     rows = df.agg(*own).select(F.array(*[F.col(f"s{i}") for i in range(len(own))]).alias("cols"))
+    if not approximate:
+        counts = distinct_counts(df, df.columns).agg(F.map_from_entries(F.collect_list(F.struct("column", "n_distinct"))).alias("exact"))  # one row
+        rows = rows.crossJoin(F.broadcast(counts)).select(F.transform("cols", lambda s: s.withField("n_distinct", F.coalesce(F.col("exact")[s["column"]], F.lit(0).cast("long")))).alias("cols"))
     spec = F.array_join(F.array_sort(F.transform("cols", lambda s: F.concat_ws(":", s["column"], s["dtype"], s["nullable"].cast("string")))), ",")
     cells = F.aggregate("cols", F.lit(0.0), lambda a, s: a + s["nulls"]) / F.nullif(F.aggregate("cols", F.lit(0.0), lambda a, s: a + s["rows"]), F.lit(0.0))
     ids = F.filter("cols", lambda s: (F.lower(s["column"]).contains("id") | (s["n_distinct"] == s["rows"])) & (s["rows"] > 0))

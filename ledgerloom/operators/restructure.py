@@ -11,12 +11,20 @@ from .schema import union_tables
 
 
 def unpivot_keys(df: DataFrame, json_col: str, prefix: str, fields: list[str], keep: list[str] | None = None) -> DataFrame:
-    """Keys such as <prefix>.<id>.<field> of a JSON text become one row per id, with a column per field."""
+    """Keys such as <prefix>.<id>.<field> of a JSON text become one row per id, with a column per field.
+
+    All within a row, without a shuffle: equal documents keep rows of their own. The work of a document grows with the
+    square of its ids, so documents of more than thousands of ids are better cut before.
+    """
     keep = [c for c in df.columns if c != json_col] if keep is None else keep
-    entries = F.explode(F.map_entries(F.from_json(F.col(json_col), "map<string,string>")))
     pattern = rf"^{prefix}\.([^.]+)\.({'|'.join(fields)})$"
-    rows = df.select(*keep, entries.alias("_e")).select(*keep, F.regexp_extract("_e.key", pattern, 1).alias("entry_id"), F.regexp_extract("_e.key", pattern, 2).alias("_f"), F.col("_e.value").alias("_v"))
-    return rows.filter("entry_id != ''").groupBy(*keep, "entry_id").agg(*[F.max(F.when(F.col("_f") == f, F.col("_v"))).alias(f) for f in fields])
+    entries = F.transform(F.map_entries(F.from_json(F.col(json_col), "map<string,string>")), lambda e: F.struct(F.regexp_extract(e["key"], pattern, 1).alias("id"), F.regexp_extract(e["key"], pattern, 2).alias("f"), e["value"].alias("v")))
+    own = df.select(*keep, F.filter(entries, lambda e: e["id"] != "").alias("_own"))
+    of = lambda name: F.filter("_own", lambda e: e["f"] == name)
+    maps = [F.map_from_entries(F.transform(of(f), lambda e: F.struct(e["id"], e["v"]))).alias(f"_m{i}") for i, f in enumerate(fields)]
+    split = own.select(*keep, F.array_distinct(F.transform("_own", lambda e: e["id"])).alias("_ids"), *maps)
+    rows = F.transform("_ids", lambda i: F.struct(i.alias("entry_id"), *[F.try_element_at(F.col(f"_m{k}"), i).alias(f) for k, f in enumerate(fields)]))
+    return split.select(*keep, F.inline(rows))
 
 
 def project_payments(df: DataFrame, json_col: str = "doc", email: str = "email", key: str = "id") -> DataFrame:

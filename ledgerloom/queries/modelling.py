@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import ml
 from ..plans.steps import run_steps
+from ..sources.folders import work_folder
 from ..streaming import streams
 from .base import AS_OF, LEADS_SQL, leads, query, table
 from .scores import RULES, SCORE_SQL
@@ -88,16 +86,11 @@ def modelled_imputation(spark, sf_dir):
 
 def drained(stream, name: str):
     """The rows that a stream over what is there gives, written to the folder that the cluster shares and read back."""
-    path = stream_folder(stream.sparkSession, name)
+    path = work_folder(stream.sparkSession, name)
     stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/out")
 
 
-def stream_folder(spark, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ledgerloom-")
-    return f"{base.rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
-
-
 @query("select event_id, user_id, event_type from events")
 def event_stream(spark, sf_dir):
     stream = streams.event_stream(spark, f"{sf_dir}/events.parquet*", events_schema(spark, sf_dir))
@@ -110,25 +103,31 @@ def events_schema(spark, sf_dir):
 
 @query(f"with s as (select id, cast({SCORE_SQL} as double) as score from {LEADS_SQL}) select id, score from s where score >= 70")
 def score_stream(spark, sf_dir):
-    """The stream's operator on the table: a stateless plan is the same on both; tests run it as a stream."""
-    return streams.score_stream(leads(spark, sf_dir), RULES, AS_OF, 70).select("id", "score")
+    """Leads are written to files and scored as a stream over them."""
+    rows = leads(spark, sf_dir)
+    rows.write.parquet(path := work_folder(spark, "leads"))
+    stream = streams.score_stream(spark.readStream.schema(rows.schema).parquet(path), RULES, AS_OF, 70)
+    return drained(stream.select("id", "score"), "scores")
 
 
 @query("""
     with w as (select event_type as pipeline, time_bucket(interval '1 day', ts) as start, count(*) as n, avg(value) as mean_value from events group by 1, 2), b as (select pipeline, avg(mean_value) as mean, stddev_pop(mean_value) as std from w group by 1)
-    select w.pipeline, start, n, round(mean_value, 6) as mean_value, case when abs(mean_value - mean) > 3 * std then 'critical' when abs(mean_value - mean) > 2.5 * std then 'high' else 'medium' end as severity from w join b on w.pipeline = b.pipeline where abs(mean_value - mean) > 2 * std
+    select w.pipeline, start, n, round(mean_value, 6) as mean_value, case when abs(mean_value - mean) > 3 * std then 'critical' when abs(mean_value - mean) > 2.5 * std then 'high' else 'medium' end as severity from w join b on w.pipeline = b.pipeline where abs(mean_value - mean) > 2 * std and start < (select max(ts) from events) - interval '1 day'
 """)
 def monitor_stream(spark, sf_dir):
-    """Windows of the table against a baseline; tests run it as a stream."""
+    """Windows of the stream of events against a baseline of the table. A window comes out when the watermark, which is at
+    the newest event, has passed its end: those that the newest event is not in."""
     e = table(spark, sf_dir, "events")
     means = streams.windowed_metrics(e, "value", "event_type", "ts", "1 day")
     baseline = means.groupBy("pipeline").agg(F.avg("mean_value").alias("mean"), F.stddev_pop("mean_value").alias("std"))
-    return streams.monitor_stream(e, baseline, "value", "event_type", "ts", "1 day").withColumn("mean_value", F.round("mean_value", 6))
+    source = spark.readStream.schema(e.schema).parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = drained(streams.monitor_stream(source, baseline, "value", "event_type", "ts", "1 day", "0 seconds"), "alarms")
+    return out.withColumn("mean_value", F.round("mean_value", 6))
 
 
 @query("select event_id, user_id from (select event_id, user_id, row_number() over (partition by user_id order by ts desc, event_id) as n from events where user_id is not null) where n = 1")
 def latest_stream(spark, sf_dir):
-    folder = stream_folder(spark, "latest")
+    folder = work_folder(spark, "latest")
     schema = events_schema(spark, sf_dir)
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
     streams.latest_stream(stream, "user_id", "ts", ["event_id"], f"{folder}/out", f"{folder}/checkpoint").awaitTermination()

@@ -122,7 +122,7 @@ def cut_equal(spark, sf_dir):
     union all select 'c_nationkey', count(*), count(c_nationkey), count(distinct c_nationkey), min(cast(c_nationkey as varchar)) from customer
 """)
 def data_dictionary(spark, sf_dir):
-    out = a.data_dictionary(table(spark, sf_dir, "customer").select("c_mktsegment", "c_nationkey"))
+    out = a.data_dictionary(table(spark, sf_dir, "customer").select("c_mktsegment", "c_nationkey"), exact=True)
     return out.select("column", "rows", "non_null", "n_distinct", F.col("examples")[0].alias("least"))
 
 

@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import validate as v
 from ..operators import aggregates, restructure, schema
 from ..plans import steps
 from ..sources import readers, sinks
+from ..sources.folders import work_folder as folder
 from .base import LEADS_SQL, leads, query, table
 
 
-def folder(spark, name: str) -> str:
-    """A fresh folder in the one that the cluster shares; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ledgerloom-")
-    return f"{base.rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
-
-
 @query("select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, c_mktsegment from customer")
 def csv_round_trip(spark, sf_dir):
     sinks.write_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), path := folder(spark, "csv"))

@@ -55,3 +55,6 @@ def test_latest_over_batches(spark, tmp_path):
     stream = spark.readStream.schema("cpf int, v string, data string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     streams.latest_stream(stream, "cpf", "data", ["v"], str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert sorted((r.cpf, r.v) for r in streams.latest_table(spark, str(tmp_path / "out")).collect()) == [(1, "b"), (2, "c")]
+    kept = [p for p in (tmp_path / "out").glob("batch=*/part=*")]
+    per_part = {p.name: sum(q.name == p.name for q in kept) for p in kept}
+    assert max(per_part.values()) <= 2 and len(per_part) == 2
