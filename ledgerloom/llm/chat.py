@@ -14,8 +14,9 @@ from functools import reduce
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Window as W
 
-from .shared import staged, text_slices, unclash
+from .shared import column_after, staged, text_slices, unclash
 
 QUOTE = re.compile(r"(?:[ \t]*>)+ ?")
 #: A line that announces a quotation: in four languages, and the dashes of forwarded mail.
@@ -79,6 +80,19 @@ def parsed(messages: DataFrame, text: str = "text") -> DataFrame:
     return messages.mapInArrow(run, schema)
 
 
+def with_previous(places: DataFrame) -> DataFrame:
+    """places: distinct (c, t). With previous: the greatest t of the same c before it, or null.
+
+    Rows are dealt by ranges of (c, t), so that a conversation of any length is spread over tasks. Inside a range the row
+    before is at hand; the first row of a conversation in a range follows its last row in the ranges before.
+    """
+    dealt = staged(places.repartitionByRange("c", "t").withColumn("range", F.spark_partition_id()), "ranges")
+    inside = F.lag("t").over(W.partitionBy("c", "range").orderBy("t"))
+    last = dealt.groupBy("c", "range").agg(F.max("t").alias("last"))
+    carried = last.select("c", "range", F.lag("last").over(W.partitionBy("c").orderBy("range")).alias("carried"))  # a row a range at most
+    return dealt.withColumn("inside", inside).join(carried.filter("carried is not null"), ["c", "range"], "left").select("c", "t", F.coalesce("inside", "carried").alias("previous"))
+
+
 NEW = (*OUT, "reply_to", "linked", "thread", "depth", "formatted")
 
 
@@ -86,15 +100,14 @@ def link_quotes(messages: DataFrame, conversation: str = "conv_id", turn: str =
     """`messages` with own_text, reply_to (a turn), linked (by a quotation), thread (the turn it goes back to), depth (of
     replies) and formatted (role and own text), to be read in order of conversation, thread and turn.
 
-    A message replies to the latest earlier one whose words it quotes at its outermost level; without such to the turn
-    before it, if there is one; else it begins a thread. Words count as said by the first message of the conversation
+    A message replies to the latest earlier one whose words it quotes at its outermost level; without such to the greatest
+    turn before it, if there is one; else it begins a thread. Words count as said by the first message of the conversation
     that says them. Rows that repeat conversation and turn are one place in the order and share its links. Rows where
     either is null keep their own_text but have no links, thread or depth. Null roles are formatted as user, null texts
     stay null. Columns of `messages` named like the new ones get an underscore before them.
     """
     messages, moved = unclash(messages, [*NEW, "c", "t"])
-    now = {old: new for new, old in moved.items()}
-    conversation, turn, role, text = (now.get(x, x) for x in (conversation, turn, role, text))
+    conversation, turn, role, text = (column_after(moved, x) for x in (conversation, turn, role, text))
     rows = staged(parsed(messages, text).withColumn("c", F.col(f"`{conversation}`")).withColumn("t", F.col(f"`{turn}`").cast("long")), "messages")
     keyed = rows.filter("c is not null and t is not null")
     first = keyed.select("c", "t", F.explode("said").alias("hash")).groupBy("c", "hash").agg(F.min("t").alias("origin"))
@@ -102,8 +115,7 @@ def link_quotes(messages: DataFrame, conversation: str = "conv_id", turn: str =
     hits = quotes.join(first, ["c", "hash"]).filter("origin < t")
     links = hits.groupBy("c", "t").agg(F.max(F.struct(-F.col("level"), "origin"))["origin"].alias("origin"))
     places = keyed.select("c", "t").distinct()
-    before = places.select("c", (F.col("t") + 1).alias("t"), F.col("t").alias("previous"))
-    parents = places.join(links, ["c", "t"], "left").join(before, ["c", "t"], "left")
+    parents = with_previous(places).join(links, ["c", "t"], "left")
     # jump: an ancestor on the way to the thread's beginning; depth: replies passed on the way there; done: it is the beginning
     chain = parents.select("c", "t", F.coalesce("origin", "previous").alias("reply_to"), F.col("origin").isNotNull().alias("linked"))
     chain = chain.withColumns({"jump": F.coalesce("reply_to", "t"), "depth": F.when(F.col("reply_to").isNull(), 0).otherwise(1), "done": F.col("reply_to").isNull()})

@@ -61,7 +61,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), keep_text=False)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -70,6 +70,15 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("conv_id", "turn", "role", "own_text", "reply_to", "linked", "thread", "depth", "formatted")
 
 
+def quoted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 where the messages quote: each message of `conversations` first quotes the one two turns before it."""
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = talk.filter("conv_id is not null and turn is not null").groupBy("conv_id", (F.col("turn") + 2).alias("turn")).agg(F.min("text").alias("earlier"))
+    marked = F.concat(F.lit("> "), F.replace(F.col("earlier"), F.lit("\n"), F.lit("\n> ")), F.lit("\n"))
+    quoting = talk.join(said, ["conv_id", "turn"], "left").withColumn("text", F.concat(F.coalesce(marked, F.lit("")), F.col("text"))).drop("earlier")
+    return chat.link_quotes(quoting).select("conv_id", "turn", "role", "own_text", "reply_to", "linked", "thread", "depth", "formatted")
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path, vocabulary = table(spark, sf_dir, "documents"), new_folder(spark, "tokens"), public_tokenizers.path(WORDS)
     token_store.write_store(docs, path, vocabulary)
@@ -77,12 +86,19 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_topk, op3_quality, op4_sentencepiece, op5_token_counts, op6_url_filters, op7_simhash, op8_mixing, op9_chat, op10_token_store)
+    f.__name__: f for f in (op1_sharding, op2_topk, op3_quality, op4_sentencepiece, op5_token_counts, op6_url_filters, op7_simhash, op8_mixing, op9_chat, op10_token_store, quoted_chat)
 }
 
 _LIST = ", ".join(f"({i}, '{r.name}', '{r.verdict}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}')" for i, r in enumerate(url_filters.LIST))
-#: Without || a pattern fits where its text is; with it, behind the start or a dot of the host. All of ours are literal.
-_BLOCKED = " or ".join(f"strpos('.' || host || path, '{'.' if p.pattern.startswith('||') else ''}{p.pattern.removeprefix('||')}') between 1 and {'length(host) + 1' if p.pattern.startswith('||') else 'length(host || path) + 1'}" for p in url_filters.PATTERNS)
+
+
+def _like(pattern: str) -> str:
+    """A pattern of PATTERNS for DuckDB: || is the start or a dot of the host, * anything."""
+    body = pattern.removeprefix("||").replace(".", "[.]").replace("*", ".*")
+    return ("^([^/]*[.])?" if pattern.startswith("||") else "") + body
+
+
+_BLOCKED = f"regexp_matches(host || path, '{'|'.join(_like(p.pattern) for p in url_filters.PATTERNS)}', 's')"
 
 ORACLES: dict[str, str] = {
     "op2_topk": """

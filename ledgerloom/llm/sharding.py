@@ -21,7 +21,7 @@ BUCKET_BYTES = 8 << 20
 #: Equal rows of more than this part of a bucket's bytes scatter by number; copies that one row is drawn to at a time.
 HOT_PART, COPIES = 0.125, 4096
 #: Bytes of the buckets that one task shuffles, one bucket after the other.
-TASK_BYTES = 64 << 20
+TASK_BYTES = 32 << 20
 #: A table of bucket counts up to this number of rows (24 bytes each) is broadcast; a larger one is joined by shuffle.
 BROADCAST_BUCKETS = 500_000
 SEED = 20240229

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -20,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares (spark.checkpoint.dir). Only where it is unset, as in tests, a folder of our own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):  # other machines would not see a folder of this one
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         base = tempfile.mkdtemp(prefix="spark-ledgerloom-")
         atexit.register(shutil.rmtree, base, True)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -47,6 +50,18 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While a job runs inside, Arrow batches to Python hold at most so many rows: whole texts are held twice on the way."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Slices of the batches with their texts, each of about `limit` characters; a longer text is alone in its slice."""
     for batch in batches:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql import Window as W
 
-from .shared import WordMemory, drop_staged, text_slices
+from .shared import WordMemory, drop_staged, small_batches, text_slices
 from .token_counts import byte_letters
 
 #: Least, usual and most ids of a chunk; ids under the rolling hash; chunk hashes that a task keeps to send each once.
@@ -274,7 +274,8 @@ def write_store(docs: DataFrame, path: str, vocabulary_path: str, end_id: int =
     # copies of one document share a root: their recipes are dealt by key as well
     deal = F.when(F.col("kind") == "chunk", F.xxhash64("key")).otherwise(F.xxhash64("doc", "key"))
     dealt = rows.withColumn("deal", deal).repartition("deal").sortWithinPartitions("kind", "key").drop("deal")
-    dealt.mapInArrow(once, schema).write.partitionBy("kind").parquet(f"{path}/store")
+    with small_batches(spark):
+        dealt.mapInArrow(once, schema).write.partitionBy("kind").parquet(f"{path}/store")
     recipes = spark.read.schema(schema).parquet(f"{path}/store").filter("kind = 'doc'").select("doc", "n", "root", "chunks", "sizes")
     indexed = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string("kind string, part int, row long, local_start long, n long, root binary, chunks binary, sizes binary")])
 

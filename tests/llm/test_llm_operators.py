@@ -205,32 +205,79 @@ def test_token_counts(spark, docs):
     assert token_counts.count_tokens(df.limit(0), P.path("byte_bpe_50k.json")).count() == 0
 
 
+def fits(pattern, address):
+    """A pattern against an address, by trying every place."""
+    front = "||" if pattern.startswith("||") else "|" if pattern.startswith("|") else ""
+    body = pattern[len(front) :]
+    ends = body.endswith("|")
+    body = body[:-1] if ends else body
+    if front == "||":
+        host = address.partition("/")[0]
+        places = [0, *(i + 1 for i, c in enumerate(host) if c == ".")]
+    else:
+        places = [0] if front else range(len(address) + 1)
+
+    def at(k, i):
+        if k == len(body):
+            return i == len(address) if ends else True
+        if body[k] == "*":
+            return any(at(k + 1, j) for j in range(i, len(address) + 1))
+        if body[k] == "^":
+            return (i == len(address) and at(k + 1, i)) or (i < len(address) and not re.match(r"[A-Za-z0-9_.%-]", address[i]) and at(k + 1, i + 1))
+        return i < len(address) and address[i] == body[k] and at(k + 1, i + 1)
+
+    return any(at(0, i) for i in places)
+
+
+def cut_url(url):
+    rest = url.partition("://")[2] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    return re.sub("[A-Z]", lambda m: m[0].lower(), host), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
 def test_url_filters(spark, tmp_path):
     urls = [None, "", "no scheme", "http://", "http://EXAMPLE.org/es/x", "https://a.example.org/en/12?x", "https://example.org/en/2", "http://x.com/fr/1", "http://com/de/", "http://fr.com/de/a/b#c", "ftp://spam-farm.net", "http://www.cheap-pills.example.com/fr/1",
-            "http://www.cheap-pills.example.com/it/1", "http://notcheap-pills.net/", "http://b.io/a/casino/c", "x://y://z/?q=://", "http://h.org?x/es/", "http://com", "http://a.com/fr/\nq"]
+            "http://www.cheap-pills.example.com/it/1", "http://notcheap-pill.net/", "http://b.io/a/casino/c", "x://y://z/?q=://", "http://h.org?x/es/", "http://com", "http://a.com/fr/\nq", "http://ads.b.net/", "http://loads.b.net/adults/"]
     rows = [(i, u) for i, u in enumerate(urls)] + [(None, urls[4]), (3, urls[4]), (3, urls[4])]
     df = spark.createDataFrame(rows, "page_id long, url string").withColumns({"host": __import__("pyspark.sql.functions", fromlist=["lit"]).lit("own")})
     df.write.parquet(str(tmp_path / "pages.parquet"))
 
     def judge(url):
-        rest = url.partition("://")[2] if url and "://" in url else ""
-        host = re.match(r"[^/?#]*", rest)[0]
-        path = re.match(r"[^?#]*", rest[len(host) :])[0]
-        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
-        fits = [r for r in url_filters.LIST if (lambda h, p: (host == h or host.endswith("." + h)) and path.startswith("/" + p))(*r.name.split("/", 1))]
-        if fits:
-            best = max(fits, key=lambda r: len(r.name))
+        host, path = cut_url(url)
+        own = [r for r in url_filters.LIST if (lambda h, p: (host == h or host.endswith("." + h)) and path.startswith("/" + p))(*r.name.split("/", 1))]
+        if own:
+            best = max(own, key=lambda r: len(r.name))
             return host, path, best.name, best.verdict
-        blocked = any(re.search(r.regex(), host + path) for r in url_filters.PATTERNS)
-        return host, path, None, "block" if blocked else "allow"
+        return host, path, None, "block" if host + path and any(fits(r.pattern, host + path) for r in url_filters.PATTERNS) else "allow"
 
     out = queries.op6_url_filters(spark, str(tmp_path))
     assert multiset(out.collect()) == collections.Counter((i, *judge(u)) for i, u in rows)
     assert "_host" in url_filters.filter_urls(df).columns
+    moved = url_filters.filter_urls(df.drop("host").withColumnRenamed("url", "host"), url="host")
+    assert multiset((r.page_id, r._host, r.verdict) for r in moved.collect()) == collections.Counter((i, u, judge(u)[3]) for i, u in rows)
     assert url_filters.filter_urls(df.limit(0)).count() == 0
-    bare = [url_filters.UrlRule("any", "block", "*pills*"), url_filters.UrlRule("a", "block", "||b.io^")]
-    got = {r.page_id: r.verdict for r in url_filters.filter_urls(df.filter("page_id is not null"), rules=bare).collect()}
-    assert got[11] == got[12] == got[13] == got[14] == "block" and got[7] == "allow"
+    assert {r.verdict for r in url_filters.filter_urls(df, rules=[]).collect()} == {"allow"}
+
+
+def test_url_index_against_all_rules(spark):
+    rnd = random.Random(4)
+    part = lambda: rnd.choice(["a", "b7", "news", "shop", "xy", "z9z", "en", "data-set", "p_q", "%20"])
+    urls = [f"{rnd.choice(['http', 'https'])}://{'.'.join(part() for _ in range(rnd.randint(1, 3)))}.{rnd.choice(['com', 'org', 'net'])}{'/' * rnd.randint(0, 1)}{'/'.join(part() for _ in range(rnd.randint(0, 4)))}" for _ in range(500)] * 2
+    pieces = lambda: "".join(rnd.choice([part(), part(), "/", ".", "*", "^", "-"]) for _ in range(rnd.randint(1, 5)))
+    patterns = sorted({rnd.choice(["||", "|", "", ""]) + pieces() + rnd.choice(["", "", "", "|"]) for _ in range(700)} - {"", "|", "||"})
+    patterns = [p for p in patterns if p.strip("|*^")]
+    name = {p: f"{99 - len(p)}-{rnd.random():.9f}" for p in patterns}
+    table = spark.createDataFrame([(name[p], rnd.choice(["allow", "block"]), p) for p in patterns] + [(None, "block", "x")], "name string, verdict string, pattern string")
+    verdict = {r.name: r.verdict for r in table.collect()}
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.pattern, r.verdict, r.rule) for r in url_filters.filter_urls(df, rules=table).collect()}
+    known = {}
+    for i, u in enumerate(urls):
+        address = "".join(cut_url(u))
+        if address not in known:
+            known[address] = min((name[p] for p in patterns if fits(p, address)), default=None)
+        assert got[i] == (known[address], verdict.get(known[address], "allow"), None), (u, known[address])
+    assert len(patterns) > 400 and len({p for p in known.values()}) > 10
 
 
 def brute_components(prints, keys):
@@ -315,6 +362,42 @@ def fill(sizes, weights=(5, 2, 1)):
     return target
 
 
+def copies_by_sorting(rows, u, seed_most=3, temper=mixing.TEMPER):
+    """rows: (source, size); u: of each row. The copies of each row, with every source sorted whole."""
+    sizes = collections.Counter()
+    for s, n in rows:
+        sizes[s] += n
+    target, out = fill(sizes), [0] * len(rows)
+    for s in sizes:
+        own = [i for i, r in enumerate(rows) if r[0] == s]
+        if not sizes[s]:
+            continue
+        weight = {i: 2.0 ** (-temper * (max(rows[i][1], 1).bit_length() - 1)) for i in own}
+        low, high = 0.0, 1e9
+        for _ in range(300):
+            level = (low + high) / 2
+            low, high = (level, high) if sum(rows[i][1] * min(3.0, level * weight[i]) for i in own) < target[s] else (low, level)
+        mean = {i: min(3.0, high * weight[i]) for i in own}
+        whole = {i: math.floor(mean[i] + 1e-7) for i in own}
+        chance = {i: max(mean[i] - whole[i], 0.0) for i in own}
+        rest, done = target[s] - sum(whole[i] * rows[i][1] for i in own), 0
+        for i in own:
+            out[i] = whole[i]
+        rank = lambda i: u[i] / (1 - u[i]) / (chance[i] / (1 - chance[i]))
+        last = []
+        for i in sorted((i for i in own if chance[i] > 1e-6), key=rank):
+            last = [*last, i] if last and rank(i) == rank(last[0]) else [i]
+            group = sum(rows[k][1] for k in last)
+            before = done - sum(rows[k][1] for k in last[:-1])
+            done += rows[i][1]
+            if before + group / 2 > rest:
+                for k in last[:-1]:
+                    out[k] -= 1
+                break
+            out[i] += 1
+    return out
+
+
 def test_mixing(spark, docs):
     df, rows = docs
     out = queries.op8_mixing(spark, folder(df)).collect()
@@ -336,10 +419,37 @@ def test_mixing(spark, docs):
     assert all(abs(taken[s] - want[s]) <= 2 * most[s] for s in sizes)
     again = mixing.mix(df.repartition(5), weights=(5, 2, 1)).collect()
     assert multiset((r.doc_id, r.copies) for r in again) == multiset((r.doc_id, r.copies) for r in mixed.collect())
+    narrow = mixing.mix(df, keep_text=False)
+    assert "text" not in narrow.columns and multiset((r.doc_id, r.copies) for r in narrow.collect()) == multiset((r.doc_id, r.copies) for r in again)
     took = mixing.take(df)
     assert took.columns == df.columns
     assert took.count() == sum(r.copies for r in again)
     assert mixing.mix(df.limit(0)).count() == 0 and mixing.mix(df.filter("text is null")).count() > 0
+    named = mixing.mix(df.withColumnsRenamed({"doc_id": "whole", "source": "u", "text": "cut"}), key="whole", source="u", text="cut").collect()
+    assert multiset((r._whole, r.copies) for r in named) == multiset((r.doc_id, r.copies) for r in again)
+
+
+def test_mixing_chooses_by_pareto_order(spark):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(12)
+    rows = [(i, "w " * rnd.choice([0, 1, 3, 9, 40, 300, 2000]), rnd.choice(["a", "a", "a", "b", "c", None])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    u = {r[0]: r[1] for r in df.select("doc_id", mixing.uniform(F.col("doc_id"), F.col("text"), mixing.SEED)).collect()}
+    brute = copies_by_sorting([(s, len(t.split())) for _, t, s in rows], [u[r[0]] for r in rows])
+    got = {r.doc_id: r.copies for r in mixing.mix(df, keep_text=False).collect()}
+    assert [got[r[0]] for r in rows if r[1]] == [c for c, r in zip(brute, rows) if r[1]]
+
+
+def test_mixing_includes_by_its_chances(spark):
+    rows = [(i, "w " * (4 if i % 2 else 256), "a" if i < 400 else "b") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).cache()
+    runs = [mixing.mix(df, weights=(1, 3), seed=seed, keep_text=False).collect() for seed in range(5)]
+    mean = lambda keep: sum(r.copies for run in runs for r in run if keep(r)) / sum(1 for run in runs for r in run if keep(r))
+    short, long = mean(lambda r: r.doc_id < 400 and r.doc_id % 2), mean(lambda r: r.doc_id < 400 and not r.doc_id % 2)
+    size, target = 200 * 4 + 200 * 256, next(r.target for r in runs[0] if r.doc_id == 0)
+    level = target / (200 * 4 * 2**-0.5 + 200 * 256 * 2**-2)
+    assert target < size and long == pytest.approx(level * 2**-2, abs=0.05) and short == pytest.approx(level * 2**-0.5, abs=0.05) and short > 1.5 * long
 
 
 def test_chat(spark):
@@ -359,7 +469,7 @@ def test_chat(spark):
     reply = {k: (r.reply_to, r.linked, r.thread, r.depth) for k, r in got.items()}
     assert reply[1, 0] == (None, False, 0, 0) and reply[1, 1] == (0, True, 0, 1) and reply[1, 2] == (1, True, 0, 2)
     assert reply[1, 3] == (0, True, 0, 1) and reply[1, 4] == (3, False, 0, 2)
-    assert reply[2, 0] == (None, False, 0, 0) and reply[2, 5] == (None, False, 5, 0) and reply[None, 1] == (None, False, None, None)
+    assert reply[2, 0] == (None, False, 0, 0) and reply[2, 5] == (0, False, 0, 1) and reply[None, 1] == (None, False, None, None)
     assert got[1, 1].own_text == "Mix and wait for an hour." and got[1, 2].own_text == "Why an hour?" and got[None, 1].own_text == "loose"
     assert got[1, 4].formatted == "<|user|>\nHm.\n" and got[4, 0].own_text is None
     assert chat.parse(">> a\n> b\nc")[1] == sorted([(2, chat.passage_hash("a")), (1, chat.passage_hash("b"))])
@@ -370,6 +480,55 @@ def test_chat(spark):
     assert queries.op9_chat(spark, SF).count() == whole.count()
 
 
+def brute_links(rows):
+    """By reading each conversation in order: (conversation, turn) -> reply_to, linked, thread, depth."""
+    out = {}
+    for conv in {r[0] for r in rows if r[0] is not None}:
+        own = sorted((r for r in rows if r[0] == conv and r[1] is not None), key=lambda r: r[1])
+        turns, first = sorted({r[1] for r in own}), {}
+        found = [(r[1], *(chat.parse(r[3])[1:] if r[3] is not None else ([], []))) for r in own]
+        for turn, _, said in found:
+            for h in said:
+                first.setdefault(h, turn)
+        for at, turn in enumerate(turns):
+            hits = [(-level, first[h]) for t, quoted, _ in found if t == turn for level, h in quoted if h in first and first[h] < turn]
+            reply = max(hits)[1] if hits else turns[at - 1] if at else None
+            thread, depth = (turn, 0) if reply is None else (out[conv, reply][2], out[conv, reply][3] + 1)
+            out[conv, turn] = reply, bool(hits), thread, depth
+    return out
+
+
+def test_chat_against_brute_force(spark):
+    rnd = random.Random(8)
+    lines = [" ".join(rnd.choice("abcdefg") * rnd.randint(1, 3) for _ in range(rnd.randint(1, 6))) for _ in range(25)] + ["", "   "]
+    rows = []
+    for conv in range(60):
+        earlier = []
+        for turn in sorted(rnd.sample(range(60), rnd.choice([1, 3, 9, 20]))):
+            for _ in range(rnd.choice([1, 1, 1, 2])):
+                parts = [rnd.choice(lines) for _ in range(rnd.randint(0, 4))]
+                for _ in range(rnd.randint(0, 2)):
+                    if earlier:
+                        depth = rnd.randint(1, 3)
+                        quoted = rnd.choice(earlier).split("\n")
+                        parts[rnd.randint(0, len(parts)) : 0] = ["On Monday somebody wrote:"][: rnd.randint(0, 1)] + [rnd.choice(["> ", ">", " > "]) * depth + x for x in quoted]
+                text = None if rnd.random() < 0.05 else "\n".join(parts)
+                earlier += [text] if text else []
+                rows.append((conv if conv else None, turn if rnd.random() > 0.02 else None, rnd.choice(["user", "assistant", None]), text, "kept"))
+        rows += rows[-1:] if conv % 7 == 0 else []
+    rows += [(99, 0, "user", "long " * 50_000, "x"), (99, 9, "user", "> " + "long " * 50_000, "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, thread string")
+    out, want = chat.link_quotes(df.repartition(5)).collect(), brute_links(rows)
+    assert len(out) == len(rows) and multiset((r.conv_id, r.turn, r.role, r.text, r._thread) for r in out) == multiset(rows)
+    for r in out:
+        assert (r.reply_to, r.linked, r.thread, r.depth) == want.get((r.conv_id, r.turn), (None, False, None, None)), r
+        assert r.own_text == (None if r.text is None else chat.parse(r.text)[0])
+    assert sum(r.linked for r in out) > 50
+    quoting = queries.quoted_chat(spark, SF).collect()
+    assert len(quoting) == spark.read.parquet(f"{SF}/conversations.parquet").count()
+    assert any(r.linked and r.reply_to == r.turn - 2 for r in quoting)
+
+
 def test_token_store(spark, docs, tmp_path):
     from tokenizers import Tokenizer
 
