@@ -198,3 +198,29 @@ def test_models(spark, tmp_path):
     assert ml.predict(unseen, model, facts["numbers"], facts["texts"]).count() == 2
     few = ml.impute_model(spark.createDataFrame([(1.0, 2.0), (None, 5.0), (3.0, 1.0)], "t double, a double"), "t", ["a"])
     assert few.filter("t is null").count() == 0
+
+
+def test_percentiles_are_exact(spark, monkeypatch):
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators import aggregates
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([rnd.gauss(0, 1), rnd.lognormvariate(0, 4), 7.0, None]), i % 5 if i % 3 else None, None) for i in range(4000)]
+    df = spark.createDataFrame(rows, "x double, y int, z double").repartition(4)
+    for accuracy in (10_000, 200):  # with the second, most rows are outside the brackets
+        monkeypatch.setattr(aggregates, "ACCURACY", accuracy)
+        got = {r["column"]: r["q"] for r in aggregates.percentiles(df, {c: F.col(c) for c in "xyz"}, [0.0, 0.1, 0.5, 0.9, 1.0]).collect()}
+        assert set(got) == {"x", "y"}
+        for c, k in (("x", 0), ("y", 1)):
+            assert np.allclose(got[c], np.quantile([r[k] for r in rows if r[k] is not None], [0.0, 0.1, 0.5, 0.9, 1.0]), rtol=1e-12)
+
+
+def test_rows_without_date_or_tie_are_kept_by_their_hash(spark):
+    from ledgerloom.operators.dedup import dedup_latest
+
+    df = spark.createDataFrame([("1", f"v{i}") for i in range(40)], "cpf string, v string")
+    assert len({dedup_latest(df.repartition(n)).first().v for n in (1, 3, 7)}) == 1

@@ -77,3 +77,31 @@ def test_saved_steps(spark, tmp_path):
         steps.run_steps(df, [{"type": "nope"}])
     scored = steps.run_steps(df, [{"type": "lead_scoring", "config": {"scoring_rules": [{"name": "s", "max_score": 5, "criteria": [["g", "equals", "a", 9]]}]}}])
     assert scored.agg(F.sum("total_score")).first()[0] == 10.0
+
+
+def test_tables_of_a_database(spark):
+    """S10 and K6 against a database in memory, which a local session's tasks share with the driver."""
+    from ledgerloom.sources import readers, sinks
+
+    url, driver = "jdbc:derby:memory:ledgerloom;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(50)], "id int, name string")
+    sinks.append_jdbc(df, url, "leads", driver)
+    sinks.append_jdbc(df.filter("id < 3"), url, "leads", driver)
+    whole = readers.read_jdbc(spark, url, table="leads", **driver)
+    assert whole.count() == 53
+    parts = readers.read_jdbc(spark, url, table="leads", partition=("id", 0, 50, 4), **driver)
+    assert parts.rdd.getNumPartitions() == 4 and sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
+    asked = readers.read_jdbc(spark, url, query='select "id" from leads where "id" >= 40', limit=5, **driver)
+    assert asked.count() == 5 and all(r[0] >= 40 for r in asked.collect())
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from ledgerloom.sources.folders import work_folder
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_folder(cluster, "x")
