@@ -75,18 +75,22 @@ def with_sketches(docs: DataFrame, text: str) -> DataFrame:
 
 
 def close(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in two tiles of pairs whose sizes allow the least similarity and whose sketches are within the radius."""
-    rows, cols = [], []
-    for at in range(0, len(a["n"]), 128):
-        i, j = np.nonzero(np.bitwise_count(a["w0"][at : at + 128, None] ^ b["w0"][None, :]) <= FIRST_RADIUS)
+    """Links between set_ids of two tiles whose sizes allow the least similarity and whose sketches are within the radius,
+    thinned as they are found, so that a dense group takes no square of memory."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(a["n"]), 64):
+        i, j = np.nonzero(np.bitwise_count(a["w0"][at : at + 64, None] ^ b["w0"][None, :]) <= FIRST_RADIUS)
         i += at
         x, y = a["n"][i], b["n"][j]
         able = LEAST[1] * np.minimum(x, y) >= LEAST[0] * np.maximum(x, y)
         i, j = i[able], j[able]
         near = sum(np.bitwise_count(a[w][i] ^ b[w][j]).astype(np.int64) for w in ("w0", "w1", "w2", "w3")) <= RADIUS
-        rows.append(i[near])
-        cols.append(j[near])
-    return np.concatenate(rows), np.concatenate(cols)
+        x, y = a["set_id"][i[near]], b["set_id"][j[near]]
+        if (x != y).any():
+            x, y = thinned(x, y)
+            left.append(x)
+            right.append(y)
+    return thinned(np.concatenate(left), np.concatenate(right))
 
 
 def candidate_links(sets: DataFrame, tile: int = TILE) -> DataFrame:
@@ -113,8 +117,7 @@ def candidate_links(sets: DataFrame, tile: int = TILE) -> DataFrame:
             for row in pdf.to_dict("records"):
                 # numpy counts the bits of absolute values, so words go without sign
                 a, b = ({n: np.asarray(row[p + n], np.int64).view(np.uint64 if n[0] == "w" else np.int64) for n in names} for p in ("a_", "b_"))
-                i, j = close(a, b)
-                left, right = thinned(a["set_id"][i], b["set_id"][j])
+                left, right = close(a, b)
                 yield pd.DataFrame({"a": left, "b": right})
 
     slots = spark.sparkContext.defaultParallelism

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .shared import column_after, drop_staged, free_name, new_folder, staged, text_slices, unclash
 
-#: Fingerprints of a tile.
-TILE = 2048
+#: Fingerprints of a tile (128 KB: what travels for each pair of tiles), and of them those that are compared at a time.
+TILE, ROWS = 16384, 64
 #: Shingles whose bits are counted at a time.
 STEP = 1 << 16
 
@@ -65,15 +65,17 @@ def steps(parts: int, radius: int) -> list[list[int]]:
 
 
 def spanning(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """For two tiles, each linked fingerprint with the least one (as signed) that links of these tiles lead to."""
-    rows, cols = [], []
-    for at in range(0, len(a), 256):
-        near = np.bitwise_count(a[at : at + 256, None] ^ b[None, :]) <= radius
-        i, j = np.nonzero(near)
-        rows.append(i + at)
-        cols.append(j)
-    i, j = np.concatenate(rows), np.concatenate(cols)
-    return thinned(a[i].view(np.int64), b[j].view(np.int64))
+    """For two tiles, each linked fingerprint with the least one (as signed) that links of these tiles lead to. Links are
+    thinned as they are found, so that a dense group takes no square of memory."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(a), ROWS):
+        i, j = np.nonzero(np.bitwise_count(a[at : at + ROWS, None] ^ b[None, :]) <= radius)
+        x, y = a[i + at].view(np.int64), b[j].view(np.int64)
+        if (x != y).any():
+            x, y = thinned(x, y)
+            left.append(x)
+            right.append(y)
+    return thinned(np.concatenate(left), np.concatenate(right))
 
 
 def thinned(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
