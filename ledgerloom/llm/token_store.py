@@ -74,7 +74,7 @@ BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False
 #: SPLIT the three are words of their own. (Not İ; not the apostrophe, which SPLIT may take with the letters behind it.)
 PLAIN = re.compile(r"""([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F]+)([!-&(-/:-@\[-`{-~]*)""")
 #: Words that the library encodes at a time; characters of a slice of texts.
-AT_ONCE, SLICE = 2000, 1_000_000
+AT_ONCE, SLICE = 2000, 2_000_000
 
 
 def separates_words(spec: dict) -> bool:
