@@ -614,3 +614,15 @@ def test_chunks_follow_content():
         assert ends[-1] == len(x) and all(token_store.LEAST <= e - s <= token_store.MOST for s, e in zip([0, *ends[:-2]], ends[:-1]))
         pieces.append({tuple(x[s:e]) for s, e in zip([0, *ends], ends)})
     assert len(pieces[0] & pieces[1]) > 0.8 * len(pieces[0])
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_sql_agrees(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("embeddings", "pages"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    result = con.execute(queries.ORACLES[name])
+    names = [d[0] for d in result.description]
+    assert multiset(queries.QUERIES[name](spark, SF).select(*names).collect()) == multiset(result.fetchall())
