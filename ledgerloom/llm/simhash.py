@@ -205,14 +205,27 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: i
     return keep_first(docs, staged(grouped(narrow, "own_key", "own_text", radius, words), "groups"), key, text)
 
 
+#: Rows that go, and rows that are there more than once, are broadcast up to this number (32 bytes each).
+BROADCAST_ROWS = 500_000
+
+
 def keep_first(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    """keep_one() by a stored table of groups: own_key, own_hash (of the text), root and component_id of each row."""
-    mark = free_name(docs, "_hash")
-    columns, hashed = [F.col(f"`{c}`") for c in docs.columns], docs.withColumn(mark, F.xxhash64(F.col(f"`{text}`")))
-    k, h, wk, wh = free_name(hashed, "_k"), free_name(hashed, "_h"), free_name(hashed, "_wk"), free_name(hashed, "_wh")
-    # a text has one root, so that no two roots share a key and a hash
-    wins = found.filter("own_key = component_id").groupBy("root", "own_key").agg(F.min("own_hash").alias(wh)).select(F.col("own_key").alias(wk), wh)
-    stay = hashed.join(wins, (F.col(f"`{key}`") == F.col(wk)) & (F.col(mark) == F.col(wh))).withColumns({k: F.col(wk), h: F.col(wh)}).dropDuplicates([k, h]).select(*columns)
-    lone = found.filter("component_id is null").groupBy("root").agg(F.min("own_hash").alias(wh)).select(wh).distinct()
-    bare = hashed.filter(F.col(f"`{key}`").isNull()).join(lone, F.col(mark) == F.col(wh), "left_semi").dropDuplicates([text]).select(*columns)
-    return stay.unionByName(bare)
+    """keep_one() by a stored table of groups: own_key, own_hash (of the text), root and component_id of each row.
+
+    A text has one root, so a key and a hash belong to one group. What goes, or is repeated, is mostly the small part: it
+    is sent to the texts, and only repeated rows are shuffled. Where it is not, the texts are joined with what stays.
+    """
+    same = lambda a, b: a["own_key"].eqNullSafe(b["own_key"]) & (a["own_hash"] == b["own_hash"])
+    pairs = found.groupBy("own_key", "own_hash").agg(F.count("*").alias("times"), F.first("root").alias("root"), F.first("component_id").alias("component_id"))
+    wins = pairs.filter(F.col("own_key").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("own_hash", "own_key")).alias("w")).select("w.own_key", "w.own_hash", F.lit(True).alias("stays"))
+    marked = staged(pairs.join(wins, same(pairs, wins), "left").select(pairs["own_key"].alias("own_key"), pairs["own_hash"].alias("own_hash"), "times", F.coalesce("stays", F.lit(False)).alias("stays")), "marked")
+    columns, names = [F.col(f"`{c}`") for c in docs.columns], {n: free_name(docs, f"_{n}") for n in ("own_key", "own_hash", "times", "stays", "hash")}
+    hashed = docs.withColumn(names["hash"], F.xxhash64(F.col(f"`{text}`")))
+    met = F.col(f"`{key}`").eqNullSafe(F.col(names["own_key"])) & (F.col(names["hash"]) == F.col(names["own_hash"]))
+    special = marked.filter("times > 1 or not stays").withColumnsRenamed({n: names[n] for n in ("own_key", "own_hash", "times", "stays")})
+    if special.count() > BROADCAST_ROWS:
+        kept = marked.filter("stays").withColumnsRenamed({n: names[n] for n in ("own_key", "own_hash", "times", "stays")})
+        return hashed.join(kept, met).dropDuplicates([names["own_key"], names["own_hash"]]).select(*columns)
+    single = hashed.join(F.broadcast(special), met, "left_anti").select(*columns)
+    repeated = hashed.join(F.broadcast(special.filter(F.col(names["stays"]))), met).dropDuplicates([names["own_key"], names["own_hash"]])
+    return single.unionByName(repeated.select(*columns))

@@ -2,7 +2,10 @@
 
 import random
 
-from ledgerloom.llm import near_copies
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import near_copies, simhash
 
 
 def five_word_sets(text):
@@ -68,6 +71,7 @@ def test_blocks_and_tiles_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "BLOCK", 3)
     monkeypatch.setattr(near_copies.candidate_links, "__defaults__", (8,))
     monkeypatch.setattr(near_copies, "BROADCAST_MEMBERS", 0)
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", 0)
     assert sorted(r.doc_id for r in near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
 
 
@@ -86,3 +90,15 @@ def test_empty_table_and_rows_without_key(spark):
     rows = [(None, text), (None, text + " end"), (None, "other"), (3, "third")]
     got = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == 3 and {r.doc_id for r in got} == {None, 3}
+
+
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_repeated_rows_and_keys(spark, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", limit)
+    texts = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(4)]
+    rows = [(1, texts[0])] * 3 + [(1, texts[1]), (None, texts[1] + " end"), (None, texts[2])] + [(None, texts[2] + " end")] * 2 + [(4, None), (4, None), (5, None), (6, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_hash": F.lit(1), "_stays": F.lit("x")})
+    got = sorted(((r.doc_id, r.text) for r in near_copies.keep_one(df).collect()), key=str)
+    lone = [x for x in got if x[0] is None]
+    assert len(lone) == 1 and lone[0][1].startswith(texts[2])
+    assert sorted((x for x in got if x[0] is not None), key=str) == sorted([(1, texts[0]), (1, texts[1]), (4, None), (6, texts[3])], key=str)
