@@ -25,24 +25,27 @@ def percentiles(df: DataFrame, values: dict[str, Column], probabilities: list[fl
     A mergeable summary brackets each percentile; one pass counts what lies below the bracket, and only the distinct
     values inside it, a thousandth of the rows or so, are put in order. So no task holds a column.
     """
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), x.cast("double").alias("value")) for n, x in values.items()]))).filter("value is not null")
+    names = list(values)
+    cells = df.select(*[x.cast("double").alias(f"x{k}") for k, x in enumerate(values.values())])
     margin = 4.0 / ACCURACY
-    ends = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-margin, margin)]
-    marks = long.groupBy("column").agg(F.count("*").alias("n"), F.percentile_approx("value", F.array(*map(F.lit, ends)), ACCURACY).alias("marks"))  # one row a column
-
-    def bracket(i: int, p: float) -> Column:
-        few = F.col("n") <= ACCURACY
-        low = F.when(few | F.lit(p <= margin), F.lit(float("-inf"))).otherwise(F.col("marks")[2 * i])
-        high = F.when(few | F.lit(p >= 1 - margin), F.lit(float("nan"))).otherwise(F.col("marks")[2 * i + 1])  # nan is above all
-        return F.struct(F.lit(i).alias("i"), ((F.col("n") - 1) * p).alias("rank"), low.alias("low"), high.alias("high"))
-
-    brackets = marks.select("column", F.array(*[bracket(i, p) for i, p in enumerate(probabilities)]).alias("brackets"))
-    placed = long.join(F.broadcast(brackets), "column")
-    below = placed.groupBy("column").agg(F.array(*[F.count_if(F.col("value") < F.col("brackets")[i]["low"]) for i in range(len(probabilities))]).alias("below"))
-    inside = placed.select("column", "value", F.explode(F.filter("brackets", lambda b: (b["low"] <= F.col("value")) & (F.col("value") <= b["high"]))).alias("b"))
-    counted = inside.groupBy("column", "b.i", "b.rank", "value").agg(F.count("*").alias("times"))
-    upto = F.sum("times").over(W.partitionBy("column", "i").orderBy("value")) + F.col("below")[F.col("i")]
-    ordered = counted.join(F.broadcast(below), "column").withColumn("upto", upto)
+    ends = F.array(*[F.lit(min(1.0, max(0.0, p + d))) for p in probabilities for d in (-margin, margin)])
+    marks = cells.agg(*[f for k in range(len(names)) for f in (F.count(f"x{k}").alias(f"n{k}"), F.percentile_approx(f"x{k}", ends, ACCURACY).alias(f"m{k}"))])  # one row
+    every = [(k, i) for k in range(len(names)) for i in range(len(probabilities))]
+
+    def low(k: int, i: int) -> Column:
+        return F.when((F.col(f"n{k}") <= ACCURACY) | F.lit(probabilities[i] <= margin), F.lit(float("-inf"))).otherwise(F.col(f"m{k}")[2 * i]).alias(f"low{k}_{i}")
+
+    def high(k: int, i: int) -> Column:  # nan is above all
+        return F.when((F.col(f"n{k}") <= ACCURACY) | F.lit(probabilities[i] >= 1 - margin), F.lit(float("nan"))).otherwise(F.col(f"m{k}")[2 * i + 1]).alias(f"high{k}_{i}")
+
+    brackets = marks.select(*[f"n{k}" for k in range(len(names))], *[f(k, i) for k, i in every for f in (low, high)])
+    placed = cells.crossJoin(F.broadcast(brackets))
+    below = placed.agg(*[F.count_if(F.col(f"x{k}") < F.col(f"low{k}_{i}")).alias(f"b{k}_{i}") for k, i in every], *[F.max(f"n{k}").alias(f"n{k}") for k in range(len(names))])  # one row
+    facts = below.select(F.inline(F.array(*[F.struct(F.lit(names[k]).alias("column"), F.lit(i).alias("i"), ((F.col(f"n{k}") - 1) * probabilities[i]).alias("rank"), F.col(f"b{k}_{i}").alias("below")) for k, i in every])))
+    hit = lambda k, i: (F.col(f"x{k}") >= F.col(f"low{k}_{i}")) & (F.col(f"x{k}") <= F.col(f"high{k}_{i}"))
+    inside = placed.select(F.inline(F.array(*[F.when(hit(k, i), F.struct(F.lit(names[k]).alias("column"), F.lit(i).alias("i"), F.col(f"x{k}").alias("value"))) for k, i in every]))).filter("value is not null")
+    counted = inside.groupBy("column", "i", "value").agg(F.count("*").alias("times")).join(F.broadcast(facts), ["column", "i"])
+    ordered = counted.withColumn("upto", F.sum("times").over(W.partitionBy("column", "i").orderBy("value")) + F.col("below"))
     at = lambda r: F.min(F.when(F.col("upto") > r, F.col("value")))
     found = ordered.groupBy("column", "i", "rank").agg(at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b"), F.min(F.col("upto") - F.col("times")).alias("before"))
     sure = F.when((F.col("before") <= F.floor("rank")) & F.col("b").isNotNull(), F.lit(True)).otherwise(F.raise_error(F.lit("a percentile is outside its bracket")).cast("boolean"))

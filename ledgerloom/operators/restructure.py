@@ -17,14 +17,11 @@ def unpivot_keys(df: DataFrame, json_col: str, prefix: str, fields: list[str], k
     square of its ids, so documents of more than thousands of ids are better cut before.
     """
     keep = [c for c in df.columns if c != json_col] if keep is None else keep
-    pattern = rf"^{prefix}\.([^.]+)\.({'|'.join(fields)})$"
-    entries = F.transform(F.map_entries(F.from_json(F.col(json_col), "map<string,string>")), lambda e: F.struct(F.regexp_extract(e["key"], pattern, 1).alias("id"), F.regexp_extract(e["key"], pattern, 2).alias("f"), e["value"].alias("v")))
-    own = df.select(*keep, F.filter(entries, lambda e: e["id"] != "").alias("_own"))
-    of = lambda name: F.filter("_own", lambda e: e["f"] == name)
-    maps = [F.map_from_entries(F.transform(of(f), lambda e: F.struct(e["id"], e["v"]))).alias(f"_m{i}") for i, f in enumerate(fields)]
-    split = own.select(*keep, F.array_distinct(F.transform("_own", lambda e: e["id"])).alias("_ids"), *maps)
-    rows = F.transform("_ids", lambda i: F.struct(i.alias("entry_id"), *[F.try_element_at(F.col(f"_m{k}"), i).alias(f) for k, f in enumerate(fields)]))
-    return split.select(*keep, F.inline(rows))
+    pattern = rf"^\Q{prefix}\E\.([^.]+)\.({'|'.join(fields)})$"
+    parsed = df.select(*keep, F.from_json(F.col(json_col), "map<string,string>").alias("_m"))
+    ids = F.array_distinct(F.filter(F.transform(F.map_keys("_m"), lambda k: F.regexp_extract(k, pattern, 1)), lambda i: i != ""))
+    rows = parsed.select(*keep, "_m", F.explode(ids).alias("entry_id"))
+    return rows.select(*keep, "entry_id", *[F.try_element_at("_m", F.concat(F.lit(f"{prefix}."), "entry_id", F.lit(f".{f}"))).alias(f) for f in fields])
 
 
 def project_payments(df: DataFrame, json_col: str = "doc", email: str = "email", key: str = "id") -> DataFrame:
