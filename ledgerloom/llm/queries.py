@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, mixing, quality, sentencepieces, sharding, simhash, token_counts, token_store, topk, url_filters
+from . import chat, mixing, quality, sentencepieces, sharding, simhash, suffixes, token_counts, token_store, topk, url_filters
 from .shared import new_folder
 
 PIECES, BYTES, WORDS = "piece_bpe_32k.model", "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -85,8 +85,13 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_digests(spark, path, vocabulary, docs.schema["doc_id"].dataType).withColumnRenamed("doc", "doc_id")
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_topk, op3_quality, op4_sentencepiece, op5_token_counts, op6_url_filters, op7_simhash, op8_mixing, op9_chat, op10_token_store, quoted_chat)
+    f.__name__: f for f in (op1_sharding, op2_topk, op3_quality, op4_sentencepiece, op5_token_counts, op6_url_filters, op7_simhash, op8_mixing, op9_chat, op10_token_store, op12_suffix_dedup, quoted_chat)
 }
 
 _LIST = ", ".join(f"({i}, '{r.name}', '{r.verdict}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}')" for i, r in enumerate(url_filters.LIST))
