@@ -11,9 +11,9 @@ at splitters. A range's pieces meet in a loser tree: suffixes are compared only
 last winner, so no byte of a known prefix is looked at again. What comes out in order shows equal suffixes (all of the block
 repeats), and blocks with one anchor and unlike surroundings, whose strings are then compared one by one.
 
-Scale. Runs are written once to a bucketed table, so texts are not shuffled when they meet what is known of them. Groups of
-one anchor that cross a splitter, or are large, go string by string through another exchange; so no anchor, however frequent,
-stays in one task.
+Scale. Runs are written once to a bucketed table, so texts are not shuffled when they meet what is known of them. Of groups of
+one anchor that cross a splitter, or are large, the unlike strings of each part go through another exchange; so no anchor,
+however frequent, stays in one task.
 """
 
 from __future__ import annotations
@@ -234,7 +234,7 @@ def strings_of(row: bytes) -> list[bytes]:
 
 
 FLAGS = "run long, places binary, masks binary"
-MERGED = f"{FLAGS}, string binary, least long, bit int, holders binary"
+MERGED = f"{FLAGS}, string binary, least long, holders binary"
 
 
 def merge_range(q: int, runs: list[int], payloads: list[bytes], splitters: list[bytes], large: int) -> Iterator[dict]:
@@ -248,39 +248,30 @@ def merge_range(q: int, runs: list[int], payloads: list[bytes], splitters: list[
     offsets = [np.cumsum(p[3]) - p[3] for p in pieces]
     ahead: list[dict] = []
 
-    def all_bits(row: bytes) -> int:
-        return (1 << (row[-1] + row[-2] - LENGTH + 1)) - 1
-
     def close(group: list[tuple[bytes, int, list[tuple[int, int]]]]) -> None:
         if not group:
             return
         crossing = group[0][0][:ANCHOR] in bounds
-        if len(group) > 1 and not crossing and len(group) <= large:
-            lows: dict[bytes, int] = {}
-            cut = [strings_of(row) for row, _, _ in group]
-            for (_, low, _), strings in zip(group, cut, strict=True):
-                for x in strings:
-                    if lows.get(x, low) >= low:
-                        lows[x] = low
-        else:
-            cut = []
-        for i, (row, low, held) in enumerate(group):
-            every = all_bits(row)
+        cut = [strings_of(row) for row, _, _ in group] if len(group) > 1 or crossing else [[]]
+        lows: dict[bytes, int] = {}
+        for (_, low, _), strings in zip(group, cut, strict=True):
+            for x in strings:
+                if lows.get(x, low) >= low:
+                    lows[x] = low
+        firsts: dict[bytes, list[bytes]] = {}  # who has a string first, as far as this part of the group knows
+        for (row, low, held), strings in zip(group, cut, strict=True):
+            every, bits = (1 << (row[-1] + row[-2] - LENGTH + 1)) - 1, 0
+            for k, x in enumerate(strings):
+                if lows[x] < low:
+                    bits |= 1 << k
+                elif crossing:
+                    for run, at in held:
+                        if least[run][at] == low:
+                            own = pieces[run][4][offsets[run][at] : offsets[run][at] + pieces[run][3][at]]
+                            firsts.setdefault(x, []).append(struct.pack("<qII", runs[run], k, len(own)) + own.tobytes())
             for run, at in held:
-                full[run][at] = every
-                if least[run][at] > low:
-                    masks[run][at] = every
-                elif cut:
-                    bits = sum(1 << k for k, x in enumerate(cut[i]) if lows[x] < low)
-                    if bits:
-                        masks[run][at] = bits
-            if crossing or len(group) > large:
-                holders = []
-                for run, at in held:
-                    if least[run][at] == low:  # others are whole repeats as it is
-                        own = pieces[run][4][offsets[run][at] : offsets[run][at] + pieces[run][3][at]]
-                        holders.append(struct.pack("<qI", runs[run], len(own)) + own.tobytes())
-                ahead.extend({"string": x, "least": low, "bit": k, "holders": b"".join(holders)} for k, x in enumerate(strings_of(row)))
+                full[run][at], masks[run][at] = every, every if least[run][at] > low else bits
+        ahead.extend({"string": x, "least": lows[x], "holders": b"".join(own)} for x, own in firsts.items())
 
     group: list[tuple[bytes, int, list[tuple[int, int]]]] = []
     for shared, run, at, row in merged([(p[0].tolist(), suffixes_of(p[0].tolist(), p[1].tobytes())) for p in pieces]):
@@ -454,24 +445,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", run
             runs_of, pieces = group.column("run").to_pylist(), group.column("piece").to_pylist()
             return pa.Table.from_pylist(list(merge_range(group.column("q")[0].as_py(), runs_of, pieces, splitters, large)), schema=kinds)
 
-        kinds = pa.schema([("run", pa.int64()), *((n, pa.binary()) for n in ("places", "masks", "string")), ("least", pa.int64()), ("bit", pa.int32()), ("holders", pa.binary())])
+        kinds = pa.schema([("run", pa.int64()), *((n, pa.binary()) for n in ("places", "masks", "string")), ("least", pa.int64()), ("holders", pa.binary())])
         sent = beside(runs, bits, buckets, "q", "bits", "n").mapInArrow(send, "q int, run long, piece binary")
-        found = staged(sent.groupBy("q").applyInArrow(merge, "run long, places binary, masks binary, string binary, least long, bit int, holders binary"), "repeats")
+        found = staged(sent.groupBy("q").applyInArrow(merge, MERGED), "repeats")
 
         def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 out = []
-                for bit, holders in zip(*(batch.column(n).to_pylist() for n in ("bit", "holders")), strict=True):
+                for holders in batch.column("holders").to_pylist():
                     at = 0
                     while at < len(holders):
-                        run, n = struct.unpack_from("<qI", holders, at)
-                        out.append((run, holders[at + 12 : at + 12 + 4 * n], np.full(n, 1 << bit, "<u4").tobytes()))
-                        at += 12 + 4 * n
+                        run, bit, n = struct.unpack_from("<qII", holders, at)
+                        out.append((run, holders[at + 16 : at + 16 + 4 * n], np.full(n, 1 << bit, "<u4").tobytes()))
+                        at += 16 + 4 * n
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["run", "places", "masks"])
 
         strings = found.filter("string is not null")
         lower = strings.groupBy("string").agg(F.min("least").alias("low"))
-        crossing = strings.join(lower, "string").filter("low < least").select("bit", "holders").mapInArrow(hold, FLAGS)
+        crossing = strings.join(lower, "string").filter("low < least").select("holders").mapInArrow(hold, FLAGS)
         flags = found.filter("run is not null").select("run", "places", "masks").unionByName(crossing)
 
         def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
