@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, mixing, quality, sentencepieces, sharding, simhash, suffixes, token_counts, token_store, topk, url_filters
+from . import chat, mixing, periodic_runs, quality, resampling, sentencepieces, sharding, simhash, suffixes, token_counts, token_store, topk, url_filters
 from .shared import new_folder
 
 PIECES, BYTES, WORDS = "piece_bpe_32k.model", "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -85,13 +87,39 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_digests(spark, path, vocabulary, docs.schema["doc_id"].dataType).withColumnRenamed("doc", "doc_id")
 
 
+def planted_period(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The numbers of the words that a tenth of the documents take: from some word on, one stretch again and again."""
+    if doc_id is None or (h := zlib.crc32(str(doc_id).encode())) % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.runs_of_words(table(spark, sf_dir, "documents").select("doc_id", "text"), arrange=planted_period)
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string")), F.lit("\n"))), "")
+    return found.withColumn("first", first).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("first.start")).alias("start"), F.col("first.length").alias("length"), (-F.col("first.period")).alias("period"),
+        F.expr("1000 * first.length div -first.period").alias("exponent_milli"), F.sha2(F.encode(listed, "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text")
+    return resampling.resample(docs, target, words=(1, 1), buckets=10_000, percent=10, least=20, seed=2024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_topk, op3_quality, op4_sentencepiece, op5_token_counts, op6_url_filters, op7_simhash, op8_mixing, op9_chat, op10_token_store, op12_suffix_dedup, quoted_chat)
+    f.__name__: f for f in (op1_sharding, op2_topk, op3_quality, op4_sentencepiece, op5_token_counts, op6_url_filters, op7_simhash, op8_mixing, op9_chat, op10_token_store, op11_periodic_runs, op12_suffix_dedup, op13_resampling, quoted_chat)
 }
 
 _LIST = ", ".join(f"({i}, '{r.name}', '{r.verdict}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}')" for i, r in enumerate(url_filters.LIST))
@@ -126,4 +154,24 @@ ORACLES: dict[str, str] = {
         select page_id, host, path, hit.rule, coalesce(hit.verdict, case when {_BLOCKED} then 'block' else 'allow' end) as verdict
         from p2 left join hit using (host, path)
     """,
+    "op13_resampling": """
+        with step as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+        cut as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words from documents),
+        aim as (select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as word from benchmark),
+        uses as (select doc_id, word, count(*) as n from (select doc_id, unnest(words) as word from cut) group by all),
+        hexed as (select word, hex(encode(word)) as h from (select distinct word from (select word from uses union all select word from aim))),
+        crc as (select word, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(h) // 2 + 1), lambda i: cast('0x' || substr(h, cast(2 * i - 1 as bigint), 2) as bigint))),
+                             lambda c, b: xor(c >> 8, step.t[(xor(c, b) & 255) + 1]))) % 10000 as bucket from hexed, step),
+        big as (select bucket, sum(n) as s from uses join crc using (word) group by bucket),
+        small as (select bucket, count(*) as t from aim join crc using (word) group by bucket),
+        totals as (select (select coalesce(sum(s), 0) from big) as a, (select coalesce(sum(t), 0) from small) as b),
+        gain as (select g.bucket, cast(floor(1000 * ln((coalesce(t, 0) + 1)::double * (a + 10000)::double / ((coalesce(s, 0) + 1)::double * (b + 10000)::double))) as bigint) as gain
+                 from range(10000) g(bucket) left join big using (bucket) left join small using (bucket), totals),
+        sums as (select doc_id, sum(n * gain) as total from uses join crc using (word) join gain using (bucket) group by doc_id),
+        w as (select doc_id, len(words) as n_features, case when len(words) = 0 then 0 else cast(floor(coalesce(total, 0)::double / len(words)) as bigint) end as weight,
+                     cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) as h from cut left join sums using (doc_id)),
+        scored as (select doc_id, n_features, weight, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296.0::double))) as bigint) as score from w),
+        placed as (select doc_id, row_number() over (order by score desc, doc_id) as rank from scored where n_features >= 20)
+        select doc_id, n_features, weight, score, case when rank <= (select count(*) from placed) * 10 // 100 then rank end as rank from scored left join placed using (doc_id)
+    """,
 }
