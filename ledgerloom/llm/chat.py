@@ -13,7 +13,7 @@ from functools import reduce
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql import Window as W
 
 from .shared import column_after, staged, text_slices, unclash
@@ -96,6 +96,13 @@ def with_previous(places: DataFrame) -> DataFrame:
 NEW = (*OUT, "reply_to", "linked", "thread", "depth", "formatted")
 
 
+def escaped(text: Column) -> Column:
+    """With a backslash before each backslash and inside each <| and |>."""
+    for mark, safe in (("\\", "\\\\"), ("<|", "<\\|"), ("|>", "|\\>")):
+        text = F.replace(text, F.lit(mark), F.lit(safe))
+    return text
+
+
 def link_quotes(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", rounds: int = 64) -> DataFrame:
     """`messages` with own_text, reply_to (a turn), linked (by a quotation), thread (the turn it goes back to), depth (of
     replies) and formatted (role and own text), to be read in order of conversation, thread and turn.
@@ -104,7 +111,8 @@ def link_quotes(messages: DataFrame, conversation: str = "conv_id", turn: str =
     turn before it, if there is one; else it begins a thread. Words count as said by the first message of the conversation
     that says them. Rows that repeat conversation and turn are one place in the order and share its links. Rows where
     either is null keep their own_text but have no links, thread or depth. Null roles are formatted as user, null texts
-    stay null. Columns of `messages` named like the new ones get an underscore before them.
+    stay null. In `formatted` a backslash, <| and |> of a text or role are escaped, so that none can pass for a marker. A
+    text of any length is parsed whole; an empty table gives no rows. Columns of `messages` named like the new ones get an underscore before them.
     """
     messages, moved = unclash(messages, [*NEW, "c", "t"])
     conversation, turn, role, text = (column_after(moved, x) for x in (conversation, turn, role, text))
@@ -133,5 +141,5 @@ def link_quotes(messages: DataFrame, conversation: str = "conv_id", turn: str =
         raise RuntimeError(f"threads did not settle in {rounds} rounds")
     chain = reduce(DataFrame.unionByName, settled).drop("done")
     out = rows.join(chain.withColumnRenamed("jump", "thread"), ["c", "t"], "left").drop("c", "t", "quoted", "said")
-    who = F.coalesce(F.col(f"`{role}`"), F.lit("user"))
-    return out.withColumn("linked", F.coalesce("linked", F.lit(False))).withColumn("formatted", F.concat(F.lit("<|"), who, F.lit("|>\n"), F.col("own_text"), F.lit("\n")))
+    who = escaped(F.coalesce(F.col(f"`{role}`"), F.lit("user")))
+    return out.withColumn("linked", F.coalesce("linked", F.lit(False))).withColumn("formatted", F.concat(F.lit("<|"), who, F.lit("|>\n"), escaped(F.col("own_text")), F.lit("\n")))

@@ -36,26 +36,38 @@ def shard_of(key: Column, n_shards: int, seed: int = SEED) -> Column:
 
 
 def row_hash(df: DataFrame, *extra) -> Column:
-    """A hash of `extra` and the whole row; maps and variants count by their JSON text."""
-    cols = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema]
+    """A hash of `extra` and the whole row that tells nulls and signs of zero apart, which xxhash64 itself doesn't; nested
+    columns count by their JSON text."""
+    cols = []
+    for f in df.schema:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("array", "struct", "map", "variant"):
+            c = F.to_json(F.struct(c), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+        elif kind in ("float", "double"):
+            c = c.cast("string")
+        cols += [c, c.isNull()]
     return F.xxhash64(*map(F.lit, extra), *cols)
 
 
 def scattered(docs: DataFrame, order: str, n_shards: int, key: str, text: str, seed: int, bucket_bytes: int) -> DataFrame:
     """`docs` with shard, bucket and `order` (the hash of the row, which equal rows share), dealt by shard and bucket.
 
-    Equal rows can stand for each other: of those that are many, one row and their number stay, and the copies are drawn
-    from it again, each with a number of its own. So buckets don't depend on where the copies lay.
+    A shard has as many buckets as its own bytes ask for, so a key with a large part of all rows gets many. Equal rows (of
+    one 128-bit hash) can stand for each other: of those that are many, one row and their number stay, and the copies are
+    drawn from it again, each with a number of its own. So buckets don't depend on where the copies lay.
     """
     size = F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)) + 64
-    counts = docs.groupBy(row_hash(docs, seed).alias("one"), row_hash(docs, ~seed).alias("two")).agg(F.count("*").alias("times"), F.sum(size.cast("long")).alias("bytes"))
+    shard = shard_of(F.col(f"`{key}`"), n_shards, seed).cast("int")
+    counts = docs.groupBy(row_hash(docs, seed).alias("one"), row_hash(docs, ~seed).alias("two"), shard.alias("of")).agg(F.count("*").alias("times"), F.sum(size.cast("long")).alias("bytes"))
     counts = staged(counts, "counts")
-    total = int(counts.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0])
-    per_shard = max(1, -(-total // (n_shards * bucket_bytes)))
+    held = {r["of"]: r["bytes"] for r in counts.groupBy("of").agg(F.sum("bytes").alias("bytes")).collect()}  # a row a shard
+    total, per_shard = sum(held.values()), {k: max(1, -(-n // bucket_bytes)) for k, n in held.items()}
+    n_buckets = sum(per_shard.values())
     # at most 8 such rows a bucket on average
-    hot = counts.filter((F.col("times") > 1) & (F.col("bytes") > HOT_PART * bucket_bytes)) if per_shard > 1 else counts.limit(0)
-    hashed = docs.withColumn(order, row_hash(docs, seed)).withColumn("shard", shard_of(F.col(f"`{key}`"), n_shards, seed).cast("int"))
-    bucket = lambda *number: F.pmod(F.xxhash64(F.lit(seed + 1), F.col(order), *number), F.lit(per_shard)).cast("int")
+    several = F.array(*[F.lit(per_shard.get(k, 1)) for k in range(n_shards)])
+    hot = counts.filter((F.col("times") > 1) & (F.col("bytes") > HOT_PART * bucket_bytes)) if n_buckets > len(per_shard) else counts.limit(0)
+    hashed = docs.withColumn(order, row_hash(docs, seed)).withColumn("shard", shard)
+    bucket = lambda *number: F.pmod(F.xxhash64(F.lit(seed + 1), F.col(order), *number), several[F.col("shard")].cast("long")).cast("int")
     if n_hot := hot.count():
         hint = F.broadcast if n_hot <= BROADCAST_BUCKETS else (lambda x: x)
         other, times, start, number = (free_name(hashed, n) for n in ("_other", "_times", "_start", "_number"))
@@ -71,7 +83,7 @@ def scattered(docs: DataFrame, order: str, n_shards: int, key: str, text: str, s
     else:
         out = hashed.withColumn("bucket", bucket())
     # so many partitions that a task's buckets are bounded in bytes
-    return out.repartition(min(n_shards * per_shard, max(1, -(-total // TASK_BYTES), docs.sparkSession.sparkContext.defaultParallelism * 2)), "shard", "bucket")
+    return out.repartition(min(max(1, n_buckets), max(1, -(-total // TASK_BYTES), docs.sparkSession.sparkContext.defaultParallelism * 2)), "shard", "bucket")
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 40, key: str = "doc_id", text: str = "text", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> None:

@@ -2,10 +2,11 @@
 
 Documents become id streams; a rolling hash over the ids cuts each into chunks, so equal passages give equal chunks
 wherever they stand. A chunk is stored once, under the hash of its bytes. Each document has a recipe, the list of its
-chunks, with a Merkle root over them; recipes lie in ascending order of their keys, and each part of them ends with the
-Merkle root over its documents. Reading checks every hash.
+chunks, with a Merkle root over them; recipes lie in ascending order of their keys, in parts of bounded size, and each part
+has a row with the Merkle root over its documents (key, number of ids and root); the manifest has the root over the parts.
+Reading rebuilds and compares all of them, so a chunk, a recipe, a part's row or a file that is lost or changed is an error.
 
-Folders: kind=chunk (key, payload), and index/kind=doc and index/kind=part (recipes in order, and their parts).
+Folders: store/kind=chunk (key, payload), index/kind=doc and index/kind=part (recipes in order, and their parts), manifest.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from .token_counts import byte_letters
 
 #: Least, usual and most ids of a chunk; ids under the rolling hash; chunk hashes that a task keeps to send each once.
 LEAST, USUAL, MOST, WINDOW, MEMORY = 128, 512, 4096, 16, 200_000
+#: Documents of a part; parts up to this number (40 bytes each) are broadcast.
+PART, BROADCAST_PARTS = 65_536, 500_000
 
 
 def digest(data: bytes) -> bytes:
@@ -173,7 +176,7 @@ def cuts(ids: np.ndarray, starts: np.ndarray, table: np.ndarray) -> list[list[in
     """Where the chunks of each document end. ids: the documents end to end; starts: where each begins, and the end."""
     values = table[ids & 0xFFFF]
     rolled = np.zeros(len(ids), np.uint64)
-    for k in range(WINDOW):  # the hash of an id and the WINDOW - 1 before it; LEAST keeps cuts clear of the document before
+    for k in range(min(WINDOW, len(ids))):  # the hash of an id and the WINDOW - 1 before it; LEAST keeps cuts clear of the document before
         rolled[k:] += values[: len(ids) - k] << np.uint64(k)
     marks = np.flatnonzero((rolled >> np.uint64(20)) % np.uint64(USUAL - LEAST) == 0) + 1
     out = []
@@ -224,7 +227,8 @@ def write_store(docs: DataFrame, path: str, vocabulary_path: str, end_id: int =
     """Encodes whole texts, appends end_id to each and writes the store to `path`.
 
     A null or empty text is its end id alone. Rows that repeat a key are kept, in an order that their ids fix; a null
-    key comes first. Other columns than key and text are not stored. An empty table gives an empty store.
+    key comes first. Other columns than key and text are not stored. An empty table gives an empty store, and a single short
+    text a store of one chunk. A text of any length is encoded whole, in one task.
     """
     spark = docs.sparkSession
     with open(vocabulary_path, encoding="utf-8") as f:
@@ -277,34 +281,88 @@ def write_store(docs: DataFrame, path: str, vocabulary_path: str, end_id: int =
     with small_batches(spark):
         dealt.mapInArrow(once, schema).write.partitionBy("kind").parquet(f"{path}/store")
     recipes = spark.read.schema(schema).parquet(f"{path}/store").filter("kind = 'doc'").select("doc", "n", "root", "chunks", "sizes")
-    indexed = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string("kind string, part int, row long, local_start long, n long, root binary, chunks binary, sizes binary")])
+    indexed = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string("kind string, part long, row long, local_start long, n long, root binary, chunks binary, sizes binary")])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, row, start, tree, last = TaskContext.get().partitionId(), 0, 0, Merkle(), None
-        for batch in batches:
-            n = batch.num_rows
-            counts = np.array(batch.column(1).to_pylist(), np.int64)
-            starts = start + np.cumsum(counts) - counts
-            for root in batch.column(2).to_pylist():
-                tree.add(root)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["doc"] * n), pa.array([part] * n, pa.int32()), pa.array(range(row, row + n), pa.int64()), pa.array(starts, pa.int64()), *batch.columns[1:]], [f.name for f in indexed])
-            row, start, last = row + n, start + int(counts.sum()), batch
-        if last is not None:
+        names, base = [f.name for f in indexed], TaskContext.get().partitionId() << 32
+        part, row, start, tree = base, 0, 0, Merkle()
+
+        def end(like: pa.RecordBatch) -> pa.RecordBatch:
             one = lambda v, k: pa.array([v], k)
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, last.column(0).type), pa.array(["part"]), one(part, pa.int32()), one(row, pa.int64()), one(0, pa.int64()), one(start, pa.int64()), one(tree.root(), pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())], [f.name for f in indexed])
+            return pa.RecordBatch.from_arrays([pa.nulls(1, like.column(0).type), pa.array(["part"]), *(one(x, pa.int64()) for x in (part, row, 0, start)), one(tree.root(), pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())], names)
+
+        last = None
+        for whole in batches:
+            at = 0
+            while at < whole.num_rows:
+                batch = whole.slice(at, PART - row)
+                at, n = at + batch.num_rows, batch.num_rows
+                counts = np.array(batch.column(1).to_pylist(), np.int64)
+                starts = start + np.cumsum(counts) - counts
+                for key, count, root in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                    tree.add(leaf(key, count, root))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["doc"] * n), pa.array([part] * n, pa.int64()), pa.array(range(row, row + n), pa.int64()), pa.array(starts, pa.int64()), *batch.columns[1:]], names)
+                row, start, last = row + n, start + int(counts.sum()), batch
+                if row == PART:
+                    yield end(batch)
+                    part, row, start, tree = part + 1, 0, 0, Merkle()
+        if row:
+            yield end(last)
 
     order = [F.col("doc").asc_nulls_first(), F.col("root")]
     recipes.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).mapInArrow(index, indexed).write.partitionBy("kind").parquet(f"{path}/index")
     drop_staged(spark, f"{path}/store/kind=doc")
+    parts = index_rows(spark, path, kind).filter("kind = 'part'").select("part", "row", "n", "root")
+    spark.createDataFrame([over_parts(parts)], MANIFEST).coalesce(1).write.parquet(f"{path}/manifest")
+
+
+MANIFEST = "parts long, documents long, ids long, root binary"
+
+
+def leaf(key: object, n: int, root: bytes) -> bytes:
+    """What a document is in its part's tree."""
+    return f"{key!r} {n} ".encode() + root
+
+
+def over_parts(parts: DataFrame) -> tuple[int, int, int, bytes]:
+    """The manifest's row: a row for each 65,536 documents comes to the driver."""
+    tree, number, documents, ids = Merkle(), 0, 0, 0
+    for part, rows, n, root in sorted(map(tuple, parts.collect())):
+        tree.add(f"{part} {rows} {n} ".encode() + bytes(root))
+        number, documents, ids = number + 1, documents + rows, ids + n
+    return number, documents, ids, tree.root()
+
+
+def index_rows(spark, path: str, kind: T.DataType) -> DataFrame:
+    own = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string("part long, row long, local_start long, n long, root binary, chunks binary, sizes binary, kind string")])
+    return spark.read.schema(own).parquet(f"{path}/index")
 
 
 def read_index(spark, path: str, kind: T.DataType) -> tuple[DataFrame, DataFrame]:
-    """Recipes (doc, part, row, start, n, root, chunks, sizes) and parts (part, rows, n, root, first)."""
-    own = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string("part int, row long, local_start long, n long, root binary, chunks binary, sizes binary, kind string")])
-    rows = spark.read.schema(own).parquet(f"{path}/index")
+    """Recipes (doc, part, row, start, n, root, chunks, sizes) and parts (part, rows, n, root, first). Each part's tree is
+    built again from its recipes; a part that is not the one that was written, or doesn't stand in the manifest, is an error."""
+    rows = index_rows(spark, path, kind)
     parts = rows.filter("kind = 'part'").select("part", F.col("row").alias("rows"), "n", "root")
-    parts = parts.withColumn("first", F.sum("n").over(W.orderBy("part")) - F.col("n"))  # one row a partition
-    docs = rows.filter("kind = 'doc'").drop("kind").join(F.broadcast(parts.select("part", "first")), "part")
+    found, written = over_parts(parts), spark.read.schema(MANIFEST).parquet(f"{path}/manifest").collect()
+    if [found] != [(r.parts, r.documents, r.ids, bytes(r.root)) for r in written]:
+        raise ValueError("the parts of the index don't match the manifest")
+
+    def rebuilt(group: pa.Table) -> pa.Table:  # at most PART rows
+        tree, number, total = Merkle(), 0, 0
+        for row, key, n, root in sorted(zip(*(group.column(c).to_pylist() for c in ("row", "doc", "n", "root")), strict=True), key=lambda x: x[0]):
+            if row != number:
+                break
+            tree.add(leaf(key, n, root))
+            number, total = number + 1, total + n
+        return pa.table({"part": group.column("part").slice(0, 1), "own_rows": pa.array([number], pa.int64()), "own_n": pa.array([total], pa.int64()), "own_root": pa.array([tree.root()], pa.binary())})
+
+    again = rows.filter("kind = 'doc'").select("part", "row", "doc", "n", "root").groupBy("part").applyInArrow(rebuilt, "part long, own_rows long, own_n long, own_root binary")
+    same = (F.col("rows") == F.col("own_rows")) & (F.col("n") == F.col("own_n")) & (F.col("root") == F.col("own_root"))
+    sound = F.when(same, F.col("n")).otherwise(F.raise_error(F.concat(F.lit("the recipes of a part don't match its root: "), "part")).cast("long"))
+    parts = parts.join(again, "part", "left").select("part", "rows", sound.alias("n"), "root")
+    parts = parts.withColumn("first", F.sum("n").over(W.orderBy("part")) - F.col("n"))  # one row for many documents
+    hint = F.broadcast if found[0] <= BROADCAST_PARTS else (lambda x: x)
+    docs = rows.filter("kind = 'doc'").drop("kind").join(hint(parts.select("part", "first")), "part")
     return docs.withColumn("start", F.col("first") + F.col("local_start")).drop("first", "local_start"), parts
 
 
@@ -312,7 +370,7 @@ def references(docs: DataFrame, width: int) -> DataFrame:
     """A row for each chunk of each document: doc, part, row, start, n, chunk (its number), of (chunks), key and behind
     (bytes of 4 an id that follow it). A recipe whose root doesn't match its chunks is an error."""
     kind = docs.schema["doc"].dataType
-    schema = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string("part int, row long, start long, n long, chunk int, of int, key binary, behind long")])
+    schema = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string("part long, row long, start long, n long, chunk int, of int, key binary, behind long")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -341,7 +399,7 @@ def stored_chunks(spark, path: str) -> DataFrame:
 def read_digests(spark, path: str, vocabulary_path: str, kind: T.DataType | None = None) -> DataFrame:
     """Per document from the files: doc, start (ids of all before it), n_tokens and ids_crc32 (of its ids as little-endian
     unsigned 32-bit integers). Every stored chunk is read and its hash checked; a document's CRC is put together from
-    its chunks', so chunks needn't travel. A damaged or missing chunk is an error."""
+    its chunks', so chunks needn't travel. What is damaged or missing is an error: a chunk, a recipe, a part."""
     with open(vocabulary_path, encoding="utf-8") as f:
         code = encoder(f.read()).kind
     docs, _ = read_index(spark, path, kind or T.LongType())

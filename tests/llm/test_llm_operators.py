@@ -595,6 +595,7 @@ def test_token_store(spark, docs, tmp_path):
 
     files.withColumn("payload", F.when(F.length("payload") > 8, F.overlay("payload", F.lit(b"\x07"), F.lit(3))).otherwise(F.col("payload"))).write.partitionBy("kind").parquet(f"{bad}/store")
     spark.read.parquet(f"{path}/index").write.partitionBy("kind").parquet(f"{bad}/index")
+    spark.read.parquet(f"{path}/manifest").write.parquet(f"{bad}/manifest")
     with pytest.raises(Exception, match="doesn't match its hash"):
         token_store.read_digests(spark, bad, P.path("word_bpe_49k.json")).collect()
     token_store.write_store(df.limit(0), str(tmp_path / "none"), P.path("word_bpe_49k.json"))
@@ -621,7 +622,7 @@ def test_sql_agrees(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("embeddings", "pages", "documents", "benchmark"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     result = con.execute(queries.ORACLES[name])
     names = [d[0] for d in result.description]
