@@ -25,6 +25,27 @@ def quoted_csv_round_trip(spark, sf_dir):
     return readers.read_delimited(spark, path, types={"s_suppkey": "string"})
 
 
+#: Text that both engines make: quotes, separators and line breaks around and inside of a document.
+QUOTED = "concat('\"', replace(text, ' the ', ' \"the\";'), '\";', chr(10), lang, chr(13), chr(10), '\"\"', cast(doc_id as string))"
+
+
+@query(f"select cast(doc_id as varchar) as doc_id, md5({QUOTED}) as text_md5, length({QUOTED}) as n_chars, lang from documents")
+def csv_quoted_records(spark, sf_dir):
+    """Records of several lines, written and read back."""
+    docs = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{QUOTED} as text", "lang")
+    sinks.write_csv(docs, path := folder(spark, "quoted"), sep=",", quote_all=True, keep_breaks=True)
+    return readers.read_delimited(spark, path).select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"), "lang")
+
+
+@query("select count(*) filter (where doc_id % 5 <> 0) as good, count(*) filter (where doc_id % 5 = 0) as bad from documents")
+def tolerant_quoted_records(spark, sf_dir):
+    """Of records of several lines those that fit, and those that don't."""
+    docs = table(spark, sf_dir, "documents").selectExpr("case when doc_id % 5 = 0 then concat('no ', doc_id) else cast(doc_id as string) end as doc_id", f"{QUOTED} as text")
+    sinks.write_csv(docs, path := folder(spark, "tolerant"), sep=",", keep_breaks=True)
+    good, bad = readers.read_tolerant(spark, path, readers.identifier_schema(["doc_id", "text"], {"doc_id": "long"}))
+    return good.agg(F.count("*").alias("good")).crossJoin(F.broadcast(bad.agg(F.count("*").alias("bad"))))  # one row each
+
+
 @query("select cast(id as varchar) as id, nome from (select c_custkey as id, c_name as nome, null as valor from customer union all select s_suppkey, null, s_acctbal from supplier)")
 def many_files(spark, sf_dir):
     sinks.write_csv(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("nome")), a := folder(spark, "a"), sep=",")

@@ -6,10 +6,10 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .records import FILE, charset, read_records
+
 SEPARATORS = (",", ";", "|", "\t")
 ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
-#: What Latin-1 has as control characters and Windows 1252 as letters and marks.
-LATIN, WINDOWS = zip(*((chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")), strict=True)
 CORRUPT = "_corrupt_record"
 
 
@@ -19,14 +19,9 @@ def identifier_schema(columns: Iterable[str], types: dict[str, str] | None = Non
     return T.StructType([T.StructField(c, T._parse_datatype_string(fixed.get(c, "string"))) for c in columns])
 
 
-def charset(encoding: str) -> str:
-    """Windows 1252 is read as Latin-1, and its own characters are put in after that."""
-    return "ISO-8859-1" if encoding == "windows-1252" else encoding
-
-
 def header_of(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
-    """Column names of the first line, quotes minded; only that line is read."""
-    first = spark.read.option("encoding", charset(encoding)).option("sep", sep).option("header", False).csv(path).limit(1).first()
+    """Column names of the first record, which may go over several lines; no more is read."""
+    first = spark.read.csv(path, encoding=charset(encoding), sep=sep, header=False, multiLine=True, quote='"', escape='"').limit(1).first()
     return [str(c if c is not None else f"column{i}").lstrip("﻿").strip() for i, c in enumerate(first)] if first else []
 
 
@@ -35,37 +30,37 @@ def may_be(spark: SparkSession, path: str, encoding: str) -> bool:
     return encoding.upper() != "UTF-8" or spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty()
 
 
-def read_delimited(spark: SparkSession, path: str, seps: Iterable[str] = SEPARATORS, encodings: Iterable[str] = ENCODINGS, types: dict[str, str] | None = None) -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, seps: Iterable[str] = SEPARATORS, encodings: Iterable[str] = ENCODINGS, types: dict[str, str] | None = None, file_name: bool = False) -> DataFrame:
     """The first separator and encoding that give more than one column; else an error. Everything is text unless
-    a type is given. For separators only header lines are probed; for UTF-8 all lines are read, once before the data is used."""
+    a type is given. Quoted fields may hold separators, doubled quotes and line breaks; files are read by many tasks all the
+    same. For separators only header records are probed; for UTF-8 all lines are read, and once more for open quotes, before
+    the data is used. file_name: a column of that name as well."""
     for encoding in encodings:
         if not may_be(spark, path, encoding):
             continue
         for sep in seps:
             names = header_of(spark, path, sep, encoding)
             if len(names) > 1:
-                df = spark.read.csv(path, sep=sep, encoding=charset(encoding), header=True, schema=identifier_schema(names, types), enforceSchema=True, multiLine=False)
-                if encoding == "windows-1252":
-                    df = df.withColumns({c: F.translate(F.col(f"`{c}`"), "".join(LATIN), "".join(WINDOWS)) for c, t in df.dtypes if t == "string"})
-                return df
+                df = read_records(spark, path, sep, encoding, identifier_schema(names, types))
+                return df.withColumnRenamed(FILE, "file_name") if file_name else df.drop(FILE)
     raise ValueError(f"no separator gives more than one column: {path}")
 
 
 def read_many(spark: SparkSession, paths: Iterable[str], seps: Iterable[str] = SEPARATORS, encodings: Iterable[str] = ENCODINGS) -> DataFrame:
     """S3: exports with differing columns, by name, each row with its file. Paths may be globs of files alike."""
-    tables = [read_delimited(spark, p, seps, encodings).withColumn("file_name", F.col("_metadata.file_name")) for p in paths]
+    tables = [read_delimited(spark, p, seps, encodings, file_name=True) for p in paths]
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t, allowMissingColumns=True)
     return out
 
 
-def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the schema, and those that don't, with their line."""
+def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True, encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
+    """Records that fit the schema, and those that don't, with their text. Records are cut as by read_delimited()."""
     full = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.csv(path, sep=sep, header=header, schema=full, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    rows = read_records(spark, path, sep, encoding, full, header, CORRUPT).drop(FILE)
     # Spark reads the line only beside other columns, so the filter has all of them
-    read = F.xxhash64(*schema.names) >= F.lit(-(1 << 63))
+    read = F.xxhash64(*[F.col(f"`{c}`") for c in schema.names]) >= F.lit(-(1 << 63))
     return rows.filter(F.col(CORRUPT).isNull() & read).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull() & read)
 
 

@@ -8,10 +8,11 @@ from ..operators.aggregates import describe_numeric, numeric
 from ..operators.quality import profile, quality_score
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ";", quote_all: bool = False, mode: str = "overwrite") -> None:
-    """K1, K2: line breaks in texts become blanks; every field is quoted if asked."""
-    texts = {c: F.regexp_replace(F.col(f"`{c}`"), r"[\r\n]+", " ") for c, t in df.dtypes if t == "string"}
-    df.withColumns(texts).write.mode(mode).option("header", True).option("sep", sep).option("quoteAll", quote_all).csv(path)
+def write_csv(df: DataFrame, path: str, sep: str = ";", quote_all: bool = False, mode: str = "overwrite", keep_breaks: bool = False) -> None:
+    """K1, K2: line breaks in texts become blanks, unless they are kept in quotes; quotes in fields are doubled; every field is
+    quoted if asked."""
+    texts = {} if keep_breaks else {c: F.regexp_replace(F.col(f"`{c}`"), r"[\r\n]+", " ") for c, t in df.dtypes if t == "string"}
+    df.withColumns(texts).write.mode(mode).option("header", True).option("sep", sep).option("quoteAll", quote_all).option("escape", '"').csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
