@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.validate import digits, is_cnpj
+from ..sources import versions
 
 
 def attach_company(df: DataFrame, company_map: DataFrame, how: str = "left", name: str = "company_name", company_id: str = "company_id") -> DataFrame:
@@ -83,6 +84,16 @@ def upsert_coalesce(target: DataFrame, source: DataFrame, key: str, cols: Iterab
     return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full").select(*out)
 
 
+def upsert_table(rows: DataFrame, path: str, key: str, update_cols: Iterable[str] | None = None, **settings) -> versions.Version:
+    """K7 on a table in versions: only the parts that the new rows have keys of are read and written."""
+    return versions.merge(rows.sparkSession, path, rows, key, lambda old, new: upsert(old, new, key, update_cols), **settings)
+
+
+def upsert_table_coalesce(rows: DataFrame, path: str, key: str, cols: Iterable[str] | None = None, **settings) -> versions.Version:
+    """K8 on a table in versions."""
+    return versions.merge(rows.sparkSession, path, rows, key, lambda old, new: upsert_coalesce(old, new, key, cols), **settings)
+
+
 def insert_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """K9: source rows whose composite key the target lacks are added, one a key."""
     return target.unionByName(existing(source.dropDuplicates(keys), target, keys, False).select(*target.columns))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dedup, joins, schema
+from ..sources.folders import work_folder as folder
+from ..sources.versions import read_version
 from .base import AS_OF, LEADS_SQL, leads, query, table
 
 
@@ -161,6 +163,33 @@ def upsert_coalesce(spark, sf_dir):
     return joins.upsert_coalesce(c.filter("c_custkey % 3 <> 0"), new, "c_custkey")
 
 
+@query("""
+    select coalesce(t.o_orderkey, s.o_orderkey) as o_orderkey, coalesce(s.o_orderstatus, t.o_orderstatus) as o_orderstatus, case when t.o_orderkey is null then s.o_totalprice else t.o_totalprice end as o_totalprice
+    from (select o_orderkey, o_orderstatus, o_totalprice from orders where o_orderkey % 3 <> 0) t full join (select o_orderkey, lower(o_orderstatus) as o_orderstatus, -o_totalprice as o_totalprice from orders where o_orderkey % 5 = 0) s using (o_orderkey)
+""")
+def upserted_versions(spark, sf_dir):
+    """K7 on a table in versions: two thirds of the orders, then a fifth of them again."""
+    o, path = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), folder(spark, "upserted")
+    joins.upsert_table(o.filter("o_orderkey % 3 <> 0"), path, "o_orderkey", part_rows=20_000)
+    again = o.filter("o_orderkey % 5 = 0").select("o_orderkey", F.lower("o_orderstatus").alias("o_orderstatus"), (-F.col("o_totalprice")).alias("o_totalprice"))
+    joins.upsert_table(again, path, "o_orderkey", ["o_orderstatus"], part_rows=20_000)
+    return read_version(spark, path)
+
+
+@query("""
+    select c_custkey, case when c_custkey % 4 = 0 and c_custkey % 3 = 0 then null when c_custkey % 4 = 0 then c_name else upper(c_name) end as c_name, case when c_custkey % 3 = 0 then -c_acctbal when c_custkey % 5 = 0 then c_acctbal else -c_acctbal end as c_acctbal
+    from customer
+""")
+def coalesced_versions(spark, sf_dir):
+    """K8 on a table in versions: each customer comes twice but for a third that comes once; the batch that is sent again changes nothing."""
+    c, path = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), folder(spark, "coalesced")
+    joins.upsert_table_coalesce(c.filter("c_custkey % 3 <> 0"), path, "c_custkey", source="first", part_rows=500)
+    fields = [F.when(F.col("c_custkey") % 4 != 0, F.upper("c_name")).alias("c_name"), F.when((F.col("c_custkey") % 5 != 0) | (F.col("c_custkey") % 3 == 0), -F.col("c_acctbal")).alias("c_acctbal")]
+    joins.upsert_table_coalesce(c.select("c_custkey", *fields), path, "c_custkey", source="second", part_rows=500)
+    joins.upsert_table_coalesce(c.select("c_custkey", F.lit("again").alias("c_name"), F.lit(0.0).alias("c_acctbal")), path, "c_custkey", source="second", part_rows=500)
+    return read_version(spark, path)
+
+
 @query("select distinct o_custkey, o_orderstatus from orders")
 def insert_absent(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_latest
 from ..operators.scoring import ScoringRule, score_rules
+from ..sources import versions
 
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType | str, key: str = "event_id", timestamp: str = "ts", late: str = "24 hours", fmt: str = "parquet", files_per_trigger: int | None = None) -> DataFrame:
@@ -34,52 +37,26 @@ def score_stream(leads: DataFrame, rules: list[ScoringRule], as_of, least: float
     return score_rules(leads, rules, as_of).filter(F.col("score") >= least)
 
 
-def latest_stream(leads: DataFrame, key: str, date: str, tie: list[str], target: str, checkpoint: str, parts: int = 64) -> StreamingQuery:
-    """The newest row of each key over all micro-batches, kept at `target` in `parts` parts by the key's hash.
+def latest_stream(leads: DataFrame, key: str, date: str, tie: list[str], target: str, checkpoint: str, part_rows: int = versions.PART_ROWS) -> StreamingQuery:
+    """The newest row of each key over all micro-batches, kept at `target` as a table in versions.
 
-    A batch writes a new version of the parts that it has keys of, from the versions of the batches before it, so a batch
-    that is run again gives the same versions. Of each part the last two versions are kept.
+    A batch is merged into the parts that it has keys of. The checkpoint's own id and the batch's number stand in the
+    version, so a batch that is run again changes nothing, and a stream with another checkpoint continues the table.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        keyed = batch.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
-        if number:
-            touched = keyed.select("part").distinct()  # at most `parts` rows
-            keyed = keyed.unionByName(versions(spark, target, batch.schema, number).join(F.broadcast(touched), "part", "left_semi").select(*keyed.columns))
-        dedup_latest(keyed, key, date, tie).write.partitionBy("part").mode("overwrite").parquet(f"{target}/batch={number}")
-        drop_old(spark, target, number)
+        newest = lambda old, new: dedup_latest(old.unionByName(new), key, date, tie)
+        versions.merge(spark, target, batch, key, newest, stream_id(spark, checkpoint), number, part_rows)
 
     return leads.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def versions(spark: SparkSession, target: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """The rows of each part's newest version, of batches before a number if one is given, with their part."""
-    rows = spark.read.schema(T.StructType([*schema, T.StructField("batch", T.IntegerType()), T.StructField("part", T.IntegerType())])).parquet(target)
-    rows = rows if before is None else rows.filter(F.col("batch") < before)
-    newest = rows.groupBy("part").agg(F.max("batch").alias("batch"))  # a row a part
-    return rows.join(F.broadcast(newest), ["part", "batch"], "left_semi").drop("batch")
-
-
-def drop_old(spark: SparkSession, target: str, number: int) -> None:
-    """Deletes the versions of parts that two versions up to this batch have come after."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(target)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found: dict[str, list] = {}
-    for batch in files.listStatus(root):
-        name = batch.getPath().getName()
-        if name.startswith("batch=") and int(name[6:]) <= number:
-            for part in files.listStatus(batch.getPath()):
-                if part.getPath().getName().startswith("part="):
-                    found.setdefault(part.getPath().getName(), []).append((int(name[6:]), part.getPath()))
-    for own in found.values():
-        for _, path in sorted(own, key=lambda x: x[0])[:-2]:
-            files.delete(path, True)
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a stream when its checkpoint is made."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
 
 
-def latest_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+def latest_table(spark: SparkSession, target: str) -> DataFrame:
     """The newest version of all parts."""
-    if schema is None:
-        found = spark.read.parquet(target).schema
-        schema = T.StructType([f for f in found if f.name not in ("batch", "part")])
-    return versions(spark, target, schema).drop("part")
+    return versions.read_version(spark, target)

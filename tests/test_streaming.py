@@ -55,6 +55,38 @@ def test_latest_over_batches(spark, tmp_path):
     stream = spark.readStream.schema("cpf int, v string, data string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     streams.latest_stream(stream, "cpf", "data", ["v"], str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert sorted((r.cpf, r.v) for r in streams.latest_table(spark, str(tmp_path / "out")).collect()) == [(1, "b"), (2, "c")]
-    kept = [p for p in (tmp_path / "out").glob("batch=*/part=*")]
-    per_part = {p.name: sum(q.name == p.name for q in kept) for p in kept}
-    assert max(per_part.values()) <= 2 and len(per_part) == 2
+    assert len(list((tmp_path / "out/log").glob("*.json"))) == 2 and len(list((tmp_path / "out/data").glob("*/part=*"))) <= 2
+
+
+def write_in(spark, rows, path):
+    spark.createDataFrame(rows, "cpf int, v string, data string").coalesce(1).write.mode("append").parquet(str(path))
+
+
+def run_latest(spark, tmp_path, checkpoint, source="in"):
+    stream = spark.readStream.schema("cpf int, v string, data string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / source))
+    streams.latest_stream(stream, "cpf", "data", ["v"], str(tmp_path / "out"), str(tmp_path / checkpoint), part_rows=2).awaitTermination()
+    return {r.cpf: r.v for r in streams.latest_table(spark, str(tmp_path / "out")).collect()}
+
+
+def test_a_new_checkpoint_continues_the_table(spark, tmp_path):
+    write_in(spark, [(i, "old", "2024-01-01") for i in range(9)], tmp_path / "in")
+    assert run_latest(spark, tmp_path, "one") == dict.fromkeys(range(9), "old")
+    write_in(spark, [(1, "new", "2024-02-01"), (2, "older", "2023-02-01"), (50, "only", "2024-02-01")], tmp_path / "in2")
+    want = {**dict.fromkeys(range(9), "old"), 1: "new", 50: "only"}
+    assert run_latest(spark, tmp_path, "two", "in2") == want
+    assert run_latest(spark, tmp_path, "one") == want and run_latest(spark, tmp_path, "three", "in2") == want
+
+
+def test_a_batch_that_is_run_again(spark, tmp_path):
+    import shutil
+
+    for i in range(3):
+        write_in(spark, [(1, f"v{i}", f"2024-01-0{i + 1}"), (i + 10, "x", "2024-01-01")], tmp_path / "in")
+    want = run_latest(spark, tmp_path, "check")
+    last = max((tmp_path / "check/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()  # as if the stream had died after the merge and before its commit
+    (tmp_path / "check/commits" / f".{last.name}.crc").unlink(missing_ok=True)
+    before = sorted(p.name for p in (tmp_path / "out/log").glob("*.json"))
+    assert run_latest(spark, tmp_path, "check") == want and sorted(p.name for p in (tmp_path / "out/log").glob("*.json")) == before
+    shutil.rmtree(tmp_path / "check")
+    assert run_latest(spark, tmp_path, "check") == want
