@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import Window as W
 
 from ..functions.validate import is_blank
+from ..sources.folders import work_folder
 
 
 def numeric(df: DataFrame) -> list[str]:
@@ -29,21 +30,17 @@ def percentiles(df: DataFrame, values: dict[str, Column], probabilities: list[fl
     cells = df.select(*[x.cast("double").alias(f"x{k}") for k, x in enumerate(values.values())])
     margin = 4.0 / ACCURACY
     ends = F.array(*[F.lit(min(1.0, max(0.0, p + d))) for p in probabilities for d in (-margin, margin)])
-    marks = cells.agg(*[f for k in range(len(names)) for f in (F.count(f"x{k}").alias(f"n{k}"), F.percentile_approx(f"x{k}", ends, ACCURACY).alias(f"m{k}"))])  # one row
+    marks = cells.agg(*[f for k in range(len(names)) for f in (F.count(f"x{k}").alias(f"n{k}"), F.percentile_approx(f"x{k}", ends, ACCURACY).alias(f"m{k}"))]).first()  # one row
     every = [(k, i) for k in range(len(names)) for i in range(len(probabilities))]
-
-    def low(k: int, i: int) -> Column:
-        return F.when((F.col(f"n{k}") <= ACCURACY) | F.lit(probabilities[i] <= margin), F.lit(float("-inf"))).otherwise(F.col(f"m{k}")[2 * i]).alias(f"low{k}_{i}")
-
-    def high(k: int, i: int) -> Column:  # nan is above all
-        return F.when((F.col(f"n{k}") <= ACCURACY) | F.lit(probabilities[i] >= 1 - margin), F.lit(float("nan"))).otherwise(F.col(f"m{k}")[2 * i + 1]).alias(f"high{k}_{i}")
-
-    brackets = marks.select(*[f"n{k}" for k in range(len(names))], *[f(k, i) for k, i in every for f in (low, high)])
-    placed = cells.crossJoin(F.broadcast(brackets))
-    below = placed.agg(*[F.count_if(F.col(f"x{k}") < F.col(f"low{k}_{i}")).alias(f"b{k}_{i}") for k, i in every], *[F.max(f"n{k}").alias(f"n{k}") for k in range(len(names))])  # one row
-    facts = below.select(F.inline(F.array(*[F.struct(F.lit(names[k]).alias("column"), F.lit(i).alias("i"), ((F.col(f"n{k}") - 1) * probabilities[i]).alias("rank"), F.col(f"b{k}_{i}").alias("below")) for k, i in every])))
-    hit = lambda k, i: (F.col(f"x{k}") >= F.col(f"low{k}_{i}")) & (F.col(f"x{k}") <= F.col(f"high{k}_{i}"))
-    inside = placed.select(F.inline(F.array(*[F.when(hit(k, i), F.struct(F.lit(names[k]).alias("column"), F.lit(i).alias("i"), F.col(f"x{k}").alias("value"))) for k, i in every]))).filter("value is not null")
+    # summaries depend on the order in which they are merged, so brackets are fixed before they are used twice
+    open_below = {(k, i): marks[f"n{k}"] <= ACCURACY or probabilities[i] <= margin for k, i in every}
+    open_above = {(k, i): marks[f"n{k}"] <= ACCURACY or probabilities[i] >= 1 - margin for k, i in every}
+    low = {(k, i): float("-inf") if open_below[k, i] else marks[f"m{k}"][2 * i] for k, i in every}
+    high = {(k, i): float("nan") if open_above[k, i] else marks[f"m{k}"][2 * i + 1] for k, i in every}  # nan is above all
+    below = cells.agg(*[F.count_if(F.col(f"x{k}") < F.lit(low[k, i])).alias(f"b{k}_{i}") for k, i in every])  # one row
+    facts = below.select(F.inline(F.array(*[F.struct(F.lit(names[k]).alias("column"), F.lit(i).alias("i"), F.lit((marks[f"n{k}"] - 1) * probabilities[i]).alias("rank"), F.col(f"b{k}_{i}").alias("below")) for k, i in every])))
+    hit = lambda k, i: (F.col(f"x{k}") >= F.lit(low[k, i])) & (F.col(f"x{k}") <= F.lit(high[k, i]))
+    inside = cells.select(F.inline(F.array(*[F.when(hit(k, i), F.struct(F.lit(names[k]).alias("column"), F.lit(i).alias("i"), F.col(f"x{k}").alias("value"))) for k, i in every]))).filter("value is not null")
     counted = inside.groupBy("column", "i", "value").agg(F.count("*").alias("times")).join(F.broadcast(facts), ["column", "i"])
     ordered = counted.withColumn("upto", F.sum("times").over(W.partitionBy("column", "i").orderBy("value")) + F.col("below"))
     at = lambda r: F.min(F.when(F.col("upto") > r, F.col("value")))
@@ -53,6 +50,63 @@ def percentiles(df: DataFrame, values: dict[str, Column], probabilities: list[fl
     return found.groupBy("column").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.when(sure, mixed).alias("v")))), lambda s: s["v"]).alias("q"))
 
 
+#: Parts of a bracket that are counted before any is put in order.
+PARTS = 64
+
+
+def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probabilities: list[float]) -> DataFrame:
+    """Exact percentiles (linear between neighbours) of each group: its keys, n and `q`, an array in the order of
+    `probabilities`. A null key is a group; nulls of the value don't count; groups without values have no row.
+
+    Mergeable summaries bracket each percentile of each group; one pass counts what lies below the bracket (one cell, summed
+    before it is shuffled) and the values inside. The bracket is cut into parts that are counted, and only the values of the
+    part with the rank are put in order: some hundred-thousandths of a large group. Values are dealt by themselves, not by
+    group, so a group with most of the rows is spread like others. Values in brackets are written to the shared folder.
+    """
+    own = [F.col(f"`{k}`") for k in keys]
+    rows = df.select(*own, F.col(f"`{value}`").cast("double").alias("_x")).filter("_x is not null")
+    margin = 4.0 / ACCURACY
+    ends = F.array(*[F.lit(min(1.0, max(0.0, p + d))) for p in probabilities for d in (-margin, margin)])
+    marks = rows.groupBy(*own).agg(F.count("_x").alias("_n"), F.percentile_approx("_x", ends, ACCURACY).alias("_m"))
+
+    def bracket(i: int, p: float) -> Column:
+        whole = F.col("_n") <= ACCURACY
+        low = F.when(whole | F.lit(p <= margin), F.lit(float("-inf"))).otherwise(F.col("_m")[2 * i])
+        high = F.when(whole | F.lit(p >= 1 - margin), F.lit(float("nan"))).otherwise(F.col("_m")[2 * i + 1])  # nan is above all
+        return F.struct(F.lit(i).alias("_i"), ((F.col("_n") - 1) * p).alias("_rank"), low.alias("low"), high.alias("high"))
+
+    brackets = marks.select(*own, F.array(*[bracket(i, p) for i, p in enumerate(probabilities)]).alias("_b"), "_n")
+
+    def beside(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+        """An inner join in which null keys meet."""
+        renamed = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
+        on = F.lit(True)
+        for n in names:
+            on = on & left[f"`{n}`"].eqNullSafe(renamed[f"`_right_{n}`"])
+        return left.join(renamed, on).drop(*[f"_right_{n}" for n in names])
+
+    hit = F.transform("_b", lambda b: F.when(F.col("_x") <= b["high"], F.struct(b["_i"].alias("_i"), b["_rank"].alias("_rank"), F.when(F.col("_x") >= b["low"], F.col("_x")).alias("_cell"))))
+    place = [*keys, "_i"]
+    cells = beside(rows, brackets, keys).select(*own, "_n", F.inline(F.filter(hit, lambda h: h.isNotNull()))).groupBy(*own, "_n", "_i", "_rank", "_cell").agg(F.count("*").alias("_times"))
+    cuts = cells.groupBy(*own, "_i").agg(F.percentile_approx("_cell", F.array(*[F.lit(k / PARTS) for k in range(1, PARTS)]), 16 * PARTS).alias("_cuts"))
+    # what lies below is part -1, before all others
+    part = F.when(F.col("_cell").isNull(), -1).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_cell"))))
+    # summaries depend on the order in which they are merged: what they gave is written, and then read twice
+    beside(cells, cuts, place).withColumn("_part", part).drop("_cuts").write.parquet(path := work_folder(df.sparkSession, "percentiles"))
+    dealt = df.sparkSession.read.parquet(path)
+    group = W.partitionBy(*own, "_i")
+    counts = dealt.groupBy(*own, "_i", "_part").agg(F.sum("_times").alias("_t"), F.max("_rank").alias("_r")).withColumn("_s", F.sum("_t").over(group))  # at most PARTS + 1 rows a group
+    upto = F.sum("_t").over(group.orderBy("_part"))
+    sure = F.when((F.col("_s") > F.ceil("_r")) & ((F.col("_part") >= 0) | (F.col("_upto") <= F.floor("_r"))), F.col("_upto") - F.col("_t")).otherwise(F.raise_error(F.lit("a percentile is outside its bracket")).cast("long"))
+    chosen = counts.withColumn("_upto", upto).withColumn("_before", sure).filter((F.col("_before") <= F.ceil("_r")) & (F.col("_upto") > F.floor("_r")))
+    inside = beside(dealt.select(*own, "_n", "_i", "_rank", "_cell", "_times", "_part"), chosen.select(*own, "_i", "_part", "_before"), [*place, "_part"])
+    ordered = inside.withColumn("_upto", F.sum("_times").over(group.orderBy("_cell")) + F.min("_before").over(group))
+    at = lambda r: F.min(F.when(F.col("_upto") > r, F.col("_cell")))
+    found = ordered.groupBy(*own, "_n", "_i", "_rank").agg(at(F.floor("_rank")).alias("_a"), at(F.ceil("_rank")).alias("_e"))
+    mixed = F.when(F.col("_a") == F.col("_e"), F.col("_a")).otherwise((F.ceil("_rank") - F.col("_rank")) * F.col("_a") + (F.col("_rank") - F.floor("_rank")) * F.col("_e"))
+    return found.groupBy(*own, F.col("_n").alias("n")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", mixed.alias("v")))), lambda s: s["v"]).alias("q"))
+
+
 def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, n_distinct) by hashes of 8 bytes: cells are cut down to distinct hashes before they are shuffled."""
     own = lambda c, t: F.col(f"`{c}`") if "<" not in t and t != "variant" else F.to_json(F.struct(F.col(f"`{c}`")))

@@ -1,7 +1,8 @@
 """Deduplication and ranking by windows.
 
-Rows have no order of their own in Spark, so each job takes the columns that break ties. Rows with a null key have no
-identity: they go, or stay apart from the window, so that no task gathers them.
+Rows have no order of their own in Spark, so each job takes the columns that break ties; where they don't, a hash of the
+whole row does, which tells nulls apart, so reruns agree. Rows with a null key have no identity: they go, or stay apart from
+the window, so that no task gathers them.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from ..functions.validate import digits, is_blank
 
 
 def first_per(df: DataFrame, keys: list[str | Column], order: list[Column], keep_null: bool = False) -> DataFrame:
-    """The first row of each key. Rows with a null key go, or are all kept."""
+    """The first row of each key; ties by the hash of the row. Rows with a null key go, or are all kept."""
     keys = [F.col(f"`{k}`") if isinstance(k, str) else k for k in keys]
     whole = F.lit(True)
     for k in keys:
         whole = whole & k.isNotNull()
-    ranked = df.filter(whole).withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
+    ranked = df.filter(whole).withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order, row_hash(df)))).filter("_n = 1").drop("_n")
     return ranked.unionByName(df.filter(~whole)) if keep_null else ranked
 
 
@@ -40,18 +41,22 @@ def as_time(df: DataFrame, col: str) -> Column:
 
 
 def dedup_latest(df: DataFrame, key: str | None = None, date: str | None = None, tie: list[str] | None = None, keep_null: bool = False) -> DataFrame:
-    """The newest row of each identifier; dates that can't be read last. Without an identifier all rows stay. Where
-    nothing else tells rows apart, a hash of the row does, so that reruns agree."""
+    """The newest row of each identifier; dates that can't be read last. Without an identifier all rows stay."""
     key, date = key or identifier_column(df), date or date_column(df)
     if key is None:
         return df
     order = ([as_time(df, date).desc_nulls_last()] if date else []) + [F.col(f"`{t}`") for t in tie or []]
-    return first_per(df, [key], order if tie else [*order, row_hash(df)], keep_null)
+    return first_per(df, [key], order, keep_null)
 
 
 def row_hash(df: DataFrame) -> Column:
-    """A hash of the whole row; maps and variants count by their JSON text."""
-    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in t or t == "variant" else F.col(f"`{c}`") for c, t in df.dtypes])
+    """A hash of the whole row that tells nulls apart (xxhash64 itself passes over them); nested columns count by their JSON
+    text."""
+    cols = []
+    for c, t in df.dtypes:
+        own = F.to_json(F.struct(F.col(f"`{c}`")), {"ignoreNullFields": "false"}) if "<" in t or t == "variant" else F.col(f"`{c}`")
+        cols += [own, own.isNull()]
+    return F.xxhash64(*cols)
 
 
 def filled(cols: list[str]) -> Column:
@@ -133,7 +138,7 @@ def dedup_ignore_dates(df: DataFrame, date: str, tie: list[str] | None = None) -
     same = [c for c, t in df.dtypes if t not in ("date", "timestamp", "timestamp_ntz") and not any(p in c.lower() for p in ("date", "data", "hora", "time")) and c != date and c not in (tie or [])]
     order = [as_time(df, date).desc_nulls_last(), *(F.col(f"`{t}`") for t in tie or [])]
     key = F.xxhash64(*[F.col(f"`{c}`") for c in same])
-    return df.withColumn("_n", F.row_number().over(W.partitionBy(key, *[F.col(f"`{c}`") for c in same]).orderBy(*order))).filter("_n = 1").drop("_n")
+    return df.withColumn("_n", F.row_number().over(W.partitionBy(key, *[F.col(f"`{c}`") for c in same]).orderBy(*order, row_hash(df)))).filter("_n = 1").drop("_n")
 
 
 def dedup_exact_then_id(df: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .aggregates import grouped_percentiles
+
 METRICS = ["records_processed", "processing_time_seconds", "memory_usage_mb", "cpu_usage_percent", "error_count", "success_rate", "latency_ms", "throughput_records_per_sec", "data_quality_score"]
 CHECKED = ["processing_time_seconds", "memory_usage_mb", "cpu_usage_percent", "error_count", "success_rate", "latency_ms", "data_quality_score"]
 
@@ -13,10 +15,16 @@ def long_metrics(metrics: DataFrame, cols: list[str], keys: list[str]) -> DataFr
     return metrics.select(*keys, F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in cols])))
 
 
-def metric_baseline(metrics: DataFrame, cols: list[str] | None = None, pipeline: str = "pipeline_name") -> DataFrame:
-    """(pipeline, metric): mean, population std, min, max, q25, q75."""
+def metric_baseline(metrics: DataFrame, cols: list[str] | None = None, pipeline: str = "pipeline_name", quartiles: bool = True) -> DataFrame:
+    """(pipeline, metric): mean, population std, min, max, and exact q25 and q75 if asked. A pipeline with most of the runs
+    is spread over tasks like others."""
     long = long_metrics(metrics, [c for c in cols or METRICS if c in metrics.columns], [pipeline])
-    return long.groupBy(pipeline, "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), F.percentile("value", F.lit(0.25)).alias("q25"), F.percentile("value", F.lit(0.75)).alias("q75"))
+    facts = long.groupBy(pipeline, "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    if not quartiles:
+        return facts
+    q = grouped_percentiles(long, [pipeline, "metric"], "value", [0.25, 0.75]).withColumnsRenamed({pipeline: "_p", "metric": "_m"})
+    both = facts.join(q, F.col(f"`{pipeline}`").eqNullSafe(F.col("_p")) & (F.col("metric") == F.col("_m")), "left")
+    return both.select(pipeline, "metric", "mean", "std", "min", "max", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q75"))
 
 
 def metric_anomalies(metrics: DataFrame, baseline: DataFrame, cols: list[str] | None = None, pipeline: str = "pipeline_name", timestamp: str = "timestamp") -> DataFrame:
@@ -33,11 +41,13 @@ def metric_anomalies(metrics: DataFrame, baseline: DataFrame, cols: list[str] |
     return found.select(pipeline, timestamp, "metric", "value", (F.col("mean") - 2 * F.col("std")).alias("low"), (F.col("mean") + 2 * F.col("std")).alias("high"), F.when(off > 3 * F.col("std"), "critical").when(off > 2.5 * F.col("std"), "high").otherwise("medium").alias("severity"), action.alias("action"))
 
 
-def run_anomalies(metrics: DataFrame, cols: list[str], share: float = 0.1) -> DataFrame:
-    """anomaly_distance (root of the sum of squared standard scores) and is_anomaly above its (1 - share) percentile."""
+def run_anomalies(metrics: DataFrame, cols: list[str], share: float = 0.1, isolated: bool = False) -> DataFrame:
+    """anomaly_distance (root of the sum of squared standard scores) and is_anomaly above its (1 - share) percentile; or
+    anomaly_score and is_anomaly by an isolation forest."""
+    from .forests import flag_isolated
     from .ml import flag_outliers
 
-    return flag_outliers(metrics, cols, share, "is_anomaly", "anomaly_distance")
+    return flag_isolated(metrics, cols, share) if isolated else flag_outliers(metrics, cols, share, "is_anomaly", "anomaly_distance")
 
 
 def alerts(metrics: DataFrame, anomalies: DataFrame | None = None, pipeline: str = "pipeline_name", timestamp: str = "timestamp") -> DataFrame:

@@ -120,6 +120,39 @@ def profile(df: DataFrame, source: str, run_ts, approximate: bool = True) -> Dat
     return rows.select(F.lit(source).alias("source"), F.lit(run_ts).cast("timestamp").alias("run_ts"), F.md5(spec).alias("schema_hash"), score.alias("quality_score"), F.inline("cols"))
 
 
+#: Precision of the sketches: 2 ** 14 registers (0.8 % of a count), rank errors of 0.7 %.
+HLL_BITS, KLL_SIZE, SKETCH_ERROR = 14, 400, 0.03
+
+
+def partial_profiles(df: DataFrame, source: str, load: Column) -> DataFrame:
+    """What each load adds to a profile: a row for each load and column, with counts, ends and mergeable sketches, to be
+    kept. One pass; of a load only sketches of bounded size are held."""
+    own, numbers = [], set(numeric(df))
+    for i, (c, t) in enumerate(df.dtypes):
+        x = F.col(f"`{c}`")
+        number = x.cast("double")
+        own.append(F.struct(
+            F.lit(c).alias("column"), F.lit(t).alias("dtype"), F.count("*").alias("rows"), (F.count("*") - F.count(x)).alias("nulls"),
+            (F.min(number) if c in numbers else F.lit(None).cast("double")).alias("min_value"), (F.max(number) if c in numbers else F.lit(None).cast("double")).alias("max_value"),
+            (F.sum(F.length(x)) if t == "string" else F.lit(None).cast("long")).cast("long").alias("total_length"), F.hll_sketch_agg(x.cast("string"), HLL_BITS).alias("distinct_sketch"),
+            (F.kll_sketch_agg_double(number, KLL_SIZE) if c in numbers else F.lit(None).cast("binary")).alias("value_sketch"),
+        ).alias(f"s{i}"))
+    return df.groupBy(load.alias("load")).agg(*own).select(F.lit(source).alias("source"), "load", F.inline(F.array(*[F.col(f"s{i}") for i in range(len(own))])))
+
+
+def united_profile(partial: DataFrame) -> DataFrame:
+    """The profile of all loads together (a window of days, say), from what is kept of them, without their data: rows,
+    nulls, least and greatest value and mean length are exact; distinct values and quartiles are estimates."""
+    one = partial.groupBy("source", "column").agg(
+        F.max("dtype").alias("dtype"), F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("n_distinct"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"), (F.sum("total_length") / F.nullif(F.sum("rows") - F.sum("nulls"), F.lit(0))).alias("mean_length"),
+        F.kll_merge_agg_double("value_sketch", KLL_SIZE).alias("_values"),
+    )
+    known = F.col("min_value").isNotNull()
+    quartiles = [F.when(known, F.kll_sketch_get_quantile_double("_values", F.lit(p))).alias(n) for n, p in (("q25", 0.25), ("median", 0.5), ("q75", 0.75))]
+    return one.select("source", "column", "dtype", (F.col("nulls") > 0).alias("nullable"), "rows", "nulls", "n_distinct", "min_value", "max_value", "mean_length", *quartiles)
+
+
 #: Changes of type that are harmless, and that break; all others are of medium impact.
 WIDER = [("int", "bigint"), ("int", "double"), ("bigint", "double"), ("int", "float"), ("float", "double"), ("date", "timestamp")]
 BREAKING = [("double", "int"), ("double", "bigint"), ("float", "int"), ("string", "timestamp"), ("string", "date"), ("string", "int"), ("string", "bigint"), ("string", "double")]

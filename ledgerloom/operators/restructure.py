@@ -13,15 +13,21 @@ from .schema import union_tables
 def unpivot_keys(df: DataFrame, json_col: str, prefix: str, fields: list[str], keep: list[str] | None = None) -> DataFrame:
     """Keys such as <prefix>.<id>.<field> of a JSON text become one row per id, with a column per field.
 
-    All within a row, without a shuffle: equal documents keep rows of their own. The work of a document grows with the
-    square of its ids, so documents of more than thousands of ids are better cut before.
+    All within a row, without a shuffle: equal documents keep rows of their own. Entries are sorted by id once, and an id's
+    fields are its neighbours, so the work is that of sorting. Of a key that comes twice one value is taken.
     """
     keep = [c for c in df.columns if c != json_col] if keep is None else keep
     pattern = rf"^\Q{prefix}\E\.([^.]+)\.({'|'.join(fields)})$"
-    parsed = df.select(*keep, F.from_json(F.col(json_col), "map<string,string>").alias("_m"))
-    ids = F.array_distinct(F.filter(F.transform(F.map_keys("_m"), lambda k: F.regexp_extract(k, pattern, 1)), lambda i: i != ""))
-    rows = parsed.select(*keep, "_m", F.explode(ids).alias("entry_id"))
-    return rows.select(*keep, "entry_id", *[F.try_element_at("_m", F.concat(F.lit(f"{prefix}."), "entry_id", F.lit(f".{f}"))).alias(f) for f in fields])
+    entries = F.map_entries(F.from_json(F.col(json_col), "map<string,string>"))
+    named = F.filter(F.transform(entries, lambda e: F.struct(F.regexp_extract(e["key"], pattern, 1).alias("id"), F.regexp_extract(e["key"], pattern, 2).alias("field"), e["value"].alias("value"))), lambda e: e["id"] != "")
+    ordered = df.select(*keep, F.array_sort(named).alias("_s"))
+    once = F.filter("_s", lambda e, i: (i == 0) | (F.get("_s", i - 1)["id"] != e["id"]) | (F.get("_s", i - 1)["field"] != e["field"]))
+    parsed = ordered.select(*keep, once.alias("_e"))
+    begins = F.filter(F.transform("_e", lambda e, i: F.when((i == 0) | (F.get("_e", i - 1)["id"] != e["id"]), i)), lambda i: i.isNotNull())
+    at = lambda i, k: F.get("_e", i + k)
+    value = lambda i, f: F.coalesce(*[F.when((at(i, k)["id"] == at(i, 0)["id"]) & (at(i, k)["field"] == f), at(i, k)["value"]) for k in range(len(fields))])
+    runs = F.transform(begins, lambda i: F.struct(at(i, 0)["id"].alias("entry_id"), *[value(i, f).alias(f) for f in fields]))
+    return parsed.select(*keep, F.inline(runs))
 
 
 def project_payments(df: DataFrame, json_col: str = "doc", email: str = "email", key: str = "id") -> DataFrame:
@@ -152,7 +158,15 @@ def explode_single_column(df: DataFrame, col: str, fields: list[str], least: int
 
 
 def flatten(df: DataFrame, max_level: int = 3, sep: str = "_") -> DataFrame:
-    """Struct fields as columns with joined names, down to max_level."""
+    """Struct fields as columns with joined names, down to max_level. A name that is taken gets a number."""
+    taken: set[str] = set()
+
+    def free(label: str) -> str:
+        name, n = label, 1
+        while name.lower() in taken:
+            name, n = f"{label}{sep}{n + 1}", n + 1
+        taken.add(name.lower())
+        return name
 
     def walk(schema: T.StructType, path: str, name: str, level: int) -> list[Column]:
         out = []
@@ -161,7 +175,7 @@ def flatten(df: DataFrame, max_level: int = 3, sep: str = "_") -> DataFrame:
             if isinstance(f.dataType, T.StructType) and level < max_level:
                 out += walk(f.dataType, here + ".", label + sep, level + 1)
             else:
-                out.append(F.col(here).alias(label))
+                out.append(F.col(here).alias(free(label)))
         return out
 
     return df.select(*walk(df.schema, "", "", 0))
@@ -175,9 +189,26 @@ def explode_records(df: DataFrame, record_path: str, meta: list[str]) -> DataFra
     return rows.select(*[m.replace(".", "_") for m in meta], *own)
 
 
-def json_structure(df: DataFrame, col: str) -> DataFrame:
-    """(path, type, n): the keys of JSON texts with the type of their values and how many documents have them."""
-    entries = df.select(F.explode(F.map_entries(F.from_json(F.col(col), "map<string,string>"))).alias("e"))
-    v = F.col("e.value")
-    kind = F.when(v.isNull(), "null").when(v.rlike(r"^-?\d+$"), "integer").when(v.rlike(r"^-?\d+\.\d+([eE][-+]?\d+)?$"), "number").when(v.isin("true", "false"), "boolean").when(v.startswith("{"), "object").when(v.startswith("["), "array").otherwise("string")
-    return entries.groupBy(F.col("e.key").alias("path"), kind.alias("type")).agg(F.count("*").alias("n"))
+def json_structure(df: DataFrame, col: str, depth: int = 3) -> DataFrame:
+    """(path, type, n): what stands at each path of JSON texts, down to `depth` levels of objects and arrays, and how often.
+
+    a.b is field b of the object a, a[] an element of the array a. Null texts and texts that are no JSON don't count. Each
+    level opens one more of the documents' levels, in the row.
+    """
+    rows = df.select(F.lit("").alias("path"), F.try_parse_json(F.col(f"`{col}`")).alias("v")).filter("v is not null")
+
+    def kind(v: Column) -> Column:
+        text = F.substring(F.to_json(v), 1, 1)
+        number = F.when(F.schema_of_variant(v) == "BIGINT", "integer").otherwise("number")
+        return F.when(text == "{", "object").when(text == "[", "array").when(text == '"', "string").when(text.isin("t", "f"), "boolean").when(text == "n", "null").otherwise(number)
+
+    levels = []
+    for _ in range(depth):
+        rows = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer())).select(
+            F.when(F.col("key").isNull(), F.concat("path", F.lit("[]"))).when(F.col("path") == "", F.col("key")).otherwise(F.concat("path", F.lit("."), "key")).alias("path"), F.col("value").alias("v")
+        )
+        levels.append(rows.select("path", kind(F.col("v")).alias("type")).groupBy("path", "type").agg(F.count("*").alias("n")))
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out

@@ -272,6 +272,25 @@ def json_structure(spark, sf_dir):
     return restructure.json_structure(table(spark, sf_dir, "events"), "props")
 
 
+@query("""
+    with l as (select * from orders join lineitem on o_orderkey = l_orderkey), o as (select distinct o_orderkey, o_custkey from l)
+    select path, type, count(*) as n from (
+        select unnest(['order', 'order.lines']) as path, unnest(['object', 'array']) as type from o union all select 'order.key', 'integer' from o
+        union all select 'order.customer', case when o_custkey % 3 = 0 then 'null' when o_custkey % 3 = 1 then 'string' else 'object' end from o union all select 'order.customer.key', 'integer' from o where o_custkey % 3 = 2
+        union all select unnest(['order.lines[]', 'order.lines[].ship', 'order.lines[].ship.late']), unnest(['object', 'object', 'boolean']) from l
+        union all select 'order.lines[].ship.tags', 'array' from l union all select 'order.lines[].ship.tags[]', 'string' from l where l_linenumber = 1 union all select 'order.lines[].price', 'number' from l
+    ) group by 1, 2
+""")
+def nested_structure(spark, sf_dir):
+    """Documents of four levels, one for each order, with its lines inside."""
+    line = F.struct(F.struct((F.col("l_linenumber") > 3).alias("late"), F.when(F.col("l_linenumber") == 1, F.array("l_returnflag")).otherwise(F.array().cast("array<string>")).alias("tags")).alias("ship"), (F.floor("l_extendedprice") + 0.5).alias("price"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.collect_list(line)).alias("lines"))
+    o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    customer = F.when(F.col("o_custkey") % 3 == 0, "null").when(F.col("o_custkey") % 3 == 1, F.concat(F.lit('"'), F.col("o_custkey").cast("string"), F.lit('"'))).otherwise(F.concat(F.lit('{"key": '), F.col("o_custkey").cast("string"), F.lit("}")))
+    docs = o.select(F.concat(F.lit('{"order": {"key": '), F.col("o_orderkey").cast("string"), F.lit(', "customer": '), customer, F.lit(', "lines": '), "lines", F.lit("}}")).alias("doc"))
+    return restructure.json_structure(docs, "doc", depth=6)
+
+
 @query("select c_custkey, c_name, n_name as nation_name, r_name as nation_region_name from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
 def flatten_documents(spark, sf_dir):
     c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import monitoring, quality as q
+from ..operators import aggregates, forests, monitoring, quality as q
+from ..sources.folders import work_folder as folder
 from .base import LEADS_SQL, leads, query, table
 from .cleaning import CPF_SQL, EMAIL_SQL
 
@@ -134,7 +135,7 @@ def metric_baseline(spark, sf_dir):
 """)
 def metric_anomalies(spark, sf_dir):
     m = day_metrics(spark, sf_dir)
-    return monitoring.metric_anomalies(m, monitoring.metric_baseline(m)).select("pipeline_name", "timestamp", "metric", F.round("value", 6).alias("value"), "severity")
+    return monitoring.metric_anomalies(m, monitoring.metric_baseline(m, quartiles=False)).select("pipeline_name", "timestamp", "metric", F.round("value", 6).alias("value"), "severity")
 
 
 @query(f"""
@@ -168,6 +169,53 @@ def outliers(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", F.round("outlier_distance", 6).alias("distance"))
 
 
+@query()
+def isolation_forest(spark, sf_dir):
+    """All lines, scored by a forest; the tenth that is set apart soonest is flagged."""
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return forests.flag_isolated(table(spark, sf_dir, "lineitem"), cols).select("l_orderkey", "l_linenumber", "path_length", "anomaly_score", "is_anomaly")
+
+
+@query("""
+    select l_orderkey % 100 = 0 and l_linenumber = 1 as planted, count(*) as n, case when l_orderkey % 100 = 0 and l_linenumber = 1 then count(*) else 0 end as found
+    from lineitem where l_linenumber is not null group by 1 order by 1
+""")
+def planted_anomalies(spark, sf_dir):
+    """Lines of absurd amounts score above all others."""
+    lines = table(spark, sf_dir, "lineitem").filter("l_linenumber is not null").withColumn("planted", (F.col("l_orderkey") % 100 == 0) & (F.col("l_linenumber") == 1))
+    lines = lines.withColumns({c: F.when(F.col("planted"), F.col(c) * 40 + 4000).otherwise(F.col(c)) for c in ("l_quantity", "l_extendedprice")})
+    lines = lines.withColumn("l_extendedprice", F.when(F.col("planted"), F.col("l_extendedprice") + 5_000_000).otherwise(F.col("l_extendedprice")))
+    scored = monitoring.run_anomalies(lines, ["l_quantity", "l_extendedprice"], 0.001, isolated=True)
+    top = scored.filter("not planted").agg(F.coalesce(F.max("anomaly_score"), F.lit(0.0)).alias("top"))  # one row
+    return scored.crossJoin(F.broadcast(top)).groupBy("planted").agg(F.count("*").alias("n"), F.count_if(F.col("anomaly_score") > F.col("top")).alias("found"))
+
+
+@query("""
+    with l as (select l_quantity, l_extendedprice, l_returnflag, l_partkey, case when l_linenumber > 1 then l_tax end as l_tax from lineitem)
+    select * from (
+        select 'l_quantity' as "column", count(*) as rows, 0::bigint as nulls, min(l_quantity)::double as min_value, max(l_quantity)::double as max_value, null::double as mean_length, true as distinct_near, true as median_near from l
+        union all select 'l_extendedprice', count(*), 0, min(l_extendedprice), max(l_extendedprice), null, true, true from l
+        union all select 'l_partkey', count(*), 0, min(l_partkey), max(l_partkey), null, true, true from l
+        union all select 'l_tax', count(*), count(*) - count(l_tax), min(l_tax), max(l_tax), null, true, true from l
+        union all select 'l_returnflag', count(*), 0, null, null, round(avg(length(l_returnflag)), 8), true, null from l)
+""")
+def united_profiles(spark, sf_dir):
+    """Profiles of each month's lines, kept, and put together; held against exact counts of the whole."""
+    lines = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_quantity", "l_extendedprice", "l_returnflag", "l_partkey", F.when(F.col("l_linenumber") > 1, F.col("l_tax")).alias("l_tax"))
+    cols = lines.columns[1:]
+    q.partial_profiles(lines, "lineitem", F.date_format("l_shipdate", "yyyy-MM")).write.parquet(path := folder(spark, "profiles"))
+    united = q.united_profile(spark.read.parquet(path)).filter(F.col("column") != "l_shipdate")
+    exact = aggregates.distinct_counts(lines, cols).withColumnRenamed("n_distinct", "exact")
+    numbers = [c for c in cols if c != "l_returnflag"]
+    med = united.agg(F.map_from_entries(F.collect_list(F.struct("column", "median"))).alias("m"))  # one row
+    below = lines.crossJoin(F.broadcast(med)).agg(*[F.struct(F.lit(c).alias("column"), F.count_if(F.col(c) < F.col("m")[c]).alias("under"), F.count_if(F.col(c) <= F.col("m")[c]).alias("upto"), F.count(c).alias("known")).alias(f"s{i}") for i, c in enumerate(numbers)])
+    ranks = below.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(numbers))])))
+    error = q.SKETCH_ERROR
+    near = (F.col("under") <= (0.5 + error) * F.col("known")) & (F.col("upto") >= (0.5 - error) * F.col("known"))
+    out = united.join(F.broadcast(exact), "column").join(F.broadcast(ranks), "column", "left")
+    return out.select("column", "rows", "nulls", "min_value", "max_value", F.round("mean_length", 8).alias("mean_length"), (F.abs(F.col("n_distinct") - F.col("exact")) <= 1 + error * F.col("exact")).alias("distinct_near"), near.alias("median_near"))
+
+
 @query("select sum(n)::bigint as rows, (sum(n) - count(*))::bigint as duplicates, 0::bigint as missing, 0.0::double as missing_percent from (select l_returnflag, l_linestatus, count(*) as n from lineitem group by 1, 2)")
 def run_report(spark, sf_dir):
     return q.run_report(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity").drop("l_quantity").withColumn("n", F.lit(1)), "lineitem", RUN)[2].withColumn("missing_percent", F.col("missing_percent").cast("double"))
