@@ -49,6 +49,20 @@ def test_grouped_percentiles(spark, monkeypatch):
     assert aggregates.grouped_percentiles(spark.createDataFrame([], "g string, v double"), ["g"], "v", p).count() == 0
 
 
+def test_percentiles_of_columns(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "ACCURACY", 100)
+    rnd = np.random.default_rng(5)
+    rows = [(float(a), int(b), None, float(c) if c < 1 else math.nan if c > 2 else math.inf) for a, b, c in zip(rnd.normal(0, 9, 20_000), rnd.integers(0, 4, 20_000), rnd.exponential(1, 20_000), strict=True)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double").repartition(6)
+    p = [0.0, 0.1, 0.5, 0.75, 1.0]
+    out = {r.column: r.q for r in aggregates.percentiles(df, {c: F.col(c) for c in "abcd"}, p).collect()}
+    assert set(out) == {"a", "b", "d"}
+    for c, k in (("a", 0), ("b", 1)):
+        assert out[c] == pytest.approx(np.quantile([r[k] for r in rows], p).tolist(), rel=1e-12)
+    own = sorted((r[3] for r in rows), key=lambda v: (math.isnan(v), v))
+    assert out["d"][:2] == pytest.approx([own[0], own[1999] + 0.9 * (own[2000] - own[1999])]) and math.isnan(out["d"][4])
+
+
 def test_no_group_of_the_baseline_is_held_in_one_task(spark):
     rows = [("hot", i, float(i % 977)) for i in range(9000)] + [(f"p{i % 40}", i, float(i)) for i in range(18000)]
     metrics = spark.createDataFrame(rows, "pipeline_name string, error_count long, latency_ms double")
