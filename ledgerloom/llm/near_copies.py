@@ -1,7 +1,8 @@
 """Near copies by the shared part of their word shingles: five words, Jaccard similarity 0.8 or more, links followed on.
 
 Distinct sets of shingles get a SimHash of 256 bits. Sets are dealt into tiles by classes of their size: a pair at the
-least similarity is in one class or in neighbouring ones, and only those tiles meet. Sketches within the radius make
+least similarity is in one class or in neighbouring ones, and only those tiles meet, but for pairs whose population counts
+differ beyond the radius. Sketches within the radius make
 candidate groups (thinned links, so that a large group costs no square of rows); inside each group, cut into blocks of
 bounded size, all pairs of sets are compared exactly, and only pairs at the least similarity are linked.
 """
@@ -11,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -26,6 +26,8 @@ LEAST = (4, 5)
 RADIUS, FIRST_RADIUS = 64, 24
 #: Sizes of a class of sizes differ by less than this ratio, which is over 5 / 4.
 RATIO = 1.26
+#: What a tile has of each set; columns of a tile; most bands of a class, each of which meets each.
+NAMES, TILED, BANDS = ("set_id", "n", "w0", "w1", "w2", "w3"), ("tile", "low", "high", "own"), 32
 #: Sketches of a tile; sets and shingles of a block.
 TILE, BLOCK, BLOCK_SHINGLES = 8192, 512, 1 << 19
 #: A table of members up to this number of rows is broadcast.
@@ -94,35 +96,54 @@ def close(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> tuple[np.ndarra
 
 
 def candidate_links(sets: DataFrame, tile: int = TILE) -> DataFrame:
-    """Links (a, b) between set_ids that span the groups of sketches within the radius. sets: a stored table."""
-    spark = sets.sparkSession
+    """Links (a, b) between set_ids that span the groups of sketches within the radius. sets: a stored table.
+
+    The tiles of a class lie in at most BANDS bands. What meets are bands, those of a class with each other and with those
+    of the next class, so a tile travels a bounded number of times, however many tiles there are.
+    """
     kept = sets.filter("n > 0").withColumn("class", F.floor(F.log("n") / float(np.log(RATIO))).cast("int"))
     # a class for each 26 % of size: about 100 for any text that fits in memory
     classes = kept.groupBy("class").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     dealt = kept.join(F.broadcast(classes), "class").withColumn("tile", F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int"))
-    names = ("set_id", "n", "w0", "w1", "w2", "w3")
-    tiles = staged(dealt.groupBy("class", "tile").agg(F.collect_list(F.struct(*names)).alias("own")), "tiles")
-    known = tiles.groupBy("class").agg((F.max("tile") + 1).alias("tiles"))
-    sent = (
-        tiles.select(F.col("class").alias("from_class"), F.col("tile").alias("from_tile"), F.col("own").alias("others"), F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"))
-        .join(F.broadcast(known), "class")
-        .withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .filter((F.col("from_class") != F.col("class")) | (F.col("from_tile") <= F.col("tile")))
-        .select("class", "tile", "others")
-    )
-    flat = lambda c, p: [F.col(f"{c}.{n}").alias(f"{p}{n}") for n in names]
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.to_dict("records"):
-                # numpy counts the bits of absolute values, so words go without sign
-                a, b = ({n: np.asarray(row[p + n], np.int64).view(np.uint64 if n[0] == "w" else np.int64) for n in names} for p in ("a_", "b_"))
-                left, right = close(a, b)
-                yield pd.DataFrame({"a": left, "b": right})
-
-    slots = spark.sparkContext.defaultParallelism
-    pairs = sent.join(tiles, ["class", "tile"]).select(*flat("others", "a_"), *flat("own", "b_")).repartition(max(slots * 4, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return pairs.mapInPandas(compare, "a long, b long").distinct()
+
+    def pack(group: pa.Table) -> pa.Table:
+        words = {n: group.column(n).to_numpy() for n in NAMES}
+        counts = np.bitwise_count(words["w0"].view(np.uint64))
+        own = np.stack([words[n].view(np.int64) for n in NAMES]).tobytes()
+        one = {"class": group.column("class").slice(0, 1), "tile": group.column("tile").slice(0, 1)}
+        return pa.table(one | {"low": pa.array([int(counts.min())], pa.int32()), "high": pa.array([int(counts.max())], pa.int32()), "own": pa.array([own], pa.binary())})
+
+    tiles = staged(dealt.groupBy("class", "tile").applyInArrow(pack, "class int, tile int, low int, high int, own binary"), "tiles")
+    bands = F.broadcast(classes.select("class", F.least("tiles", F.lit(BANDS)).alias("bands")))
+    placed = tiles.join(bands, "class").withColumn("band", F.pmod("tile", "bands"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    mine = [F.col("class").alias("a"), F.col("class").alias("b")]
+    inside = placed.withColumn("other", every(F.col("bands"))).select(*mine, F.least("band", "other").alias("p"), F.greatest("band", "other").alias("q"), (F.col("band") > F.col("other")).alias("right"), *TILED)
+    up = placed.join(bands.select((F.col("class") - 1).alias("class"), F.col("bands").alias("others")), "class").withColumn("other", every(F.col("others")))
+    down = placed.join(bands.select((F.col("class") + 1).alias("class"), F.col("bands").alias("others")), "class").withColumn("other", every(F.col("others")))
+    lefts = up.select(F.col("class").alias("a"), (F.col("class") + 1).alias("b"), F.col("band").alias("p"), F.col("other").alias("q"), F.lit(False).alias("right"), *TILED)
+    rights = down.select((F.col("class") - 1).alias("a"), F.col("class").alias("b"), F.col("other").alias("p"), F.col("band").alias("q"), F.lit(True).alias("right"), *TILED)
+
+    def compare(group: pa.Table) -> pa.Table:
+        a, b, p, q = (group.column(n)[0].as_py() for n in "abpq")
+        held: dict[bool, list] = {False: [], True: []}
+        for right, number, low, high, own in zip(*(group.column(n).to_pylist() for n in ("right", *TILED)), strict=True):
+            # numpy counts the bits of absolute values, so words go without sign
+            rows = dict(zip(NAMES, np.frombuffer(own, np.int64).reshape(len(NAMES), -1), strict=True))
+            held[right].append((number, low, high, {n: x.view(np.uint64) if n[0] == "w" else x for n, x in rows.items()}))
+        alone = a == b and p == q
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, low, high, x in held[False]:
+            for j, other_low, other_high, y in held[False] if alone else held[True]:
+                if (alone and j < i) or low - other_high > FIRST_RADIUS or other_low - high > FIRST_RADIUS:
+                    continue
+                found = close(x, y)
+                left.append(found[0])
+                right.append(found[1])
+        x, y = thinned(np.concatenate(left), np.concatenate(right))
+        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+
+    return inside.unionByName(lefts).unionByName(rights).groupBy("a", "b", "p", "q").applyInArrow(compare, "a long, b long").distinct()
 
 
 def alike(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -194,6 +215,7 @@ def grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The columns of `docs` for one document of each group of near copies, as in simhash.keep_one(). Texts without words
-    are copies of each other, and so are null texts."""
+    are copies of each other, and so are null texts. Texts of any length are compared whole; columns of `docs` may have any
+    names; an empty table gives no rows."""
     narrow = docs.select(F.col(f"`{key}`").alias("own_key"), F.xxhash64(F.col(f"`{text}`")).alias("own_hash"), F.col(f"`{text}`").alias("own_text"))
     return keep_first(docs, staged(grouped(narrow, "own_key", "own_text"), "groups"), key, text)
