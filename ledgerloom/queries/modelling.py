@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import ml
 from ..plans.steps import run_steps
 from ..sources.folders import work_folder
-from ..streaming import streams
+from ..streaming import retention, streams
 from .base import AS_OF, LEADS_SQL, leads, query, table
 from .scores import RULES, SCORE_SQL
 
@@ -97,6 +97,35 @@ def event_stream(spark, sf_dir):
     return drained(stream.select("event_id", "user_id", "event_type"), "events")
 
 
+#: Text that both engines read: the batch that an event comes in first (one of three, by day; a third of them one later).
+BATCH = "least(2, (day(ts) - 1) // 10) + case when event_id % 3 = 0 then 1 else 0 end"
+
+
+@query(f"""
+    with own as (select event_id, cast(ts as timestamp) as ts, {BATCH} as batch from events where event_id is not null and ts is not null),
+    came as (select *, event_id % 16 as slot from (select * from own union all select event_id, ts, batch + 1 from own where event_id % 7 = 0)),
+    newest as (select slot, batch, max(max(ts)) over (partition by slot order by batch rows between unbounded preceding and 1 preceding) as before from came group by 1, 2),
+    judged as (select c.*, coalesce(c.ts < n.before - interval 3 day, false) as late from came c join newest n on c.slot = n.slot and c.batch = n.batch),
+    kept as (select event_id, slot, min(ts) as ts from judged where not late group by 1, 2),
+    last as (select slot, max(ts) as ts from came group by 1)
+    select kind, event_id from (select 'late' as kind, event_id from judged where late union all select 'kept', event_id from kept union all select 'expired', k.event_id from kept k join last l on k.slot = l.slot where k.ts < l.ts - interval 3 day)
+""")
+def retained_events(spark, sf_dir):
+    """Events come in five batches, each a restart of the stream: a third one batch late, a seventh twice."""
+    folder = work_folder(spark, "retained")
+    e = table(spark, sf_dir, "events").filter("event_id is not null and ts is not null").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    own = e.withColumn("batch", F.expr(BATCH.replace("//", "div")))
+    came = own.unionByName(own.filter("event_id % 7 = 0").withColumn("batch", F.col("batch") + 1))
+    came.write.partitionBy("batch").parquet(f"{folder}/all")
+    whole = spark.read.parquet(f"{folder}/all")
+    with retention.rocksdb(spark):
+        for batch in range(5):
+            whole.filter(F.col("batch") == batch).drop("batch").write.mode("append").parquet(f"{folder}/in")
+            stream = retention.retained(spark.readStream.schema(e.schema).parquet(f"{folder}/in"), "event_id", "ts", F.pmod("event_id", F.lit(16)), "3 days")
+            stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    return spark.read.schema(retention.OUT).parquet(f"{folder}/out").select("kind", "event_id")
+
+
 def events_schema(spark, sf_dir):
     return table(spark, sf_dir, "events").schema
 

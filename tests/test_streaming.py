@@ -90,3 +90,30 @@ def test_a_batch_that_is_run_again(spark, tmp_path):
     assert run_latest(spark, tmp_path, "check") == want and sorted(p.name for p in (tmp_path / "out/log").glob("*.json")) == before
     shutil.rmtree(tmp_path / "check")
     assert run_latest(spark, tmp_path, "check") == want
+
+
+def test_retention_of_a_slot():
+    """Batches of one slot, without a stream: what is kept, late, repeated and expired."""
+    import pandas as pd
+
+    from ledgerloom.streaming.retention import Retention
+
+    class State:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, value):
+            self.value = value
+
+    slot = Retention(100)
+    slot.state = State()
+
+    def batch(*chunks):
+        frames = [pd.DataFrame(c, columns=["event_id", "us"]) for c in chunks]
+        return [(r.kind, r.event_id, r.ts.value // 1000) for out in slot.handleInputRows((0,), iter(frames), None) for r in out.itertuples()]
+
+    assert batch([(1, 1000), (2, 1010), (1, 1000)], [(2, 1010), (3, 500)]) == [("kept", 1, 1000), ("kept", 2, 1010), ("kept", 3, 500), ("expired", 3, 500)]
+    assert batch([(3, 500), (4, 909), (5, 910), (1, 1000)]) == [("late", 3, 500), ("late", 4, 909), ("kept", 5, 910)]
+    assert batch([(6, 1105)]) == [("kept", 6, 1105), ("expired", 1, 1000), ("expired", 5, 910)]
+    assert batch([(2, 1010), (1, 1000), (7, 1005)]) == [("late", 1, 1000), ("kept", 7, 1005)]
