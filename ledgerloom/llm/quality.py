@@ -130,7 +130,8 @@ def quality(docs: DataFrame, text: str = "text", rules: QualityRules = RULES) ->
     """`docs` with its measures, the cleaned text and the verdict `kept`, row by row.
 
     A null text has no words, fails the base rules and has a null clean_text. Columns of `docs` with the names of the
-    measures get an underscore before them; if `text` is one of those, it is still the one that is read. Repeated rows are judged alike; texts of any length are judged whole.
+    measures get an underscore before them; if `text` is one of those, it is still the one that is read. Repeated rows are judged alike; texts of any length are judged whole; an empty table
+    gives no rows.
     """
     names = [n for n, _ in MEASURES]
     docs, moved = unclash(docs, names)

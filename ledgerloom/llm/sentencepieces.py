@@ -235,7 +235,8 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataF
     an id: source bytes) and decoded (the library's decoding of the ids), row by row.
 
     A null or empty text has the two outer ids alone. Columns of `docs` named like the new ones get an underscore
-    before them; if `text` is one of those, it is still the one that is read. The model's bytes go to the executors with the job, so they need not hold the file.
+    before them; if `text` is one of those, it is still the one that is read. Texts of any length are encoded whole, repeated rows get a
+    row each, and an empty table gives no rows. The model's bytes go to the executors with the job, so they need not hold the file.
     """
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())  # the file of one vocabulary: well under 10 MB

@@ -204,7 +204,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, budget: int = 512, text:
 
     A null text counts as empty. Special strings inside a text count as the library's default has it, one token each.
     Columns of `docs` named like the new ones get an underscore before them; if `text` is one of those, it is still the
-    one that is read. Texts of any length are counted whole.
+    one that is read. Texts of any length are counted whole; repeated rows get a row each; an empty table gives no rows.
     """
     with open(vocabulary_path, encoding="utf-8") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())  # the file of one vocabulary: well under 10 MB

@@ -110,7 +110,8 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: list[UrlRule] | DataF
     Rules are a list or, in any number, a table (see rule_table). Null URLs and those without :// have an empty host and
     path, and get the default. Equal addresses are judged once, however many rows have them. Rules without any literal
     token are tried on every address; there may be 20,000 of them. Columns of `pages` named like the new ones get an
-    underscore before them; if `url` is one of those, it is still the one that is read.
+    underscore before them; if `url` is one of those, it is still the one that is read. URLs of any length are judged whole;
+    an empty table gives no rows.
     """
     spark = pages.sparkSession
     pages, moved = unclash(pages, [*OUT, "address", "judged"])
