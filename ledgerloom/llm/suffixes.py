@@ -342,7 +342,9 @@ def write_runs(docs: DataFrame, path: str, buckets: int, run_bytes: int) -> Data
     spark = docs.sparkSession
     with small_batches(spark):
         docs.mapInArrow(build, "run long, docs binary, sizes binary, data binary").write.bucketBy(buckets, "run").option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    runs = spark.table(name)
+    spark.sql(f"drop table {name}")  # its files stay: the name was only needed for the buckets
+    return runs
 
 
 def beside(runs: DataFrame, rows: DataFrame, buckets: int, *columns: str) -> DataFrame:
