@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import time
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .aggregates import grouped_percentiles
 
@@ -62,11 +65,30 @@ def alerts(metrics: DataFrame, anomalies: DataFrame | None = None, pipeline: str
 
 
 def run_metrics(df: DataFrame, name: str, started: float, ended: float, bad: str = "false") -> DataFrame:
-    """One row of a job's output: rows, error rows, seconds, success rate and throughput.
+    """One row of a job's output: rows, error rows, seconds, success rate and throughput, by one aggregate over a table
+    that is there; `write_measured` takes them from the write."""
+    return df.agg(F.count("*").alias("records_processed"), F.count_if(F.expr(bad)).alias("error_count")).select(*metric_columns(name, ended - started))
+
+
+def metric_columns(name: str, seconds: float) -> list[Column]:
+    """A job's metrics from records_processed and error_count."""
+    n, errors, seconds = F.col("records_processed"), F.col("error_count"), max(seconds, 1e-9)
+    return [F.lit(name).alias("pipeline_name"), n, errors, F.lit(seconds).alias("processing_time_seconds"), F.when(n > 0, (n - errors) / n).otherwise(1.0).alias("success_rate"), (n / F.lit(seconds)).alias("throughput_records_per_sec")]
+
+
+def write_measured(spark: SparkSession, build: Callable[[SparkSession], DataFrame], path: str, name: str, bad: str = "false", mode: str = "errorifexists") -> DataFrame:
+    """Writes what `build(session)` gives as Parquet, and returns the job's metrics as run_metrics() does. They are observed
+    while the rows are written, so nothing is read twice.
 
-    One aggregate over the written table; an Observation would spare it, but in Spark 4.1 a session that has used one can
-    no longer send fitted forests to its executors.
+    The job runs in a session of its own with this one's settings (temporary views are not shared): in Spark 4.1 a session
+    that has been observed can no longer send fitted forests to its executors.
     """
-    seconds = max(ended - started, 1e-9)
-    n, errors = F.count("*"), F.count_if(F.expr(bad))
-    return df.agg(F.lit(name).alias("pipeline_name"), n.alias("records_processed"), errors.alias("error_count"), F.lit(seconds).alias("processing_time_seconds"), F.when(n > 0, (n - errors) / n).otherwise(1.0).alias("success_rate"), (n / F.lit(seconds)).alias("throughput_records_per_sec"))
+    own, seen = spark.newSession(), Observation(name)
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    began = time.perf_counter()
+    build(own).observe(seen, F.count(F.lit(1)).alias("records_processed"), F.count_if(F.expr(bad)).alias("error_count")).write.mode(mode).parquet(path)
+    seconds, facts = time.perf_counter() - began, seen.get
+    one = spark.range(1).select(F.lit(facts["records_processed"]).cast("long").alias("records_processed"), F.lit(facts["error_count"]).cast("long").alias("error_count"))
+    return one.select(*metric_columns(name, seconds))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import standardise as s, validate as v
 from ..operators import aggregates, joins, monitoring, quality as q, restructure, schema, scoring
+from ..sources.folders import work_folder as folder
 from .base import AS_OF, LEADS_SQL, leads, query, table
 from .cleaning import CNPJ_SQL, CPF_SQL
 from .quality import METRICS_SQL, day_metrics
@@ -213,6 +214,15 @@ def job_metrics(spark, sf_dir):
     return monitoring.run_metrics(table(spark, sf_dir, "events"), "events", 0.0, 1.0, "value < 5").select("records_processed", "error_count", "success_rate")
 
 
+@query("select 'big' as pipeline_name, count(*) as records_processed, count(*) filter (where l_quantity < 10) as error_count, (count(*) - count(*) filter (where l_quantity < 10)) / count(*) as success_rate, count(*) as written from lineitem where l_extendedprice > 20000")
+def observed_job(spark, sf_dir):
+    """Metrics taken while a job's rows are written, beside the rows that it wrote."""
+    build = lambda session: table(session, sf_dir, "lineitem").filter("l_extendedprice > 20000")
+    done = monitoring.write_measured(spark, build, path := folder(spark, "observed"), "big", "l_quantity < 10")
+    written = spark.read.parquet(path).agg(F.count("*").alias("written"))  # one row, from the files' footers
+    return done.select("pipeline_name", "records_processed", "error_count", "success_rate").crossJoin(F.broadcast(written))
+
+
 @query("select 'customer' as source, 2::bigint as columns, count(*) as rows, true as changed from customer union all select 'customer', 3, count(*), false from customer")
 def profile_history(spark, sf_dir):
     c = table(spark, sf_dir, "customer")

@@ -76,10 +76,18 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: str | None = None, partition: tuple[str, int, int, int] | None = None, limit: int | None = None, offset: int | None = None, **options: str) -> DataFrame:
-    """A table or query; partition: column, lower and upper bound and number of parallel reads."""
-    reader = spark.read.format("jdbc").options(url=url, **options)
-    reader = reader.option("dbtable", table if table else f"({query}) q")
+def read_jdbc(
+    spark: SparkSession, url: str, table: str | None = None, query: str | None = None, partition: tuple[str, int, int, int] | None = None, limit: int | None = None, offset: int | None = None,
+    parallel: tuple[str, int] | None = None, **options: str,
+) -> DataFrame:
+    """A table or query. parallel: a whole-number column and the number of parallel reads; its ends are asked of the
+    database first. partition: column, lower and upper bound and number of reads, where they are known."""
+    source = table if table else f"({query}) q"
+    if parallel and not partition:
+        column, n = parallel
+        low, high = spark.read.format("jdbc").options(url=url, **options).option("dbtable", f"(select min({column}) a, max({column}) b from {source}) ends").load().first()
+        partition = None if low is None else (column.strip('"'), int(low), int(high) + 1, n)
+    reader = spark.read.format("jdbc").options(url=url, **options).option("dbtable", source)
     if partition:
         reader = reader.options(partitionColumn=partition[0], lowerBound=partition[1], upperBound=partition[2], numPartitions=partition[3])
     df = reader.load()

@@ -207,3 +207,15 @@ def test_united_profiles_equal_the_whole(spark):
     some = quality.united_profile(parts.filter("load between '1995-01' and '1995-06'"))
     assert {r.rows for r in some.collect()} == {df.filter("l_shipdate >= '1995-01-01' and l_shipdate < '1995-07-01'").count()}
     assert united["empty"].median is None and abs(united["l_quantity"].median - 25) <= 3
+
+
+def test_metrics_are_observed_while_a_job_writes(spark, tmp_path):
+    build = lambda session: session.range(1000).withColumn("even", F.col("id") % 2 == 0)
+    done = monitoring.write_measured(spark, build, str(tmp_path / "out"), "job", "even").first()
+    assert (done.pipeline_name, done.records_processed, done.error_count, done.success_rate) == ("job", 1000, 500, 0.5)
+    assert done.throughput_records_per_sec > 0 and spark.read.parquet(str(tmp_path / "out")).count() == 1000
+    empty = monitoring.write_measured(spark, lambda session: build(session).limit(0), str(tmp_path / "none"), "job", "even").first()
+    assert (empty.records_processed, empty.success_rate) == (0, 1.0)
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 2)) for i in range(200)], "id int, x double, label double")
+    model, _ = ml.train_forest(df, "label", "id", ["x"], 3)  # a session that was observed itself could not
+    assert model.transform(ml.prepared(df, ["x"], [])).count() == 200

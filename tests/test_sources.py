@@ -91,6 +91,10 @@ def test_tables_of_a_database(spark):
     assert whole.count() == 53
     parts = readers.read_jdbc(spark, url, table="leads", partition=("id", 0, 50, 4), **driver)
     assert parts.rdd.getNumPartitions() == 4 and sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
+    own = readers.read_jdbc(spark, url, table="leads", parallel=('"id"', 4), **driver)
+    assert own.rdd.getNumPartitions() == 4 and sorted(map(tuple, own.collect())) == sorted(map(tuple, whole.collect()))
+    none = readers.read_jdbc(spark, url, query='select "id" from leads where "id" < 0', parallel=('"id"', 4), **driver)
+    assert none.count() == 0
     asked = readers.read_jdbc(spark, url, query='select "id" from leads where "id" >= 40', limit=5, **driver)
     assert asked.count() == 5 and all(r[0] >= 40 for r in asked.collect())
 
