@@ -42,6 +42,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_digest(sentencepieces.encode_pieces(docs, public_tokenizers.path(PIECES)))
 
 
+def normalised_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4 with a character map in the model (nmt_nfkc), which the given model lacks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces_digest(sentencepieces.encode_pieces(docs, public_tokenizers.path(PIECES), rule="nmt_nfkc"))
+
+
 def pieces_digest(encoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, the hashes of ids and decoded text, and the hash of the spans (two unsigned 32-bit integers an id)."""
     hashes = [F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), F.sha2("spans", 256).alias("spans_sha256")]
@@ -119,7 +125,7 @@ def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_topk, op3_quality, op4_sentencepiece, op5_token_counts, op6_url_filters, op7_simhash, op8_mixing, op9_chat, op10_token_store, op11_periodic_runs, op12_suffix_dedup, op13_resampling, quoted_chat)
+    f.__name__: f for f in (op1_sharding, op2_topk, op3_quality, op4_sentencepiece, op5_token_counts, op6_url_filters, op7_simhash, op8_mixing, op9_chat, op10_token_store, op11_periodic_runs, op12_suffix_dedup, op13_resampling, quoted_chat, normalised_pieces)
 }
 
 _LIST = ", ".join(f"({i}, '{r.name}', '{r.verdict}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}')" for i, r in enumerate(url_filters.LIST))

@@ -60,6 +60,20 @@ class CharMap:
         root = self.offset(self.units[0]) if self.units else 0
         self.first = {b for b in range(1, 256) if (root ^ b) < len(self.units) and self.label(self.units[root ^ b]) == b}
 
+        # letters and marks that stay as they are before another of them: no key has two of them at its front
+        stays = [b for b in range(33, 127) if self.longest(bytes([b]), 0)[0] == 0 or self.longest(bytes([b]), 0) == (1, bytes([b]))]
+        stays = [b for b in stays if not any(self.reaches(b, c) for c in stays)]
+        some = b"".join(b"\\x%02x" % b for b in stays)
+        self.run = re.compile(b"[%s]+(?=[%s])" % (some, some)) if stays else re.compile(b"(?!)")
+
+    def reaches(self, a: int, b: int) -> bool:
+        """Whether some key begins with these two bytes."""
+        if a not in self.first:
+            return False
+        node = self.offset(self.units[0]) ^ a
+        node ^= self.offset(self.units[node]) ^ b
+        return node < len(self.units) and self.label(self.units[node]) == b
+
     @staticmethod
     def offset(unit: int) -> int:
         return unit >> 10 << ((unit & 1 << 9) >> 6)
@@ -115,7 +129,12 @@ class Normaliser:
         space = MARK if self.escape else b" "
         out, places, at = bytearray(), [], 0
         parts: list[tuple[int, int, bytes]] = []  # source place, its bytes, what they become
+        run, runs = (self.charmap.run, set()) if self.charmap else (None, set())
         while at < len(data):
+            if run and (own := run.match(data, at)):
+                parts.append((at, own.end() - at, own[0]))
+                runs.add(at)
+                at = own.end()
             n, to = self.charmap.longest(data, at) if self.charmap else (0, b"")
             if not n:
                 n = 1 if data[at] < 0x80 else 2 if data[at] < 0xE0 else 3 if data[at] < 0xF0 else 4
@@ -138,6 +157,11 @@ class Normaliser:
             put(space, begin)
         blank = self.squeeze
         for place, _, to in parts:
+            if place in runs:
+                out.extend(to)
+                places.extend(range(place, place + len(to)))
+                blank = False
+                continue
             if self.squeeze and blank:
                 to = to.lstrip(b" ")
             if to:
@@ -230,16 +254,25 @@ def piece_codec(model: bytes) -> Codec:
 OUT = ("ids", "spans", "decoded")
 
 
-def encode_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+def with_map(model: bytes, rule: str) -> bytes:
+    """A model with the compiled character map of one of the library's rules (nfkc, nmt_nfkc, ...) in place of its own."""
+    import sentencepiece
+
+    return model + sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto()
+
+
+def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", rule: str | None = None) -> DataFrame:
     """`docs` with ids (little-endian unsigned 32-bit integers, begin and end ids included), spans (two such integers
     an id: source bytes) and decoded (the library's decoding of the ids), row by row.
 
     A null or empty text has the two outer ids alone. Columns of `docs` named like the new ones get an underscore
-    before them; if `text` is one of those, it is still the one that is read. Texts of any length are encoded whole, repeated rows get a
+    before them; if `text` is one of those, it is still the one that is read. `rule` puts a character map of
+    the library's in place of the model's. Texts of any length are encoded whole, repeated rows get a
     row each, and an empty table gives no rows. The model's bytes go to the executors with the job, so they need not hold the file.
     """
     with open(model_path, "rb") as f:
-        model = docs.sparkSession.sparkContext.broadcast(f.read())  # the file of one vocabulary: well under 10 MB
+        own_model = f.read() if rule is None else with_map(f.read(), rule)
+    model = docs.sparkSession.sparkContext.broadcast(own_model)  # the file of one vocabulary: well under 10 MB
     docs, moved = unclash(docs, OUT)
     text = column_after(moved, text)
     schema = T.StructType([*docs.schema, *T._parse_datatype_string("ids binary, spans binary, decoded string")])
