@@ -41,6 +41,8 @@ RUN_BYTES, RANGE_BYTES, PRINTS = 8 << 20, 8 << 20, 1 << 20
 SAMPLED_RUNS, SAMPLES = 64, 1000
 #: Least ranges, so that all cores have some; blocks of one anchor that are compared in place.
 LEAST_RANGES, LARGE = 48, 5000
+#: Spark takes so many buckets and no more; beyond 3 TB of text they hold more runs each, one after the other.
+MOST_BUCKETS = 100_000
 CHUNK = 1 << 18
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -380,7 +382,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", run
     short = plain.filter(~taken).select(F.col("doc").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), raw.alias("kept"), F.lit(b"").alias("spans"))
     if not total:
         return short
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * run_bytes)))
+    buckets = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * run_bytes))))
     runs = write_runs(plain.filter(taken), new_folder(spark, "runs"), buckets, run_bytes)
     ranges = max(LEAST_RANGES, -(-total // (14 * PRINTS)))
 
