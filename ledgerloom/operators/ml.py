@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import math
+from collections.abc import Iterator
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -17,6 +21,24 @@ from .forests import FourierFeatures
 
 #: Texts that mean a good lead.
 POSITIVE = ("alta", "sim", "1", "high")
+#: Rows of a partition of training data. A forest of 100 trees keeps 1 to 2 kB a row, so a task reads some tens of MB of them.
+ROWS = 25_000
+
+
+@contextlib.contextmanager
+def dealt(df: DataFrame, *cols: str, by: list[str] | None = None) -> Iterator[DataFrame]:
+    """These columns of all rows, kept while a model is fitted, in partitions of about ROWS rows each: a file may come as one
+    partition, however large it is. Rows are dealt by the hash of these columns, or of those `by` that hashes take (so that rows
+    alike in few columns are spread), and put in order, so fits don't depend on how the table lies."""
+    own = [F.col(f"`{c}`") for c in dict.fromkeys(cols)]
+    placed = set(by or cols)
+    place = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if c in placed and "map<" not in t and t != "variant"])
+    parts = max(1, math.ceil(df.count() / ROWS))
+    data = df.select(*own, place.alias("_place")).repartition(parts, "_place").sortWithinPartitions(*own).drop("_place").persist()
+    try:
+        yield data
+    finally:
+        data.unpersist()
 
 
 def label_of(col: str):
@@ -117,11 +139,13 @@ def train_ltv(df: DataFrame, target: str, key: str, numbers: list[str], trees: i
     """M5: a forest of regressions; MAE, MAPE over values that aren't 0, and quartiles of the predictions. Every split chooses
     among all columns, as the reference's regressor does: of a third of a few columns it would often see noise alone."""
     data = prepared(df, numbers, []).withColumn("label", F.col(target).cast("double")).filter("label is not null")
-    train, test = split(data, key, "label")
-    model = Pipeline(stages=[VectorAssembler(inputCols=numbers, outputCol="features"), RandomForestRegressor(labelCol="label", numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=42)]).fit(train)
-    out = model.transform(test)
-    facts = out.agg(F.avg(F.when(F.col("label") != 0, F.abs((F.col("label") - F.col("prediction")) / F.col("label")))).alias("mape"), F.percentile("prediction", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).first()
-    return model, {"mae": RegressionEvaluator(metricName="mae").evaluate(out), "mape": facts["mape"], "quartiles": facts["q"]}
+    stages = [VectorAssembler(inputCols=numbers, outputCol="features"), RandomForestRegressor(labelCol="label", numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=42)]
+    with dealt(data, key, *numbers, "label") as kept:
+        train, test = split(kept, key, "label")
+        model = Pipeline(stages=stages).fit(train)
+        out = model.transform(test)
+        facts = out.agg(F.avg(F.when(F.col("label") != 0, F.abs((F.col("label") - F.col("prediction")) / F.col("label")))).alias("mape"), F.percentile("prediction", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).first()
+        return model, {"mae": RegressionEvaluator(metricName="mae").evaluate(out), "mape": facts["mape"], "quartiles": facts["q"]}
 
 
 def segment(df: DataFrame, numbers: list[str], k: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -140,14 +164,13 @@ def compare_models(df: DataFrame, label: str, key: str, numbers: list[str]) -> t
     """M8: random forest, boosted trees, logistic regression, and support vector machines, linear and with a Gaussian kernel (of
     one over the number of columns), by random Fourier features; the best AUC wins."""
     data = prepared(df, numbers, []).withColumn("label", F.col(label).cast("double"))
-    train, test = split(data, key, "label")
-    train = train.persist()
     models = {"random_forest": RandomForestClassifier(numTrees=50, seed=42), "boosted_trees": GBTClassifier(maxIter=10, seed=42), "logistic": LogisticRegression(maxIter=50), "linear_svm": LinearSVC(maxIter=50)}
     stages = [VectorAssembler(inputCols=numbers, outputCol="_numbers"), StandardScaler(inputCol="_numbers", outputCol="features", withMean=True)]
-    fitted = {n: Pipeline(stages=[*stages, m]).fit(train) for n, m in models.items()}
-    fitted["rbf_svm"] = kernel_machine(numbers).fit(train)
-    train.unpersist()
-    scores = {n: auc(m.transform(test)) for n, m in fitted.items()}
+    with dealt(data, key, *numbers, "label") as kept:
+        train, test = split(kept, key, "label")
+        fitted = {n: Pipeline(stages=[*stages, m]).fit(train) for n, m in models.items()}
+        fitted["rbf_svm"] = kernel_machine(numbers).fit(train)
+        scores = {n: auc(m.transform(test)) for n, m in fitted.items()}
     best = max(scores, key=scores.get)
     return best, fitted[best], scores
 
@@ -188,7 +211,8 @@ def impute_model(df: DataFrame, target: str, numbers: list[str], least: int = 10
         one = percentiles(df, {"v": F.col(target)}, [0.5]).agg(F.max(F.col("q")[0]).alias("_v"))  # one row
         return df.crossJoin(F.broadcast(one)).withColumn(target, F.coalesce(F.col(target).cast("double"), "_v")).drop("_v")
     stages = [VectorAssembler(inputCols=numbers, outputCol="features"), RandomForestRegressor(labelCol=target, numTrees=10, maxDepth=3, featureSubsetStrategy="all", seed=42)]
-    model = Pipeline(stages=stages).fit(data.filter(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double")))
+    with dealt(data.filter(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double")), *numbers, target, by=df.columns) as kept:
+        model = Pipeline(stages=stages).fit(kept)
     keep = df.columns
     raw = [F.col(f"`{c}`").alias(f"_raw_{c}") for c in numbers]
     out = model.transform(prepared(df.select("*", *raw), numbers, []))

@@ -17,3 +17,49 @@ def noisy(spark):
 def test_regressions_choose_among_all_columns(noisy):
     _, facts = ml.train_ltv(noisy, "a", "id", list("abcdef"), trees=10)
     assert facts["mae"] < 2.5  # a tree of depth 5 cuts the range into 32 parts
+
+
+class Stop(Exception):
+    pass
+
+
+def fits(name, df):
+    y = df.withColumn("y", df.a > 50).withColumn("q", (df.a > 50).cast("int").cast("string"))
+    calls = {
+        "train_lead_model": lambda: ml.train_lead_model(y, "q", "id", ["a", "b"], []),
+        "train_forest": lambda: ml.train_forest(y, "y", "id", ["a", "b"], 3),
+        "train_ltv": lambda: ml.train_ltv(y, "a", "id", ["b", "c"], 3),
+        "compare_models": lambda: ml.compare_models(y, "y", "id", ["a", "b"]),
+        "tune": lambda: ml.tune(y, "y", ["a", "b"], parallelism=1),
+        "select_features": lambda: ml.select_features(y, "y", "id", ["a", "b"], 1),
+        "impute_model": lambda: ml.impute_model(y, "a", ["b", "c"]),
+    }
+    return calls[name]()
+
+
+@pytest.mark.parametrize("name", ["train_ltv", "compare_models", "impute_model"])
+def test_no_partition_holds_the_training_data(noisy, monkeypatch, name):
+    seen = []
+
+    def record(self, dataset, params=None):
+        seen.extend(dataset.rdd.glom().map(len).collect())
+        raise Stop
+
+    monkeypatch.setattr(ml, "ROWS", 100, raising=False)
+    monkeypatch.setattr(ml.Pipeline, "fit", record)
+    with pytest.raises(Stop):
+        fits(name, noisy)
+    assert 600 < sum(seen) <= 1000 and max(seen) < 200
+
+
+def test_fits_do_not_depend_on_how_a_table_lies(noisy, monkeypatch):
+    monkeypatch.setattr(ml, "ROWS", 100, raising=False)
+    one, two = (fits("compare_models", df)[2] for df in (noisy, noisy.repartition(7)))
+    assert one == two
+
+
+def test_rows_alike_in_the_columns_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(ml, "ROWS", 100, raising=False)
+    df = spark.range(1000).selectExpr("id", "1.0D as x")
+    with ml.dealt(df, "x", by=df.columns) as kept:
+        assert max(kept.rdd.glom().map(len).collect()) < 200
