@@ -92,10 +92,11 @@ def train_lead_model(df: DataFrame, target: str, key: str, numbers: list[str] |
     numbers = numbers if numbers is not None else [c for c in numeric(df) if c not in (target, key)]
     texts = texts if texts is not None else [c for c, t in df.dtypes if t == "string" and c not in (target, key)]
     data = with_weights(prepared(df.withColumn("label", label_of(target)), numbers, texts), "label")
-    train, test = split(data, key, "label")
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="_weight", numTrees=trees, maxDepth=depth, seed=42)
-    model = Pipeline(stages=[*feature_stages(train, numbers, texts), forest]).fit(train)
-    return model, {"auc": auc(model.transform(test)), "numbers": numbers, "texts": texts}
+    with dealt(data, key, *numbers, *texts, "label", "_weight") as kept:
+        train, test = split(kept, key, "label")
+        model = Pipeline(stages=[*feature_stages(train, numbers, texts), forest]).fit(train)
+        return model, {"auc": auc(model.transform(test)), "numbers": numbers, "texts": texts}
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -37,7 +37,7 @@ def fits(name, df):
     return calls[name]()
 
 
-@pytest.mark.parametrize("name", ["train_ltv", "compare_models", "impute_model"])
+@pytest.mark.parametrize("name", ["train_lead_model", "train_ltv", "compare_models", "impute_model"])
 def test_no_partition_holds_the_training_data(noisy, monkeypatch, name):
     seen = []
 
