@@ -191,7 +191,9 @@ def tune(df: DataFrame, label: str, numbers: list[str], grid: dict[str, list] |
     for name, values in (grid or {"numTrees": [20, 50], "maxDepth": [3, 5]}).items():
         build = build.addGrid(getattr(forest, name), values)
     own = Pipeline(stages=[VectorAssembler(inputCols=numbers, outputCol="features"), forest])
-    found = CrossValidator(estimator=own, estimatorParamMaps=build.build(), evaluator=BinaryClassificationEvaluator(), numFolds=folds, parallelism=parallelism, seed=42).fit(data)
+    search = CrossValidator(estimator=own, estimatorParamMaps=build.build(), evaluator=BinaryClassificationEvaluator(), numFolds=folds, parallelism=parallelism, seed=42)
+    with dealt(data, *numbers, "label", by=data.columns) as kept:
+        found = search.fit(kept)
     return found.bestModel, list(found.avgMetrics)
 
 

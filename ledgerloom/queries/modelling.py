@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ml
+from ..operators.aggregates import percentiles
 from ..plans.steps import run_steps
 from ..sources.folders import work_folder
 from ..streaming import retention, streams
@@ -15,11 +16,13 @@ NUMBERS = ["c_acctbal", "n_orders", "spent", "days_since"]
 
 
 def customers(spark, sf_dir):
-    """Customers with their orders in numbers; label: whether they spent more than the middle one."""
+    """Customers with their orders in numbers; label: whether they spent more than the middle one. The table is written once to
+    the shared folder, since models read it many times; the middle is found without a task that holds the column."""
     o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_orders"), F.sum("o_totalprice").alias("spent"), F.datediff(F.lit(AS_OF).cast("date"), F.max("o_orderdate")).alias("days_since"))
-    df = table(spark, sf_dir, "customer").join(o, "c_custkey", "left").fillna(0)
-    middle = df.agg(F.median("spent").alias("_m"))
-    return df.crossJoin(F.broadcast(middle)).withColumn("label", (F.col("spent") > F.col("_m")).cast("double")).drop("_m")
+    table(spark, sf_dir, "customer").join(o, "c_custkey", "left").fillna(0).write.parquet(path := work_folder(spark, "customers"))
+    df = spark.read.parquet(path)
+    middle = percentiles(df, {"spent": F.col("spent")}, [0.5]).agg(F.max(F.col("q")[0])).first()[0]
+    return df.withColumn("label", (F.col("spent") > F.lit(middle)).cast("double"))
 
 
 @query()

@@ -37,7 +37,7 @@ def fits(name, df):
     return calls[name]()
 
 
-@pytest.mark.parametrize("name", ["train_lead_model", "train_forest", "train_ltv", "compare_models", "select_features", "impute_model"])
+@pytest.mark.parametrize("name", ["train_lead_model", "train_forest", "train_ltv", "compare_models", "tune", "select_features", "impute_model"])
 def test_no_partition_holds_the_training_data(noisy, monkeypatch, name):
     seen = []
 
