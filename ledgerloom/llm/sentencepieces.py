@@ -60,19 +60,27 @@ class CharMap:
         root = self.offset(self.units[0]) if self.units else 0
         self.first = {b for b in range(1, 256) if (root ^ b) < len(self.units) and self.label(self.units[root ^ b]) == b}
 
-        # letters and marks that stay as they are before another of them: no key has two of them at its front
-        stays = [b for b in range(33, 127) if self.longest(bytes([b]), 0)[0] == 0 or self.longest(bytes([b]), 0) == (1, bytes([b]))]
-        stays = [b for b in stays if not any(self.reaches(b, c) for c in stays)]
-        some = b"".join(b"\\x%02x" % b for b in stays)
-        self.run = re.compile(b"[%s]+(?=[%s])" % (some, some)) if stays else re.compile(b"(?!)")
-
-    def reaches(self, a: int, b: int) -> bool:
-        """Whether some key begins with these two bytes."""
-        if a not in self.first:
-            return False
-        node = self.offset(self.units[0]) ^ a
-        node ^= self.offset(self.units[node]) ^ b
-        return node < len(self.units) and self.label(self.units[node]) == b
+        # letters and marks of one or two bytes that stay as they are before another of them, or before a single blank that
+        # stays: no key begins with one of them and the first byte of the other
+        stays = [x for x in map(str.encode, [*map(chr, range(33, 127)), *map(chr, range(0xC0, 0x800))]) if self.longest(x, 0) in ((0, b""), (len(x), x))]
+        heads = {x[:1] for x in stays if x[0] not in (0xCC, 0xCD)}  # those two lead combining marks
+        stays = [x for x in stays if x[:1] in heads and not any(self.reaches(x + h) for h in heads)]
+        inner = b" " if self.longest(b" ", 0) in ((0, b""), (1, b" ")) and not any(self.reaches(x + b" ") for x in stays) and not any(self.reaches(b" " + h) for h in heads) else b""
+        groups: dict[bytes, list[bytes]] = {}
+        for x in stays:
+            groups.setdefault(x[:-1], []).append(b"\\x%02x" % x[-1])
+        some = b"|".join(b"%s[%s]%s" % (b"\\x%02x" % h[0] if h else b"", b"".join(own), b"" if h else b"+") for h, own in groups.items())
+        self.run = re.compile(b"(?:%s)+(?: (?:%s)+)*(?=%s)" % (some, some, some + (b"| " if inner else b"")) if inner else b"(?:%s)+(?=%s)" % (some, some)) if stays else re.compile(b"(?!)")
+
+    def reaches(self, front: bytes) -> bool:
+        """Whether some key begins with these bytes."""
+        node = self.offset(self.units[0]) if self.units else 0
+        for b in front:
+            node ^= b
+            if node >= len(self.units) or self.label(unit := self.units[node]) != b:
+                return False
+            node ^= self.offset(unit)
+        return bool(self.units)
 
     @staticmethod
     def offset(unit: int) -> int:
@@ -158,8 +166,13 @@ class Normaliser:
         blank = self.squeeze
         for place, _, to in parts:
             if place in runs:
-                out.extend(to)
-                places.extend(range(place, place + len(to)))
+                if to.isascii() and b" " not in to:
+                    places.extend(range(place, place + len(to)))
+                else:
+                    own = np.frombuffer(to, np.uint8)
+                    begins = np.maximum.accumulate(np.where(own & 0xC0 == 0x80, 0, np.arange(place, place + len(to))))  # a letter's bytes have one place
+                    places.extend(np.repeat(begins, np.where(own == 0x20, len(space), 1)).tolist())
+                out.extend(to.replace(b" ", space))
                 blank = False
                 continue
             if self.squeeze and blank:

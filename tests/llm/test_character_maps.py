@@ -31,3 +31,15 @@ def test_query_with_a_map(spark):
     out = queries.normalised_pieces(spark, "/root/testdata/sf0.001").collect()
     assert len(out) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert len({r.ids_sha256 for r in out}) > 100 and all(len(r.spans_sha256) == len(hashlib.sha256().hexdigest()) for r in out)
+
+
+def test_runs_take_words_with_their_blanks():
+    with open(P.path("piece_bpe_32k.model"), "rb") as f:
+        own = sentencepieces.Normaliser.of(sentencepieces.with_map(f.read(), "nmt_nfkc"))
+    asked, longest = [], own.charmap.longest
+    own.charmap.longest = lambda data, at: asked.append(at) or longest(data, at)
+    text = "plain words and größere Wörter; слова тоже. " * 20
+    normal, places = own(text.encode())
+    assert normal == ("▁" + text.replace(" ", "▁")).encode()
+    assert places[-1] == len(text.encode()) and len(asked) < 10  # one by one, it would be hundreds
+    assert [int(x) for x in places[3:6]] == [0, 1, 2] and places[normal.index("ö".encode())] == places[normal.index("ö".encode()) + 1]
