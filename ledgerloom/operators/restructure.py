@@ -192,23 +192,19 @@ def explode_records(df: DataFrame, record_path: str, meta: list[str]) -> DataFra
 def json_structure(df: DataFrame, col: str, depth: int = 3) -> DataFrame:
     """(path, type, n): what stands at each path of JSON texts, down to `depth` levels of objects and arrays, and how often.
 
-    a.b is field b of the object a, a[] an element of the array a. Null texts and texts that are no JSON don't count. Each
-    level opens one more of the documents' levels, in the row.
+    a.b is field b of the object a, a[] an element of the array a. Null texts and texts that are no JSON don't count. Documents
+    are read once: each level opens one more of theirs, in the row, and what was passed stays with the first of its parts.
     """
-    rows = df.select(F.lit("").alias("path"), F.try_parse_json(F.col(f"`{col}`")).alias("v")).filter("v is not null")
-
-    def kind(v: Column) -> Column:
-        text = F.substring(F.to_json(v), 1, 1)
-        number = F.when(F.schema_of_variant(v) == "BIGINT", "integer").otherwise("number")
-        return F.when(text == "{", "object").when(text == "[", "array").when(text == '"', "string").when(text.isin("t", "f"), "boolean").when(text == "n", "null").otherwise(number)
-
-    levels = []
+    none = F.array().cast("array<struct<path string, type string>>")
+    rows = df.select(F.lit("").alias("path"), F.try_parse_json(F.col(f"`{col}`")).alias("v"), none.alias("nodes"))
+    v = F.col("v")
+    here = F.when(F.col("key").isNull() & F.col("pos").isNotNull(), F.concat("path", F.lit("[]"))).when(F.col("path") == "", F.col("key")).otherwise(F.concat("path", F.lit("."), "key"))
+    # containers are known by what they can be read as, so that nothing below them is looked at
+    kind = F.when(F.try_variant_get(v, "$", "struct<>").isNotNull(), "OBJECT").when(F.try_variant_get(v, "$", "array<struct<>>").isNotNull(), "ARRAY").otherwise(F.schema_of_variant(v))
     for _ in range(depth):
-        rows = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer())).select(
-            F.when(F.col("key").isNull(), F.concat("path", F.lit("[]"))).when(F.col("path") == "", F.col("key")).otherwise(F.concat("path", F.lit("."), "key")).alias("path"), F.col("value").alias("v")
-        )
-        levels.append(rows.select("path", kind(F.col("v")).alias("type")).groupBy("path", "type").agg(F.count("*").alias("n")))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
+        opened = rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(v.outer()))
+        kept = F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("nodes")).otherwise(none)
+        parts = opened.select(here.alias("path"), F.col("value").alias("v"), kept.alias("nodes"))
+        rows = parts.withColumn("nodes", F.when(v.isNotNull(), F.array_append("nodes", F.struct("path", kind.alias("type")))).otherwise(F.col("nodes")))
+    named = F.when(F.col("type").isin("OBJECT", "ARRAY", "STRING", "BOOLEAN"), F.lower("type")).when(F.col("type") == "VOID", "null").when(F.col("type") == "BIGINT", "integer").otherwise("number")
+    return rows.select(F.inline("nodes")).groupBy("path", named.alias("type")).agg(F.count("*").alias("n"))

@@ -99,6 +99,28 @@ def test_structure_of_nested_documents(spark, depth):
     assert out == want
 
 
+def test_structure_reads_documents_once(spark):
+    out = restructure.json_structure(spark.createDataFrame([('{"a": [1]}',)], "doc string"), "doc", 6)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+def test_structure_counts_each_node_once(spark):
+    docs = [{}, [], [[]], {"a": {}, "b": [{}, [], None, {"c": [[], [{}]]}]}, [None, [None, {"x": [1, [2, {"y": []}]]}]], {"": {"": 1}, "z": [1e300, 1.0, -1, "{", "[", "null", "true", ""]}]
+    out = {(r.path, r.type): r.n for r in restructure.json_structure(spark.createDataFrame([(json.dumps(d),) for d in docs], "doc string"), "doc", 8).collect()}
+    want = {}
+    for d in docs:
+        for x in walked(d, 8):
+            want[x] = want.get(x, 0) + 1
+    assert out == want
+
+
+def test_structure_of_a_long_array_is_linear_work(spark):
+    doc = json.dumps({"a": [{"b": i, "c": "x" * (i % 5)} for i in range(100_000)]})
+    out = {(r.path, r.type): r.n for r in restructure.json_structure(spark.createDataFrame([(doc,)], "doc string"), "doc", 4).collect()}
+    assert out == {("a", "array"): 1, ("a[]", "object"): 100_000, ("a[].b", "integer"): 100_000, ("a[].c", "string"): 100_000}
+
+
 def test_flattened_names_are_unlike(spark):
     df = spark.range(1).select(F.struct(F.lit(1).alias("b")).alias("a"), F.lit(2).alias("a_b"), F.struct(F.lit(3).alias("B_2")).alias("A"))
     out = restructure.flatten(spark.createDataFrame(df.collect(), "a struct<b int>, a_b int, x struct<b int>"))
