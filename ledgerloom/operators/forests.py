@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -146,8 +147,9 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultPa
         w, b = self.weights()
         scale = math.sqrt(2.0 / len(b))
 
-        @F.pandas_udf("array<double>")
-        def cosines(x: pd.Series) -> pd.Series:
-            return pd.Series(list(scale * np.cos(np.stack(x.to_numpy()) @ w.T + b)) if len(x) else [])
+        @F.arrow_udf("array<double>")
+        def cosines(x: pa.Array) -> pa.Array:
+            out = scale * np.cos(x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), w.shape[1]) @ w.T + b)
+            return pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(b), out.ravel())
 
         return dataset.withColumn(self.getOutputCol(), array_to_vector(cosines(vector_to_array(F.col(self.getInputCol())))))

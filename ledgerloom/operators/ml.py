@@ -5,7 +5,9 @@ from __future__ import annotations
 import contextlib
 import math
 from collections.abc import Iterator
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -23,6 +25,9 @@ from .forests import FourierFeatures
 POSITIVE = ("alta", "sim", "1", "high")
 #: Rows of a partition of training data. A forest of 100 trees keeps 1 to 2 kB a row, so a task reads some tens of MB of them.
 ROWS = 25_000
+#: Numbers in a partition of a linear model on few columns, 8 bytes each. It takes a hundred short jobs or more to fit one, so
+#: that tasks of ROWS rows would spend their time on being started.
+CELLS = 1_000_000
 
 
 @contextlib.contextmanager
@@ -164,14 +169,20 @@ def segment(df: DataFrame, numbers: list[str], k: int = 5) -> tuple[DataFrame, D
 
 def compare_models(df: DataFrame, label: str, key: str, numbers: list[str]) -> tuple[str, PipelineModel, dict[str, float]]:
     """M8: random forest, boosted trees, logistic regression, and support vector machines, linear and with a Gaussian kernel (of
-    one over the number of columns), by random Fourier features; the best AUC wins."""
+    one over the number of columns), by random Fourier features; the best AUC wins. Forests fill the cluster one by one; the
+    others are fitted side by side, since the short jobs of one leave most of it idle."""
     data = prepared(df, numbers, []).withColumn("label", F.col(label).cast("double"))
-    models = {"random_forest": RandomForestClassifier(numTrees=50, seed=42), "boosted_trees": GBTClassifier(maxIter=10, seed=42), "logistic": LogisticRegression(maxIter=50), "linear_svm": LinearSVC(maxIter=50)}
     stages = [VectorAssembler(inputCols=numbers, outputCol="_numbers"), StandardScaler(inputCol="_numbers", outputCol="features", withMean=True)]
+    own = lambda m: Pipeline(stages=[*stages, m])
+    forests = {"random_forest": own(RandomForestClassifier(numTrees=50, seed=42)), "boosted_trees": own(GBTClassifier(maxIter=10, seed=42))}
     with dealt(data, key, *numbers, "label") as kept:
         train, test = split(kept, key, "label")
-        fitted = {n: Pipeline(stages=[*stages, m]).fit(train) for n, m in models.items()}
-        fitted["rbf_svm"] = kernel_machine(numbers).fit(train)
+        few = train.coalesce(math.ceil(train.rdd.getNumPartitions() / max(1, CELLS // (ROWS * len(numbers)))))
+        others = {"logistic": (own(LogisticRegression(maxIter=50)), few), "linear_svm": (own(LinearSVC(maxIter=50)), few), "rbf_svm": (kernel_machine(numbers), train)}
+        fitted = {n: m.fit(train) for n, m in forests.items()}
+        with ThreadPool(len(others)) as pool:
+            fit = inheritable_thread_target(df.sparkSession)(lambda m: m[0].fit(m[1]))
+            fitted |= zip(others, pool.map(fit, others.values(), 1), strict=True)
         scores = {n: auc(m.transform(test)) for n, m in fitted.items()}
     best = max(scores, key=scores.get)
     return best, fitted[best], scores

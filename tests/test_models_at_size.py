@@ -1,6 +1,7 @@
 """Models whose work must not depend on how a table lies in files."""
 
 import random
+import threading
 
 import pytest
 
@@ -63,3 +64,38 @@ def test_rows_alike_in_the_columns_are_spread(spark, monkeypatch):
     df = spark.range(1000).selectExpr("id", "1.0D as x")
     with ml.dealt(df, "x", by=df.columns) as kept:
         assert max(kept.rdd.glom().map(len).collect()) < 200
+
+
+class Fitted:
+    def transform(self, df):
+        return df
+
+
+@pytest.mark.parametrize(("cells", "parts"), [(1_000_000, 1), (600, 3), (1, 8)])
+def test_linear_models_on_few_columns_take_few_large_tasks(noisy, monkeypatch, cells, parts):
+    seen = {}
+
+    def record(self, dataset, params=None):
+        seen[type(self.getStages()[-1]).__name__, len(self.getStages())] = dataset.rdd.glom().map(len).collect()
+        return Fitted()
+
+    monkeypatch.setattr(ml, "ROWS", 100)
+    monkeypatch.setattr(ml, "CELLS", cells, raising=False)
+    monkeypatch.setattr(ml.Pipeline, "fit", record)
+    monkeypatch.setattr(ml, "auc", lambda predicted: 1.0)
+    ml.compare_models(noisy.filter("id < 800").withColumn("y", noisy.a > 50), "y", "id", ["a", "b"])
+    assert len({sum(n) for n in seen.values()}) == 1
+    assert {k: len(n) for k, n in seen.items()} == {("RandomForestClassifier", 3): 8, ("GBTClassifier", 3): 8, ("LogisticRegression", 3): parts, ("LinearSVC", 3): parts, ("LinearSVC", 4): 8}
+
+
+def test_linear_models_are_fitted_side_by_side(noisy, monkeypatch):
+    met = threading.Barrier(3, timeout=20)
+
+    def record(self, dataset, params=None):
+        if isinstance(self.getStages()[-1], (ml.LogisticRegression, ml.LinearSVC)):
+            met.wait()
+        return Fitted()
+
+    monkeypatch.setattr(ml.Pipeline, "fit", record)
+    monkeypatch.setattr(ml, "auc", lambda predicted: 1.0)
+    assert set(ml.compare_models(noisy.withColumn("y", noisy.a > 50), "y", "id", ["a", "b"])[2]) == {"random_forest", "boosted_trees", "logistic", "linear_svm", "rbf_svm"}
